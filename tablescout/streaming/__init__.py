@@ -1,0 +1,9 @@
+"""Streaming.
+
+The profiled toolkit has no stream operators: no watermarks, windows,
+state or late-data handling. Every operator in this package takes an
+ordinary ``DataFrame``; the ones that are pure projections and
+aggregations (value counts, null counts, MinHash signatures) can be
+applied to a micro-batch inside the caller's own
+``writeStream.foreachBatch``, which needs no code here.
+"""
