@@ -6,7 +6,7 @@
   divides exactly), edges ``i * width + min`` and the last edge exactly
   ``max``. A value's bin is ``int((v - min) / width)``, and ``v == max``
   falls in the last bin (left-closed, right-open, last bin closed).
-  An infinite width is an error.
+  An infinite width is an error. Edges never carry a negative zero.
 * ``bins`` a list of edges: at least two, sorted, distinct, no NULL/NaN;
   values outside are dropped; evenly spaced edges (within 1e-10) use the
   division rule, others count the edges ``<= v``.
@@ -73,8 +73,8 @@ def check_edges(edges: Sequence[float]) -> tuple[list[float], float | None]:
         raise ValueError("buckets should not contain duplicated values")
     steps = [edges[i + 1] - edges[i] for i in range(len(edges) - 1)]
     if max(steps) - min(steps) < 1e-10:
-        return [float(e) for e in edges], (edges[-1] - edges[0]) / (len(edges) - 1)
-    return [float(e) for e in edges], None
+        return [float(e) + 0.0 for e in edges], (edges[-1] - edges[0]) / (len(edges) - 1)
+    return [float(e) + 0.0 for e in edges], None
 
 
 def _binned(values: DataFrame, edges: list[float], inc: float | None) -> DataFrame:
@@ -115,10 +115,11 @@ def histogram(table: DataFrame, col_name, bins: int | Sequence[float] | None = 1
         stats = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
         if stats["n"] == 0:
             raise ValueError("can not generate buckets from empty RDD")
-        edges, inc = bucket_edges(stats["lo"], stats["hi"], bins)
+        lo, hi = stats["lo"] + 0.0, stats["hi"] + 0.0  # + 0.0 turns -0.0 into 0.0
+        edges, inc = bucket_edges(lo, hi, bins)
         if inc is None:
             spark = table.sparkSession
-            return spark.createDataFrame([(float(stats["lo"]), float(stats["hi"]), int(stats["n"]))], SCHEMA)
+            return spark.createDataFrame([(lo, hi, int(stats["n"]))], SCHEMA)
         return _binned(values, edges, inc)
     if isinstance(bins, (list, tuple)):
         edges, inc = check_edges(bins)
