@@ -27,6 +27,7 @@ from tablescout.functions.schema import field_type, string_columns
 from tablescout.operators.signature import (
     column_digest,
     hashed_digest,
+    LongForm,
     long_form,
     materialize,
     signature_from_digest,
@@ -166,8 +167,8 @@ def joining_path_hash(
     chosen = [i for i in chosen if string_columns(tables[i])]
     if not chosen:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
-    long_df = string_long_form(tables, chosen)
-    sig = signature_from_digest(column_digest(long_df, with_values=with_size), coeffs)
+    long = string_long_form(tables, chosen)
+    sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
     if materialized:
         sig = materialize(sig)
     result = match_pairs(sig, sig, coeffs.hashnum, threshold, True, containing_check)
@@ -197,7 +198,8 @@ def joining_path_hash_specific(
     if not others:
         return _empty(spark, path_schema(containing_check, with_size))
     spec = [(table_ind, tables[table_ind], [col_name])] + [(i, tables[i], string_columns(tables[i])) for i in others]
-    sig = signature_from_digest(column_digest(long_form(spec), with_values=with_size), coeffs)
+    long = long_form(spec)
+    sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
     if materialized:
         sig = materialize(sig)
     is_a = (F.col("table_index") == F.lit(table_ind)) & (F.col("col_name") == F.lit(col_name))
@@ -241,8 +243,8 @@ def multi_set_resemble_specific(
 # ---------------------------------------------------------------- exact paths
 
 
-def _value_keys(long_df: DataFrame, null_as_value: bool) -> DataFrame:
-    """Distinct ``(table_index, col_name, crc, fp)``: one row per distinct value of each column.
+def _value_keys(long: LongForm, null_as_value: bool) -> DataFrame:
+    """Distinct ``(col_id, crc, fp)``: one row per distinct value of each column.
 
     NULL becomes its own value (crc -1, outside crc32's range) when ``null_as_value``.
     """
@@ -250,43 +252,47 @@ def _value_keys(long_df: DataFrame, null_as_value: bool) -> DataFrame:
     if null_as_value:
         crc = F.when(v.isNull(), F.lit(-1).cast("bigint")).otherwise(crc32_of(v))
         fp = F.when(v.isNull(), F.lit(0).cast("bigint")).otherwise(fingerprint_of(v))
-        src = long_df
+        src = long.df
     else:
         crc, fp = crc32_of(v), fingerprint_of(v)
-        src = long_df.where(v.isNotNull())
-    return src.select("table_index", "col_name", crc.alias("crc"), fp.alias("fp")).distinct()
+        src = long.df.where(v.isNotNull())
+    return src.select("col_id", crc.alias("crc"), fp.alias("fp")).distinct()
 
 
 def _pairs_of(cols):
-    """All (x, y) with x before y in a sorted array of ``struct(t, c)``."""
+    """All (x, y) with x before y in a sorted array of column ids."""
     return F.flatten(
         F.transform(
             cols,
             lambda x, i: F.transform(
                 F.slice(cols, i + 2, F.greatest(F.size(cols) - i - 1, F.lit(1))),
-                lambda y: F.struct(
-                    x["t"].alias("at_ind"), x["c"].alias("ac_name"), y["t"].alias("bt_ind"), y["c"].alias("bc_name")
-                ),
+                lambda y: F.struct(x.alias("a_id"), y.alias("b_id")),
             ),
         )
     )
 
 
-def exact_intersections(keys: DataFrame) -> DataFrame:
+def exact_intersections(keys: DataFrame, long: LongForm) -> DataFrame:
     """``(at_ind, ac_name, bt_ind, bc_name, n_inter)`` for cross-table pairs sharing values.
 
     Values are grouped by the set of columns holding them, and pairs are
     emitted once per distinct column set (with its value count), never
-    once per value: a value present in many columns costs one short array.
+    once per value: a value present in many columns costs one short array
+    (at most one entry per column, so the group size is schema-bounded).
     """
     colsets = (
         keys.groupBy("crc", "fp")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("table_index").alias("t"), F.col("col_name").alias("c")))).alias("cols"))
+        .agg(F.array_sort(F.collect_list("col_id")).alias("cols"))
         .where(F.size("cols") > 1)
     )
     per_set = colsets.groupBy("cols").agg(F.count(F.lit(1)).alias("n_shared"))
-    pairs = per_set.select("n_shared", F.inline(_pairs_of(F.col("cols")))).where(F.col("at_ind") < F.col("bt_ind"))
-    return pairs.groupBy(*PAIR_KEYS).agg(F.sum("n_shared").cast("bigint").alias("n_inter"))
+    pairs = per_set.select("n_shared", F.inline(_pairs_of(F.col("cols"))))
+    a_t, a_c = long.named(F.col("a_id"))
+    b_t, b_c = long.named(F.col("b_id"))
+    inter = pairs.groupBy("a_id", "b_id").agg(F.sum("n_shared").cast("bigint").alias("n_inter"))
+    return inter.select(
+        "a_id", "b_id", a_t.alias("at_ind"), a_c.alias("ac_name"), b_t.alias("bt_ind"), b_c.alias("bc_name"), "n_inter"
+    ).where(F.col("at_ind") < F.col("bt_ind"))
 
 
 def joining_path_naive(
@@ -301,23 +307,24 @@ def joining_path_naive(
     chosen = [i for i in chosen if string_columns(tables[i])]
     if not chosen:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
-    keys = _value_keys(string_long_form(tables, chosen), null_as_value)
-    counts = keys.groupBy("table_index", "col_name").agg(F.count(F.lit(1)).alias("n_distinct"))
-    inter = exact_intersections(keys)
-    na = counts.select(F.col("table_index").alias("at_ind"), F.col("col_name").alias("ac_name"), F.col("n_distinct").alias("_na"))
-    nb = counts.select(F.col("table_index").alias("bt_ind"), F.col("col_name").alias("bc_name"), F.col("n_distinct").alias("_nb"))
+    long = string_long_form(tables, chosen)
+    keys = _value_keys(long, null_as_value)
+    counts = keys.groupBy("col_id").agg(F.count(F.lit(1)).alias("n_distinct"))
+    inter = exact_intersections(keys, long)
+    na = counts.select(F.col("col_id").alias("a_id"), F.col("n_distinct").alias("_na"))
+    nb = counts.select(F.col("col_id").alias("b_id"), F.col("n_distinct").alias("_nb"))
     sim = F.col("n_inter") / (F.col("_na") + F.col("_nb") - F.col("n_inter")).cast("double")
     if round_digits is not None:
         sim = F.round(sim, round_digits)
     result = (
-        inter.join(na, ["at_ind", "ac_name"]).join(nb, ["bt_ind", "bc_name"])
+        inter.join(na, "a_id").join(nb, "b_id")
         .select(*PAIR_KEYS, sim.alias("similarity"))
         .where((F.col("similarity") != 0) & (F.col("similarity") > F.lit(threshold)))
     )
     return _ordered(result)
 
 
-def _two_column_long(tables, t1, t2, cname1, cname2) -> DataFrame:
+def _two_column_long(tables, t1, t2, cname1, cname2) -> LongForm:
     for t, c in ((t1, cname1), (t2, cname2)):
         if c not in tables[t].columns:
             raise ValueError(f"cannot resolve column {c!r} in table {t}")
@@ -328,6 +335,7 @@ def _two_column_long(tables, t1, t2, cname1, cname2) -> DataFrame:
 def jaccard_exact_frame(tables, t1, t2, cname1, cname2, null_as_value: bool = False) -> DataFrame:
     """One row ``similarity`` = |A∩B| / |A∪B| (NULL when both are empty)."""
     keys = _value_keys(_two_column_long(tables, t1, t2, cname1, cname2), null_as_value)
+    # col_id is the side (0 or 1); keys are distinct per side.
     per_value = keys.groupBy("crc", "fp").agg(F.count(F.lit(1)).alias("sides"))
     return per_value.agg(
         (F.count_if(F.col("sides") == 2) / F.nullif(F.count(F.lit(1)), F.lit(0)).cast("double")).alias("similarity")
@@ -339,7 +347,8 @@ def jaccard_minhash_frame(
 ) -> DataFrame:
     """One row ``similarity`` = share of hash functions whose minima agree."""
     coeffs = hash_coefficients(hashnum, seed)
-    sig = signature_from_digest(column_digest(_two_column_long(tables, t1, t2, cname1, cname2)), coeffs)
+    long = _two_column_long(tables, t1, t2, cname1, cname2)
+    sig = signature_from_digest(column_digest(long), coeffs, long)
     # Both sides' minima meet in one group per hash function: no join needed.
     per_hash = sig.groupBy("hash_index").agg(
         ((F.count(F.lit(1)) == 2) & (F.min("hash_value") == F.max("hash_value"))).alias("agree")
@@ -374,13 +383,16 @@ def hash_collision_check(
     """
     coeffs = hash_coefficients(hashnum, seed)
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
-    long_df = string_long_form(tables, [i for i in chosen if string_columns(tables[i])])
-    if long_df is None:
+    long = string_long_form(tables, [i for i in chosen if string_columns(tables[i])])
+    if long is None:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
     # One branch: each hashed row carries its crc's distinct-value count.
-    hashed = hashed_digest(column_digest(long_df, with_values=True), coeffs)
-    per_hash = hashed.groupBy("table_index", "col_name", "hash_index", "h").agg(F.sum("n_values").alias("nv"))
-    return per_hash.groupBy("table_index", "col_name", "hash_index").agg(
+    hashed = hashed_digest(column_digest(long, with_values=True), coeffs)
+    per_hash = hashed.groupBy("col_id", "hash_index", "h").agg(F.sum("n_values").alias("nv"))
+    counted = per_hash.groupBy("col_id", "hash_index").agg(
         F.sum("nv").cast("bigint").alias("n_values"),
         F.count(F.lit(1)).alias("n_hashes"),
-    ).withColumn("collisions", F.col("n_values") - F.col("n_hashes"))
+    )
+    return counted.select(
+        *long.named(), "hash_index", "n_values", "n_hashes", (F.col("n_values") - F.col("n_hashes")).alias("collisions")
+    )

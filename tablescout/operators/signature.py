@@ -3,14 +3,14 @@
 Plan per table set (one scan per table, whatever the column count):
 
 1. ``unpivot`` every string column of every table into the long form
-   ``(table_index, col_name, value)``; NULL is never a value.
+   ``(col_id, value)``; NULL is never a value.
 2. Replace the value by ``crc32`` (and, when distinct counts are wanted,
    a 64-bit xxhash) right after the scan, so text never shuffles.
-3. ``groupBy(table_index, col_name, crc)`` with map-side partial
+3. ``groupBy(col_id, crc)`` with map-side partial
    aggregation: one row per distinct crc, carrying its row count.
    A hot value costs one row per map task, not one per input row.
 4. ``inline`` the (literal, ``hashnum``-sized) coefficient array, hash,
-   and ``groupBy(table_index, col_name, hash_index)`` with
+   and ``groupBy(col_id, hash_index)`` with
    ``min(h)`` and ``min_by(cnt, h)``: both HashAggregate with partial
    aggregation, so at most columns x hashnum rows per task are shuffled.
 """
@@ -18,9 +18,10 @@ Plan per table set (one scan per table, whatever the column count):
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.functions.hashing import (
@@ -36,35 +37,56 @@ from tablescout.session import checkpoint_dir
 SIGNATURE_COLUMNS = ["table_index", "col_name", "hash_index", "hash_value", "min_hash_count"]
 
 
+@dataclass(frozen=True)
+class LongForm:
+    """``df`` is ``(col_id int, value string)``; ``columns[col_id] = (table_index, col_name)``.
+
+    Rows are keyed by a small int instead of the column name: every
+    per-row hash-map probe and shuffle record is cheaper, and the
+    (schema-sized) mapping back to names happens once, on the result.
+    """
+
+    df: DataFrame
+    columns: tuple[tuple[int, str], ...]
+
+    def named(self, col_id: Column | None = None) -> list[Column]:
+        """``table_index`` and ``col_name`` for a col_id column (literal lookups)."""
+        col_id = F.col("col_id") if col_id is None else col_id
+        tables = F.expr("array(" + ", ".join(str(t) for t, _ in self.columns) + ")")
+        names = F.array(*[F.lit(c) for _, c in self.columns])
+        return [
+            F.element_at(tables, col_id + 1).cast("int").alias("table_index"),
+            F.element_at(names, col_id + 1).alias("col_name"),
+        ]
+
+
 def long_form(
     tables: Sequence[tuple[int, DataFrame, Sequence[str]]],
     value_expr=None,
-) -> DataFrame | None:
-    """``(table_index int, col_name string, value string)`` over the given columns.
-
-    ``tables`` holds ``(table_index, table, column_names)``; tables with no
-    columns are skipped. Returns None when nothing is left.
-    """
-    parts = []
+) -> LongForm | None:
+    """Long form over ``(table_index, table, column_names)`` triples (tables without columns skipped)."""
+    parts, columns = [], []
     for index, table, cols in tables:
         if not cols:
             continue
-        values = [
-            F.struct(F.lit(c).alias("col_name"), (value_expr(c) if value_expr else F.col(c)).alias("value"))
-            for c in cols
-        ]
-        part = table.select(F.inline(F.array(*values))).select(
-            F.lit(index).cast("int").alias("table_index"), "col_name", "value"
-        )
-        parts.append(part)
+        values = []
+        for c in cols:
+            values.append(
+                F.struct(
+                    F.lit(len(columns)).alias("col_id"),
+                    (value_expr(c) if value_expr else F.col(c)).alias("value"),
+                )
+            )
+            columns.append((index, c))
+        parts.append(table.select(F.inline(F.array(*values))))
     if not parts:
         return None
-    return reduce(DataFrame.unionByName, parts)
+    return LongForm(reduce(DataFrame.unionByName, parts), tuple(columns))
 
 
 def string_long_form(
     tables: Sequence[DataFrame], table_ind: Sequence[int] | None = None, columns: dict | None = None
-) -> DataFrame | None:
+) -> LongForm | None:
     """Long form of the string columns of the chosen tables (all, by default).
 
     ``columns`` optionally maps a table index to the columns to use.
@@ -80,38 +102,28 @@ def string_long_form(
     return long_form(spec)
 
 
-def column_digest(long_df: DataFrame, with_values: bool = False) -> DataFrame:
-    """Per ``(table_index, col_name, crc)``: the row count ``cnt`` of non-NULL values.
+def column_digest(long: LongForm, with_values: bool = False) -> DataFrame:
+    """Per ``(col_id, crc)``: the row count ``cnt`` of non-NULL values.
 
     With ``with_values`` also ``n_values``, the number of distinct values
     sharing that crc (values are keyed by crc and a 64-bit xxhash, so
     distinct counts cost a 12-byte key per value, never the text).
     """
-    keyed = long_df.where(F.col("value").isNotNull()).select(
-        "table_index", "col_name", crc32_of(F.col("value")).alias("crc"),
+    keyed = long.df.where(F.col("value").isNotNull()).select(
+        "col_id", crc32_of(F.col("value")).alias("crc"),
         *([fingerprint_of(F.col("value")).alias("fp")] if with_values else []),
     )
     if not with_values:
-        return keyed.groupBy("table_index", "col_name", "crc").agg(F.count(F.lit(1)).alias("cnt"))
-    per_value = keyed.groupBy("table_index", "col_name", "crc", "fp").agg(F.count(F.lit(1)).alias("cnt"))
-    return per_value.groupBy("table_index", "col_name", "crc").agg(
-        F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("n_values")
-    )
-
-
-def distinct_counts(digest: DataFrame) -> DataFrame:
-    """``(table_index, col_name, n_distinct)`` from a digest made ``with_values``."""
-    return digest.groupBy("table_index", "col_name").agg(F.sum("n_values").cast("bigint").alias("n_distinct"))
+        return keyed.groupBy("col_id", "crc").agg(F.count(F.lit(1)).alias("cnt"))
+    per_value = keyed.groupBy("col_id", "crc", "fp").agg(F.count(F.lit(1)).alias("cnt"))
+    return per_value.groupBy("col_id", "crc").agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("n_values"))
 
 
 def hashed_digest(digest: DataFrame, coeffs: HashCoefficients) -> DataFrame:
-    """One row per (column, crc, hash function): ``hash_index, h, cnt``."""
+    """One row per (column, crc, hash function): ``col_id, hash_index, h, cnt``."""
     extra = ["n_values"] if "n_values" in digest.columns else []
-    return digest.select(
-        "table_index", "col_name", "cnt", "crc", *extra, F.inline(coefficient_array(coeffs))
-    ).select(
-        "table_index",
-        "col_name",
+    return digest.select("col_id", "cnt", "crc", *extra, F.inline(coefficient_array(coeffs))).select(
+        "col_id",
         "hash_index",
         universal_hash(F.col("crc"), F.col("a_hi"), F.col("a_lo"), F.col("b")).alias("h"),
         "cnt",
@@ -119,7 +131,7 @@ def hashed_digest(digest: DataFrame, coeffs: HashCoefficients) -> DataFrame:
     )
 
 
-def signature_from_digest(digest: DataFrame, coeffs: HashCoefficients) -> DataFrame:
+def signature_from_digest(digest: DataFrame, coeffs: HashCoefficients, long: LongForm) -> DataFrame:
     """MinHash signature: per column and hash function, the minimum and its row count.
 
     A digest made ``with_values`` also yields ``n_distinct`` (every crc row
@@ -129,8 +141,9 @@ def signature_from_digest(digest: DataFrame, coeffs: HashCoefficients) -> DataFr
     aggs = [F.min("h").alias("hash_value"), F.min_by("cnt", F.col("h")).alias("min_hash_count")]
     if "n_values" in digest.columns:
         aggs.append(F.sum("n_values").cast("bigint").alias("n_distinct"))
-    out = hashed_digest(digest, coeffs).groupBy("table_index", "col_name", "hash_index").agg(*aggs)
-    return out.select(*SIGNATURE_COLUMNS, *(["n_distinct"] if "n_values" in digest.columns else []))
+    out = hashed_digest(digest, coeffs).groupBy("col_id", "hash_index").agg(*aggs)
+    extra = ["n_distinct"] if "n_values" in digest.columns else []
+    return out.select(*long.named(), "hash_index", "hash_value", "min_hash_count", *extra)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -144,23 +157,23 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def signature(long_df: DataFrame, coeffs: HashCoefficients) -> DataFrame:
+def signature(long: LongForm, coeffs: HashCoefficients) -> DataFrame:
     """Signature of every column in a long form."""
-    return signature_from_digest(column_digest(long_df), coeffs)
+    return signature_from_digest(column_digest(long), coeffs, long)
 
 
 def multiple_table_signature(
     tables: Sequence[DataFrame], coeffs: HashCoefficients, table_ind: Sequence[int] | None = None
 ) -> DataFrame:
     """Signatures of all string columns of the chosen tables (one union, one aggregation)."""
-    long_df = string_long_form(tables, table_ind)
-    if long_df is None:
+    long = string_long_form(tables, table_ind)
+    if long is None:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
-    return signature(long_df, coeffs)
+    return signature(long, coeffs)
 
 
 def single_table_signature(table: DataFrame, table_ind: int, coeffs: HashCoefficients) -> DataFrame:
-    long_df = long_form([(table_ind, table, string_columns(table))])
-    if long_df is None:
+    long = long_form([(table_ind, table, string_columns(table))])
+    if long is None:
         raise ValueError(f"table {table_ind} has no categorical (string) fields")
-    return signature(long_df, coeffs)
+    return signature(long, coeffs)
