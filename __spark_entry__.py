@@ -64,8 +64,15 @@ STRING_COLUMNS = {
 TPCH = 7  # the first seven tables: the star schema
 
 
+_READ: dict[tuple, DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, cast=()) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", cast)
+    """The table as a lazy DataFrame; its plan (footer read once) is reused across queries."""
+    key = (id(spark), sf_dir, name, tuple(cast))
+    if key not in _READ:
+        _READ[key] = read_table(spark, f"{sf_dir}/{name}.parquet", cast)
+    return _READ[key]
 
 
 def _tables(spark: SparkSession, sf_dir: str, upto: int | None = None) -> list[DataFrame]:

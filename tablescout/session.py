@@ -10,8 +10,10 @@ from pyspark.sql import SparkSession
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` (or the context's current directory).
-    Only when neither is set (local tests) a fallback is installed.
+    Reads the context's checkpoint directory or ``spark.checkpoint.dir``.
+    Only a local-mode session (tests, single machine) may fall back to a
+    temporary folder; on a cluster an unset directory is an error, since a
+    machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -19,6 +21,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if fallback is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf = fallback or tempfile.mkdtemp(prefix="tablescout-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
