@@ -109,9 +109,12 @@ def match_pairs(
         return scored.where(F.col("similarity") > F.lit(threshold))
     # Candidate pairs only (at least one agreeing minimum): never all column pairs.
     candidates = matched.select(*PAIR_KEYS).distinct()
-    detail = candidates.join(a, ["at_ind", "ac_name"]).join(
-        b, ["bt_ind", "bc_name"]
-    ).where(F.col("ah_ind") == F.col("bh_ind"))
+    with_a = candidates.join(a, ["at_ind", "ac_name"])
+    # hash_index is part of the equi-join key: one b row per (pair, hash function).
+    detail = with_a.join(
+        b,
+        (with_a.bt_ind == b.bt_ind) & (with_a.bc_name == b.bc_name) & (with_a.ah_ind == b.bh_ind),
+    ).select(*[with_a[k] for k in PAIR_KEYS], "ah_val", "bh_val", "ah_mincount", "bh_mincount")
     eq = F.col("ah_val") == F.col("bh_val")
     scored = detail.groupBy(*PAIR_KEYS).agg(
         F.avg(F.when(eq, F.col("ah_mincount") * F.col("bh_mincount"))).alias("aj_contribution"),
