@@ -163,17 +163,25 @@ def joining_path_hash(
     with_size: bool = False,
     coeffs: HashCoefficients | None = None,
     materialized: bool = True,
+    signature: DataFrame | None = None,
 ) -> DataFrame:
-    """All cross-table string-column pairs ranked by MinHash Jaccard similarity."""
+    """All cross-table string-column pairs ranked by MinHash Jaccard similarity.
+
+    ``signature`` may be a precomputed ``table_set_signature`` of the same
+    tables and hash family (with ``n_distinct`` when sizes are wanted).
+    """
     coeffs = coeffs or hash_coefficients(hashnum, seed)
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
     chosen = [i for i in chosen if string_columns(tables[i])]
     if not chosen:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
-    long = string_long_form(tables, chosen)
-    sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
-    if materialized:
-        sig = materialize(sig)
+    if signature is not None:
+        sig = signature.where(F.col("table_index").isin(chosen)) if table_ind is not None else signature
+    else:
+        long = string_long_form(tables, chosen)
+        sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
+        if materialized:
+            sig = materialize(sig)
     result = match_pairs(sig, sig, coeffs.hashnum, threshold, True, containing_check)
     if with_size:
         result = _with_size(result, sig)
@@ -191,6 +199,7 @@ def joining_path_hash_specific(
     with_size: bool = False,
     coeffs: HashCoefficients | None = None,
     materialized: bool = True,
+    signature: DataFrame | None = None,
 ) -> DataFrame:
     """Candidates in every other table for one string column ``tables[table_ind][col_name]``."""
     if not isinstance(field_type(tables[table_ind], col_name), T.StringType):
@@ -200,11 +209,16 @@ def joining_path_hash_specific(
     spark = tables[table_ind].sparkSession
     if not others:
         return _empty(spark, path_schema(containing_check, with_size))
-    spec = [(table_ind, tables[table_ind], [col_name])] + [(i, tables[i], string_columns(tables[i])) for i in others]
-    long = long_form(spec)
-    sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
-    if materialized:
-        sig = materialize(sig)
+    if signature is not None:
+        sig = signature
+    else:
+        spec = [(table_ind, tables[table_ind], [col_name])] + [
+            (i, tables[i], string_columns(tables[i])) for i in others
+        ]
+        long = long_form(spec)
+        sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
+        if materialized:
+            sig = materialize(sig)
     is_a = (F.col("table_index") == F.lit(table_ind)) & (F.col("col_name") == F.lit(col_name))
     # The A side is exactly hashnum rows: a proven bound, so broadcast it.
     sig_a = F.broadcast(sig.where(is_a))
@@ -223,9 +237,12 @@ def multi_set_resemble(
     containing_check: bool = False,
     seed: int | None = DEFAULT_SEED,
     coeffs: HashCoefficients | None = None,
+    signature: DataFrame | None = None,
 ) -> DataFrame:
     """``joining_path_hash`` plus ``aj_size``, the estimated inner-join row count."""
-    return joining_path_hash(tables, threshold, table_ind, hashnum, containing_check, seed, True, coeffs)
+    return joining_path_hash(
+        tables, threshold, table_ind, hashnum, containing_check, seed, True, coeffs, signature=signature
+    )
 
 
 def multi_set_resemble_specific(
@@ -237,12 +254,33 @@ def multi_set_resemble_specific(
     containing_check: bool = False,
     seed: int | None = DEFAULT_SEED,
     coeffs: HashCoefficients | None = None,
+    signature: DataFrame | None = None,
 ) -> DataFrame:
     return joining_path_hash_specific(
-        tables, table_ind, col_name, threshold, hashnum, containing_check, seed, True, coeffs
+        tables, table_ind, col_name, threshold, hashnum, containing_check, seed, True, coeffs, signature=signature
     )
 
 
+def table_set_signature(
+    tables: Sequence[DataFrame],
+    hashnum: int = DEFAULT_HASHNUM,
+    seed: int | None = DEFAULT_SEED,
+    coeffs: HashCoefficients | None = None,
+    materialized: bool = True,
+) -> DataFrame:
+    """Signature (with ``n_distinct``) of every string column of every table.
+
+    One scan per table; reusable by all the path functions above through
+    ``signature=``, so a session exploring one table set scans it once.
+    """
+    coeffs = coeffs or hash_coefficients(hashnum, seed)
+    long = string_long_form(tables)
+    if long is None:
+        raise ValueError("None of the tables provided contains categorical (string) fields.")
+    sig = signature_from_digest(column_digest(long, with_values=True), coeffs, long)
+    return materialize(sig) if materialized else sig
+
+
 # ---------------------------------------------------------------- exact paths
 
 

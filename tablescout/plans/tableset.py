@@ -26,6 +26,7 @@ class TableSet:
         self.names: list[str] = list(names) if names is not None else [f"t{i}" for i in range(len(self.tables))]
         if len(self.names) != len(self.tables):
             raise ValueError("one name per table is required")
+        self._signatures: dict[tuple, DataFrame] = {}
 
     @classmethod
     def from_paths(
@@ -55,6 +56,7 @@ class TableSet:
         return len(self.tables)
 
     def cast_categorical(self, categorical_dictionary: Mapping[int | str, Sequence[str]]) -> TableSet:
+        """A new set with the listed columns cast to string (signatures are recomputed)."""
         tables = list(self.tables)
         for key, cols in categorical_dictionary.items():
             i = self.index(key)
@@ -73,20 +75,40 @@ class TableSet:
         return registry.single_column_evaluate(self.tables, func_str, self._indexes(table_indexes), col_names, **kwargs)
 
     # -- join discovery --------------------------------------------------
+    def signature(self, hashnum=DEFAULT_HASHNUM, seed=DEFAULT_SEED) -> DataFrame:
+        """All string columns' signatures (with distinct counts), computed once per hash family.
+
+        The first call runs one job and checkpoints the result (columns x
+        hashnum rows) into the shared checkpoint folder; later join-discovery
+        calls with the same ``hashnum`` and ``seed`` reuse it without rescanning.
+        """
+        key = (hashnum, seed)
+        if key not in self._signatures:
+            self._signatures[key] = joinpaths.table_set_signature(self.tables, hashnum, seed)
+        return self._signatures[key]
+
     def joining_path_hash(self, threshold=0, table_ind=None, hashnum=DEFAULT_HASHNUM, containing_check=False, seed=DEFAULT_SEED):
-        return joinpaths.joining_path_hash(self.tables, threshold, self._indexes(table_ind), hashnum, containing_check, seed)
+        return joinpaths.joining_path_hash(
+            self.tables, threshold, self._indexes(table_ind), hashnum, containing_check, seed,
+            signature=self.signature(hashnum, seed),
+        )
 
     def joining_path_hash_specific(self, table_index, col_name, threshold=0, hashnum=DEFAULT_HASHNUM, containing_check=False, seed=DEFAULT_SEED):
         return joinpaths.joining_path_hash_specific(
-            self.tables, self.index(table_index), col_name, threshold, hashnum, containing_check, seed
+            self.tables, self.index(table_index), col_name, threshold, hashnum, containing_check, seed,
+            signature=self.signature(hashnum, seed),
         )
 
     def multi_set_resemble(self, threshold=0.5, table_ind=None, hashnum=DEFAULT_HASHNUM, containing_check=False, seed=DEFAULT_SEED):
-        return joinpaths.multi_set_resemble(self.tables, threshold, self._indexes(table_ind), hashnum, containing_check, seed)
+        return joinpaths.multi_set_resemble(
+            self.tables, threshold, self._indexes(table_ind), hashnum, containing_check, seed,
+            signature=self.signature(hashnum, seed),
+        )
 
     def multi_set_resemble_specific(self, table_ind, col_name, threshold=0, hashnum=DEFAULT_HASHNUM, containing_check=False, seed=DEFAULT_SEED):
         return joinpaths.multi_set_resemble_specific(
-            self.tables, self.index(table_ind), col_name, threshold, hashnum, containing_check, seed
+            self.tables, self.index(table_ind), col_name, threshold, hashnum, containing_check, seed,
+            signature=self.signature(hashnum, seed),
         )
 
     def joining_path_naive(self, threshold=0, table_ind=None, null_as_value=False, round_digits=None):

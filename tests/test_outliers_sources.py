@@ -65,3 +65,17 @@ def test_tableset_by_name(spark, g0):
     assert ts.multi_set_resemble(threshold=0.5).count() >= 1
     out = ts.single_column_evaluation("cat_describe", ["a"])
     assert out[0].count() == 2
+
+
+def test_tableset_signature_reuse_matches_fresh(spark, g0):
+    from tablescout.operators import joinpaths
+
+    ts = TableSet([g0[0], g0[1]])
+    sig = ts.signature(100, 5)
+    assert ts.signature(100, 5) is sig
+    a = sorted(tuple(r) for r in ts.multi_set_resemble(threshold=0, seed=5, containing_check=True).collect())
+    b = sorted(tuple(r) for r in joinpaths.multi_set_resemble(g0, 0, seed=5, containing_check=True).collect())
+    assert a == b
+    a = sorted(tuple(r) for r in ts.joining_path_hash_specific(1, "l", seed=5).collect())
+    b = sorted(tuple(r) for r in joinpaths.joining_path_hash_specific(g0, 1, "l", seed=5).collect())
+    assert a == b
