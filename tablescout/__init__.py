@@ -5,11 +5,11 @@ Every operator is a lazy DataFrame expression over the caller's
 scalars (a histogram's min/max, k-means centres).
 """
 
-__all__ = ["DataProfiler", "TableSet", "cast_categorical", "handle_input", "read_table"]
+__all__ = ["TableProfiler", "TableSet", "cast_categorical", "handle_input", "read_table"]
 
 
 def __getattr__(name):
-    if name in ("DataProfiler", "TableSet"):
+    if name in ("TableProfiler", "TableSet"):
         from tablescout.plans import tableset
 
         return getattr(tableset, name)

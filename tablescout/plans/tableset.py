@@ -129,8 +129,8 @@ class TableSet:
         )
 
 
-class DataProfiler(TableSet):
-    """Path-list entry point: ``DataProfiler(spark, paths, {index: [columns to treat as categorical]})``."""
+class TableProfiler(TableSet):
+    """Path-list entry point: ``TableProfiler(spark, paths, {index: [columns to treat as categorical]})``."""
 
     def __init__(self, spark: SparkSession, input_path_list: Sequence[str], categorical_dictionary=None, **read_options):
         ts = TableSet.from_paths(spark, input_path_list, categorical_dictionary, **read_options)

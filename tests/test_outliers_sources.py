@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-from tablescout import DataProfiler, TableSet
+from tablescout import TableProfiler, TableSet
 from tablescout.operators import outliers
 from tablescout.sources import readers
 
@@ -48,7 +48,7 @@ def test_formats(tmp_path, spark):
     js.write_text('{"summons_number": 1001, "payment_amount": 5.5}\n{"summons_number": 1003, "payment_amount": 7}\n')
     txt = tmp_path / "t.txt"
     txt.write_text("a\tb\n1\tx\n2\ty\n")
-    prof = DataProfiler(spark, [str(csv), str(js), str(txt)], {0: ["summons_number", "nope"], 1: ["summons_number"]})
+    prof = TableProfiler(spark, [str(csv), str(js), str(txt)], {0: ["summons_number", "nope"], 1: ["summons_number"]})
     assert dict(prof[0].dtypes)["summons_number"] == "string"
     assert dict(prof[1].dtypes)["payment_amount"] == "double"
     assert prof[2].columns == ["a", "b"] and dict(prof[2].dtypes)["a"] == "int"
