@@ -229,6 +229,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quantiles_approx": lambda s, d: passthrough.PASS_THROUGH["approxQuantile"](
             _read(s, d, "lineitem"), ["l_extendedprice", "l_quantity"], probabilities=[0.1, 0.5, 0.9]
         ),
+        "quantiles_fine": lambda s, d: passthrough.PASS_THROUGH["approxQuantile"](
+            _read(s, d, "lineitem"), ["l_extendedprice", "l_quantity"], probabilities=[0.1, 0.25, 0.5, 0.9],
+            relativeError=0.0,
+        ),
         "freq_items": lambda s, d: passthrough.PASS_THROUGH["freqItems"](_read(s, d, "orders"), ["o_orderpriority"]),
         # outliers
         "outliers_given_centers": lambda s, d: outliers.outliers_given_centers(
@@ -392,7 +396,7 @@ def _hist_edges_sql(table: str, col: str, edges: list[float]) -> str:
     arr = "[" + ", ".join(repr(float(e)) for e in edges) + "]"
     n = len(edges) - 1
     return f"""WITH v AS (SELECT CAST({col} AS DOUBLE) AS v FROM {table} WHERE {col} IS NOT NULL AND NOT isnan(CAST({col} AS DOUBLE))),
-e AS (SELECT {arr} AS edges),
+e AS (SELECT CAST({arr} AS DOUBLE[]) AS edges),
 c AS (
   SELECT least(len(list_filter(edges, lambda x: x <= v)) - 1, {n - 1}) AS bin, count(*) AS n
   FROM v, e WHERE v >= {float(edges[0])} AND v <= {float(edges[-1])} GROUP BY 1
@@ -519,6 +523,12 @@ c AS (SELECT o_custkey AS v, count(*) AS n FROM orders GROUP BY 1)
 SELECT (SELECT v FROM p ORDER BY n DESC, v ASC LIMIT 1) AS "mode(o_orderpriority)",
        (SELECT v FROM s ORDER BY n DESC, v ASC LIMIT 1) AS "mode(o_orderstatus)",
        (SELECT v FROM c ORDER BY n DESC, v ASC LIMIT 1) AS "mode(o_custkey)\"""",
+        # At the finest accuracy the sketch is exact while rows <= 1e6 (true at sf0.01).
+        "quantiles_fine": "\nUNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, quantile_disc(CAST({c} AS DOUBLE), {p}) AS value FROM lineitem"
+            for c in ["l_extendedprice", "l_quantity"]
+            for p in [0.1, 0.25, 0.5, 0.9]
+        ),
         "select_columns": "SELECT p_partkey, p_brand FROM part",
         "select_expr": "SELECT p_partkey, upper(p_brand) AS brand, p_size * 2 AS double_size FROM part",
         "dedup_columns": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
