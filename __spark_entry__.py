@@ -281,8 +281,9 @@ def _long_sql(tables: list[int] | None = None, only: tuple[int, str] | None = No
 
 
 def _coef_sql(hashnum: int = HASHNUM, seed: int = SEED) -> str:
+    """The hash family as one list literal of (i, a, b) structs."""
     co = hash_coefficients(hashnum, seed)
-    return ", ".join(f"({i}, {a}, {b})" for i, a, b in co.rows())
+    return "[" + ", ".join(f"{{'i': {i}, 'a': {a}::HUGEINT, 'b': {b}::HUGEINT}}" for i, a, b in co.rows()) + "]"
 
 
 def _sig_ctes(long_sql: str) -> str:
@@ -295,10 +296,13 @@ crcs AS (
   FROM (SELECT table_index, col_name, {_crc_sql('value')} AS crc, cnt FROM vals) t
   GROUP BY table_index, col_name, crc
 ),
-coef(hash_index, a, b) AS (VALUES {_coef_sql()}),
 hashed AS (
-  SELECT table_index, col_name, hash_index, CAST((CAST(a AS HUGEINT) * crc + b) % {PRIME} AS BIGINT) AS h, cnt, n_values
-  FROM crcs, coef
+  SELECT table_index, col_name, cnt, n_values, x.i AS hash_index, CAST(x.h AS BIGINT) AS h
+  FROM (
+    SELECT table_index, col_name, cnt, n_values,
+           unnest(list_transform({_coef_sql()}, lambda c: {{'i': c.i, 'h': (c.a * crc + c.b) % {PRIME}}})) AS x
+    FROM crcs
+  ) t
 ),
 sig AS (
   SELECT CAST(table_index AS INTEGER) AS table_index, col_name, CAST(hash_index AS INTEGER) AS hash_index,
@@ -385,25 +389,29 @@ def _hist_even_sql(table: str, col: str, bins: int) -> str:
 s AS (SELECT min(v) + 0.0 AS mn, max(v) + 0.0 AS mx FROM v),
 w AS (SELECT mn, mx, CASE WHEN floor((mx - mn) / {bins}) * {bins} = mx - mn THEN floor((mx - mn) / {bins}) ELSE (mx - mn) / {bins} END AS inc FROM s),
 b AS (SELECT CAST(range AS INTEGER) AS bin FROM range({bins})),
-c AS (SELECT least(CAST(floor((v - mn) / inc) AS INTEGER), {bins - 1}) AS bin, count(*) AS n FROM v, w GROUP BY 1)
-SELECT CAST(b.bin AS DOUBLE) * inc + mn AS bin_start_value,
-       CASE WHEN b.bin = {bins - 1} THEN mx ELSE CAST(b.bin + 1 AS DOUBLE) * inc + mn END AS bin_end_value,
+c AS (
+  SELECT least(CAST(floor((v - (SELECT mn FROM w)) / (SELECT inc FROM w)) AS INTEGER), {bins - 1}) AS bin, count(*) AS n
+  FROM v GROUP BY 1
+)
+SELECT CAST(b.bin AS DOUBLE) * (SELECT inc FROM w) + (SELECT mn FROM w) AS bin_start_value,
+       CASE WHEN b.bin = {bins - 1} THEN (SELECT mx FROM w)
+            ELSE CAST(b.bin + 1 AS DOUBLE) * (SELECT inc FROM w) + (SELECT mn FROM w) END AS bin_end_value,
        coalesce(c.n, 0) AS count
-FROM b CROSS JOIN w LEFT JOIN c ON c.bin = b.bin"""
+FROM b LEFT JOIN c ON c.bin = b.bin"""
 
 
 def _hist_edges_sql(table: str, col: str, edges: list[float]) -> str:
     arr = "[" + ", ".join(repr(float(e)) for e in edges) + "]"
     n = len(edges) - 1
     return f"""WITH v AS (SELECT CAST({col} AS DOUBLE) AS v FROM {table} WHERE {col} IS NOT NULL AND NOT isnan(CAST({col} AS DOUBLE))),
-e AS (SELECT CAST({arr} AS DOUBLE[]) AS edges),
 c AS (
-  SELECT least(len(list_filter(edges, lambda x: x <= v)) - 1, {n - 1}) AS bin, count(*) AS n
-  FROM v, e WHERE v >= {float(edges[0])} AND v <= {float(edges[-1])} GROUP BY 1
+  SELECT least(len(list_filter(CAST({arr} AS DOUBLE[]), lambda x: x <= v)) - 1, {n - 1}) AS bin, count(*) AS n
+  FROM v WHERE v >= {float(edges[0])} AND v <= {float(edges[-1])} GROUP BY 1
 ),
 b AS (SELECT CAST(range AS INTEGER) AS bin FROM range({n}))
-SELECT edges[b.bin + 1] AS bin_start_value, edges[b.bin + 2] AS bin_end_value, coalesce(c.n, 0) AS count
-FROM b CROSS JOIN e LEFT JOIN c ON c.bin = b.bin"""
+SELECT CAST({arr} AS DOUBLE[])[b.bin + 1] AS bin_start_value, CAST({arr} AS DOUBLE[])[b.bin + 2] AS bin_end_value,
+       coalesce(c.n, 0) AS count
+FROM b LEFT JOIN c ON c.bin = b.bin"""
 
 
 def _derived_missing_sql() -> str:
@@ -509,11 +517,13 @@ FROM lineitem WHERE l_discount IS NOT NULL AND NOT isnan(l_discount)""",
        round(avg(l_discount), 6) AS "avg(l_discount)" FROM lineitem""",
         "agg_stddev": """SELECT round(stddev_samp(c_acctbal), 6) AS "stddev(c_acctbal)",
        round(stddev_samp(c_custkey), 6) AS "stddev(c_custkey)" FROM customer""",
-        "agg_skewness": """WITH m AS (SELECT avg(o_totalprice) AS mu FROM orders),
-c AS (SELECT avg(power(o_totalprice - mu, 2)) AS m2, avg(power(o_totalprice - mu, 3)) AS m3 FROM orders, m)
+        "agg_skewness": """WITH c AS (
+  SELECT avg(power(o_totalprice - (SELECT avg(o_totalprice) FROM orders), 2)) AS m2,
+         avg(power(o_totalprice - (SELECT avg(o_totalprice) FROM orders), 3)) AS m3 FROM orders)
 SELECT round(m3 / power(m2, 1.5), 6) AS "skewness(o_totalprice)" FROM c""",
-        "agg_kurtosis": """WITH m AS (SELECT avg(o_totalprice) AS mu FROM orders),
-c AS (SELECT avg(power(o_totalprice - mu, 2)) AS m2, avg(power(o_totalprice - mu, 4)) AS m4 FROM orders, m)
+        "agg_kurtosis": """WITH c AS (
+  SELECT avg(power(o_totalprice - (SELECT avg(o_totalprice) FROM orders), 2)) AS m2,
+         avg(power(o_totalprice - (SELECT avg(o_totalprice) FROM orders), 4)) AS m4 FROM orders)
 SELECT round(m4 / (m2 * m2) - 3.0, 6) AS "kurtosis(o_totalprice)" FROM c""",
         "agg_integral_bits": 'SELECT bit_xor(l_orderkey) AS "bit_xor(l_orderkey)", bit_xor(l_linenumber) AS "bit_xor(l_linenumber)" FROM lineitem',
         "agg_boolean": 'SELECT bool_and(l_quantity > 49) AS "bool_and(big)", bool_and(l_discount >= 0) AS "bool_and(nonneg)" FROM lineitem',
