@@ -285,10 +285,7 @@ def table_set_signature(
 
 
 def _value_keys(long: LongForm, null_as_value: bool) -> DataFrame:
-    """Distinct ``(col_id, crc, fp)``: one row per distinct value of each column.
-
-    NULL becomes its own value (crc -1, outside crc32's range) when ``null_as_value``.
-    """
+    """``(col_id, crc, fp)`` per non-NULL value (NULL is its own value, crc -1, when ``null_as_value``)."""
     v = F.col("value")
     if null_as_value:
         crc = F.when(v.isNull(), F.lit(-1).cast("bigint")).otherwise(crc32_of(v))
@@ -297,43 +294,67 @@ def _value_keys(long: LongForm, null_as_value: bool) -> DataFrame:
     else:
         crc, fp = crc32_of(v), fingerprint_of(v)
         src = long.df.where(v.isNotNull())
-    return src.select("col_id", crc.alias("crc"), fp.alias("fp")).distinct()
+    return src.select("col_id", crc.alias("crc"), fp.alias("fp"))
+
+
+def column_sets(keys: DataFrame, n_columns: int) -> DataFrame:
+    """``(cols, n_values)``: how many distinct values are held by exactly the columns ``cols``.
+
+    One shuffle keyed by the value (crc, xxhash). The set of columns holding
+    a value is built as bit masks, one ``bigint`` per 64 columns, with
+    ``bit_or``: a fixed-width HashAggregate buffer with map-side partial
+    aggregation, so a hot value costs one row per map task and no object
+    aggregation is needed. A second, much smaller aggregation counts values
+    per distinct mask; the masks are then expanded to sorted column-id arrays.
+    """
+    words = max(1, (n_columns + 63) // 64)
+    cid = F.col("col_id")
+    masks = [
+        F.bit_or(
+            F.when((cid >= 64 * k) & (cid < 64 * (k + 1)), F.expr(f"shiftleft(1L, col_id - {64 * k})"))
+            .otherwise(F.lit(0).cast("bigint"))
+        ).alias(f"w{k}")
+        for k in range(words)
+    ]
+    per_value = keys.groupBy("crc", "fp").agg(*masks)
+    per_set = per_value.groupBy(*[f"w{k}" for k in range(words)]).agg(F.count(F.lit(1)).alias("n_values"))
+    ids = [
+        F.expr(f"transform(filter(sequence(0, 63), i -> (shiftright(w{k}, i) & 1) = 1), i -> i + {64 * k})")
+        for k in range(words)
+    ]
+    return per_set.select((F.concat(*ids) if len(ids) > 1 else ids[0]).alias("cols"), "n_values")
 
 
 def _pairs_of(cols):
-    """All (x, y) with x before y in a sorted array of column ids."""
+    """All (x, y) with x at or before y in a sorted array of column ids (the diagonal included)."""
     return F.flatten(
         F.transform(
             cols,
             lambda x, i: F.transform(
-                F.slice(cols, i + 2, F.greatest(F.size(cols) - i - 1, F.lit(1))),
+                F.slice(cols, i + 1, F.size(cols) - i),
                 lambda y: F.struct(x.alias("a_id"), y.alias("b_id")),
             ),
         )
     )
 
 
-def exact_intersections(keys: DataFrame, long: LongForm) -> DataFrame:
-    """``(at_ind, ac_name, bt_ind, bc_name, n_inter)`` for cross-table pairs sharing values.
+def pair_counts(sets: DataFrame) -> DataFrame:
+    """``(a_id, b_id, n)`` for a_id <= b_id: shared distinct values; the diagonal is each column's count.
 
-    Values are grouped by the set of columns holding them, and pairs are
-    emitted once per distinct column set (with its value count), never
-    once per value: a value present in many columns costs one short array
-    (at most one entry per column, so the group size is schema-bounded).
+    Pairs are emitted once per distinct column set, never once per value.
     """
-    colsets = (
-        keys.groupBy("crc", "fp")
-        .agg(F.array_sort(F.collect_list("col_id")).alias("cols"))
-        .where(F.size("cols") > 1)
-    )
-    per_set = colsets.groupBy("cols").agg(F.count(F.lit(1)).alias("n_shared"))
-    pairs = per_set.select("n_shared", F.inline(_pairs_of(F.col("cols"))))
-    a_t, a_c = long.named(F.col("a_id"))
-    b_t, b_c = long.named(F.col("b_id"))
-    inter = pairs.groupBy("a_id", "b_id").agg(F.sum("n_shared").cast("bigint").alias("n_inter"))
-    return inter.select(
-        "a_id", "b_id", a_t.alias("at_ind"), a_c.alias("ac_name"), b_t.alias("bt_ind"), b_c.alias("bc_name"), "n_inter"
-    ).where(F.col("at_ind") < F.col("bt_ind"))
+    pairs = sets.select("n_values", F.inline(_pairs_of(F.col("cols"))))
+    return pairs.groupBy("a_id", "b_id").agg(F.sum("n_values").cast("bigint").alias("n"))
+
+
+def exact_jaccard(long: LongForm, null_as_value: bool) -> DataFrame:
+    """``(a_id, b_id, n_inter, _na, _nb)`` for every pair of distinct columns sharing a value."""
+    counts = pair_counts(column_sets(_value_keys(long, null_as_value), len(long.columns)))
+    diag = counts.where(F.col("a_id") == F.col("b_id"))
+    na = diag.select(F.col("a_id"), F.col("n").alias("_na"))
+    nb = diag.select(F.col("b_id"), F.col("n").alias("_nb"))
+    inter = counts.where(F.col("a_id") < F.col("b_id")).withColumnRenamed("n", "n_inter")
+    return inter.join(na, "a_id").join(nb, "b_id")
 
 
 def joining_path_naive(
@@ -349,18 +370,17 @@ def joining_path_naive(
     if not chosen:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
     long = string_long_form(tables, chosen)
-    keys = _value_keys(long, null_as_value)
-    counts = keys.groupBy("col_id").agg(F.count(F.lit(1)).alias("n_distinct"))
-    inter = exact_intersections(keys, long)
-    na = counts.select(F.col("col_id").alias("a_id"), F.col("n_distinct").alias("_na"))
-    nb = counts.select(F.col("col_id").alias("b_id"), F.col("n_distinct").alias("_nb"))
+    scored = exact_jaccard(long, null_as_value)
+    a_t, a_c = long.named(F.col("a_id"))
+    b_t, b_c = long.named(F.col("b_id"))
     sim = F.col("n_inter") / (F.col("_na") + F.col("_nb") - F.col("n_inter")).cast("double")
     if round_digits is not None:
         sim = F.round(sim, round_digits)
     result = (
-        inter.join(na, "a_id").join(nb, "b_id")
-        .select(*PAIR_KEYS, sim.alias("similarity"))
-        .where((F.col("similarity") != 0) & (F.col("similarity") > F.lit(threshold)))
+        scored.select(
+            a_t.alias("at_ind"), a_c.alias("ac_name"), b_t.alias("bt_ind"), b_c.alias("bc_name"), sim.alias("similarity")
+        )
+        .where((F.col("at_ind") < F.col("bt_ind")) & (F.col("similarity") != 0) & (F.col("similarity") > F.lit(threshold)))
     )
     return _ordered(result)
 
@@ -375,11 +395,13 @@ def _two_column_long(tables, t1, t2, cname1, cname2) -> LongForm:
 
 def jaccard_exact_frame(tables, t1, t2, cname1, cname2, null_as_value: bool = False) -> DataFrame:
     """One row ``similarity`` = |A∩B| / |A∪B| (NULL when both are empty)."""
-    keys = _value_keys(_two_column_long(tables, t1, t2, cname1, cname2), null_as_value)
-    # col_id is the side (0 or 1); keys are distinct per side.
-    per_value = keys.groupBy("crc", "fp").agg(F.count(F.lit(1)).alias("sides"))
-    return per_value.agg(
-        (F.count_if(F.col("sides") == 2) / F.nullif(F.count(F.lit(1)), F.lit(0)).cast("double")).alias("similarity")
+    # col_id is the side (0 or 1); a value's set is [0], [1] or [0, 1].
+    sets = column_sets(_value_keys(_two_column_long(tables, t1, t2, cname1, cname2), null_as_value), 2)
+    return sets.agg(
+        (
+            F.sum(F.when(F.size("cols") == 2, F.col("n_values")).otherwise(0))
+            / F.nullif(F.sum("n_values"), F.lit(0)).cast("double")
+        ).alias("similarity")
     )
 
 

@@ -164,3 +164,14 @@ def test_collision_check(spark, g0):
     assert len(rows) == 4 * 4
     assert all(r.collisions == 0 and r.n_values == r.n_hashes for r in rows)
     assert {(r.col_name, r.n_values) for r in rows} == {("k", 3), ("t", 3), ("l", 2), ("m", 3)}
+
+
+def test_naive_more_than_64_columns(spark):
+    """Column sets span several 64-bit mask words."""
+    n = 70
+    a = spark.createDataFrame([tuple(str(j) for j in range(n))], ",".join(f"a{j} string" for j in range(n)))
+    b = spark.createDataFrame([("69",), ("0",), ("5",)], "b string")
+    rows = jp.joining_path_naive([a, b]).collect()
+    got = {(r.ac_name, r.bc_name): r.similarity for r in rows}
+    # a_j holds the single value str(j); b holds {69, 0, 5}.
+    assert got == pytest.approx({("a69", "b"): 1 / 3, ("a0", "b"): 1 / 3, ("a5", "b"): 1 / 3})
