@@ -50,10 +50,18 @@ def read_table(
     format: str | None = None,
     sep: str = "\t",
     schema: T.StructType | str | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
-    """Read one table. ``txt`` is header'd delimited text (``sep``, tab by default)."""
+    """Read one table. ``txt`` is header'd delimited text (``sep``, tab by default).
+
+    ``options`` go to the Spark reader as they are (for example
+    ``samplingRatio`` to infer a JSON schema from a sample, or ``multiLine``
+    for quoted newlines); an explicit ``schema`` skips inference entirely.
+    """
     fmt = format or format_of(path)
     reader = spark.read
+    if options:
+        reader = reader.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     infer = schema is None

@@ -79,3 +79,12 @@ def test_tableset_signature_reuse_matches_fresh(spark, g0):
     a = sorted(tuple(r) for r in ts.joining_path_hash_specific(1, "l", seed=5).collect())
     b = sorted(tuple(r) for r in joinpaths.joining_path_hash_specific(g0, 1, "l", seed=5).collect())
     assert a == b
+
+
+def test_reader_options_and_schema(tmp_path, spark):
+    csv = tmp_path / "q.csv"
+    csv.write_text('id,note\n1,"two\nlines"\n2,plain\n')
+    t = readers.read_table(spark, str(csv), options={"multiLine": "true"})
+    assert t.count() == 2 and t.where("id = 1").first().note == "two\nlines"
+    t = readers.read_table(spark, str(csv), schema="id string, note string", options={"multiLine": "true"})
+    assert dict(t.dtypes) == {"id": "string", "note": "string"}
