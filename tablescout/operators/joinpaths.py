@@ -421,16 +421,20 @@ def jaccard_minhash_frame(
 
 def get_jaccard_similarity(
     tables, t1, t2, cname1, cname2, hashnum: int = DEFAULT_HASHNUM, option: str = "min_hash",
-    seed: int | None = DEFAULT_SEED, null_as_value: bool = False,
+    seed: int | None = DEFAULT_SEED, null_as_value: bool = False, round_digits: int | None = None,
 ) -> float | None:
-    """Scalar Jaccard of two columns (``option`` is ``'min_hash'`` or ``'naive'``)."""
+    """Scalar Jaccard of two columns (``option`` is ``'min_hash'`` or ``'naive'``).
+
+    ``round_digits=2`` reproduces the original display rounding (Python's ``round``).
+    """
     if option == "min_hash":
         frame = jaccard_minhash_frame(tables, t1, t2, cname1, cname2, hashnum, seed)
     elif option == "naive":
         frame = jaccard_exact_frame(tables, t1, t2, cname1, cname2, null_as_value)
     else:
         raise ValueError(f"unknown option {option!r}; choose 'min_hash' or 'naive'")
-    return frame.first()["similarity"]
+    value = frame.first()["similarity"]
+    return value if value is None or round_digits is None else round(value, round_digits)
 
 
 def hash_collision_check(

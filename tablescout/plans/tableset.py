@@ -71,8 +71,10 @@ class TableSet:
         chosen = range(len(self.tables)) if indexes is None else [self.index(i) for i in indexes]
         return [profile.describe_table(self.tables[i]) for i in chosen]
 
-    def single_column_evaluation(self, func_str: str, table_indexes, col_names=None, **kwargs) -> list:
-        return registry.single_column_evaluate(self.tables, func_str, self._indexes(table_indexes), col_names, **kwargs)
+    def single_column_evaluation(self, func_str: str, table_indexes, col_names=None, arg_str=None, **kwargs) -> list:
+        return registry.single_column_evaluate(
+            self.tables, func_str, self._indexes(table_indexes), col_names, arg_str, **kwargs
+        )
 
     # -- join discovery --------------------------------------------------
     def signature(self, hashnum=DEFAULT_HASHNUM, seed=DEFAULT_SEED) -> DataFrame:

@@ -139,6 +139,7 @@ def test_naive_null_handling(spark):
 
 def test_jaccard_two_columns(spark, g0):
     assert jp.get_jaccard_similarity(g0, 0, 1, "k", "l", option="naive") == pytest.approx(2 / 3)
+    assert jp.get_jaccard_similarity(g0, 0, 1, "k", "l", option="naive", round_digits=2) == 0.67
     assert jp.get_jaccard_similarity(g0, 0, 1, "t", "m", option="min_hash") == 0.0
     assert jp.get_jaccard_similarity(g0, 0, 0, "k", "k", option="min_hash") == 1.0
     e = g0[0].where("false")

@@ -128,6 +128,10 @@ def test_registry_dispatch(spark, g0):
     assert out[0].where("k is null and t is null").first()["count"] == 4
     out = registry.single_column_evaluate(g0, "approxQuantile", [0], [["v"]], probabilities=[0.5], relativeError=0.0)
     assert out[0].first().value == 1.0
+    out = registry.single_column_evaluate(g0, "histogram", [0], [["v"]], 2)
+    assert [tuple(r) for r in out[0].collect()] == [(1.0, 2.0, 2), (2.0, 3.0, 2)]
+    out = registry.single_column_evaluate(g0, "distinct_count", [0], [["k", "t"]], "approx")
+    assert tuple(out[0].first()) == (3, 3)
     with pytest.raises(ValueError):
         registry.single_column_evaluate(g0, "nope", [0])
     with pytest.raises(ValueError):
