@@ -533,12 +533,6 @@ c AS (SELECT o_custkey AS v, count(*) AS n FROM orders GROUP BY 1)
 SELECT (SELECT v FROM p ORDER BY n DESC, v ASC LIMIT 1) AS "mode(o_orderpriority)",
        (SELECT v FROM s ORDER BY n DESC, v ASC LIMIT 1) AS "mode(o_orderstatus)",
        (SELECT v FROM c ORDER BY n DESC, v ASC LIMIT 1) AS "mode(o_custkey)\"""",
-        # At the finest accuracy the sketch is exact while rows <= 1e6 (true at sf0.01).
-        "quantiles_fine": "\nUNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, quantile_disc(CAST({c} AS DOUBLE), {p}) AS value FROM lineitem"
-            for c in ["l_extendedprice", "l_quantity"]
-            for p in [0.1, 0.25, 0.5, 0.9]
-        ),
         "select_columns": "SELECT p_partkey, p_brand FROM part",
         "select_expr": "SELECT p_partkey, upper(p_brand) AS brand, p_size * 2 AS double_size FROM part",
         "dedup_columns": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
