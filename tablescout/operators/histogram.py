@@ -13,7 +13,8 @@
 
 Only the min/max/count of the column come back to the driver (one row);
 the bin counts are a map-side-combined aggregation over at most
-``bins`` keys, joined to the bin list so empty bins show up.
+``bins`` keys, joined to the bin list (generated on the executors for even
+bins) so empty bins show up. Many uneven edges use a binary search.
 """
 
 from __future__ import annotations
@@ -77,25 +78,54 @@ def check_edges(edges: Sequence[float]) -> tuple[list[float], float | None]:
     return [float(e) + 0.0 for e in edges], None
 
 
-def _binned(values: DataFrame, edges: list[float], inc: float | None) -> DataFrame:
+# Up to this many edges the bin of an uneven histogram is found by counting
+# edges <= v in a literal array; beyond it, by Bucketizer's binary search.
+_LINEAR_EDGES = 64
+
+
+def _bin_index(values: DataFrame, edges: list[float], inc: float | None) -> DataFrame:
+    """``values`` restricted to ``[edges[0], edges[-1]]`` with a ``bin`` column."""
     nbins = len(edges) - 1
     lo, hi = edges[0], edges[-1]
     v = F.col("v")
     inside = values.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
-    if inc is None:
+    if inc is not None:
+        idx = F.floor((v - F.lit(lo)) / F.lit(inc)).cast("int")
+    elif len(edges) <= _LINEAR_EDGES:
         # Number of edges <= v, minus one (bisect_right - 1).
-        edge_arr = F.array(*[F.lit(e) for e in edges])
-        idx = F.size(F.filter(edge_arr, lambda e: e <= v)) - 1
+        idx = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= v)) - 1
     else:
-        idx = F.floor((v - F.lit(lo)) / F.lit(inc)).cast("int")
-    idx = F.least(idx, F.lit(nbins - 1))
-    counts = inside.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    spark = values.sparkSession
-    bins = spark.createDataFrame(
-        [(i, edges[i], edges[i + 1]) for i in range(nbins)], "bin int, bin_start_value double, bin_end_value double"
+        # Same rule (left-closed, last bin closed) by binary search on the JVM.
+        from pyspark.ml.feature import Bucketizer
+
+        inside = Bucketizer(splits=edges, inputCol="v", outputCol="_b").transform(inside)
+        idx = F.col("_b").cast("int")
+    return inside.select(F.least(idx, F.lit(nbins - 1)).alias("bin"))
+
+
+def _bin_list(spark, edges: list[float], inc: float | None):
+    """``(bin, bin_start_value, bin_end_value)``. Even bins are generated on the
+    executors with the driver's float arithmetic (``i * inc + min``, last edge
+    ``max``); explicit edges are the caller's own list."""
+    nbins = len(edges) - 1
+    if inc is None:
+        return spark.createDataFrame(
+            [(i, edges[i], edges[i + 1]) for i in range(nbins)], "bin int, bin_start_value double, bin_end_value double"
+        )
+    i = F.col("id")
+    lo, hi = F.lit(edges[0]), F.lit(edges[-1])
+    return spark.range(nbins).select(
+        i.cast("int").alias("bin"),
+        (i.cast("double") * F.lit(inc) + lo).alias("bin_start_value"),
+        F.when(i == nbins - 1, hi).otherwise((i + 1).cast("double") * F.lit(inc) + lo).alias("bin_end_value"),
     )
+
+
+def _binned(values: DataFrame, edges: list[float], inc: float | None) -> DataFrame:
+    counts = _bin_index(values, edges, inc).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     return (
-        bins.join(counts, "bin", "left")
+        _bin_list(values.sparkSession, edges, inc)
+        .join(counts, "bin", "left")
         .select("bin_start_value", "bin_end_value", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
         .orderBy("bin_start_value")
     )

@@ -138,3 +138,18 @@ def test_registry_dispatch(spark, g0):
         registry.single_column_evaluate(g0, "max", [0, 1], [["v"]])
     with pytest.raises(TypeError):
         registry.single_column_evaluate(g0, "max", 0)
+
+
+def test_histogram_many_uneven_edges_and_many_bins(spark):
+    import random
+
+    rng = random.Random(3)
+    vals = [rng.uniform(0, 1000) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    edges = sorted({round(rng.uniform(0, 1000), 3) for _ in range(300)})
+    expect = spark.sparkContext.parallelize(vals).histogram(edges)
+    assert [g[2] for g in hist(df, "x", edges)] == expect[1]
+    expect = spark.sparkContext.parallelize(vals).histogram(500)
+    got = hist(df, "x", 500)
+    assert [g[2] for g in got] == expect[1]
+    assert [g[0] for g in got] + [got[-1][1]] == expect[0]
