@@ -15,7 +15,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     temporary folder; on a cluster an unset directory is an error, since a
     machine-local folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client; the server's conf decides
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
