@@ -61,8 +61,8 @@ def mode(table: DataFrame, col_names: Sequence[str]) -> DataFrame:
     """One row, column ``mode(col)``: most frequent non-NULL value, ties to the lowest.
 
     All columns share one plan: a typed long form (row i carries column i
-    in field ``v{i}``), one map-side-combined value count, then one global
-    aggregation keeping the best value per column. No task holds a whole column.
+    in field ``v{i}``), one map-side-combined value count, the top count per
+    column, and the lowest value among the tied rows. No task holds a whole column.
     """
     names = list(col_names)
     if not names:
@@ -84,10 +84,9 @@ def mode(table: DataFrame, col_names: Sequence[str]) -> DataFrame:
         .groupBy("k", *[f"v{j}" for j in range(len(names))])
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = counts.agg(
-        *[
-            F.min(F.when(F.col("k") == i, F.struct((-F.col("n")).alias("neg"), F.col(f"v{i}").alias("v")))).alias(f"b{i}")
-            for i in range(len(names))
-        ]
-    )
-    return best.select(*[F.col(f"b{i}.v").alias(f"mode({n})") for i, n in enumerate(names)])
+    # Highest count per column (fixed-width HashAggregate), then only the tied rows
+    # (a broadcast of one row per column) feed the lowest-value pick.
+    top = counts.groupBy("k").agg(F.max("n").alias("n"))
+    ties = counts.join(F.broadcast(top), ["k", "n"])
+    best = ties.agg(*[F.min(F.when(F.col("k") == i, F.col(f"v{i}"))).alias(f"mode({n})") for i, n in enumerate(names)])
+    return best

@@ -145,22 +145,25 @@ def cat_describe(table: DataFrame, col_names: Sequence[str] | str | None = None,
         )
         return None
     counts = _text_long_form(table, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    # max over (count, is-not-null, value): most frequent, NULL loses ties, then largest value.
-    summary = counts.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        F.count(F.lit(1)).alias("uniques"),
-        F.max(F.struct(F.col("n"), F.col("value").isNotNull(), F.col("value"))).alias("top"),
+    # Fixed-width HashAggregate over all distinct values; only the tied top rows go further.
+    stats = counts.groupBy("column").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("uniques"), F.max("n").alias("mode_count")
     )
+    # One row per column: a schema-bounded broadcast. max() skips NULL, so NULL loses ties
+    # and is the mode only when it alone is most frequent; among values the largest wins.
+    ties = counts.join(F.broadcast(stats.select("column", F.col("mode_count").alias("n"))), ["column", "n"])
+    modes = ties.groupBy("column").agg(F.max("value").alias("mode"))
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("column"))
     listed = table.sparkSession.createDataFrame([(n,) for n in names], "column string")
     return (
-        listed.join(summary, "column", "left")
+        listed.join(stats, "column", "left")
+        .join(modes, "column", "left")
         .select(
             "column",
             F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
             F.coalesce(F.col("uniques"), F.lit(0)).cast("bigint").alias("uniques"),
-            F.col("top.value").alias("mode"),
-            F.coalesce(F.col("top.n"), F.lit(0)).cast("bigint").alias("mode_count"),
+            F.col("mode"),
+            F.coalesce(F.col("mode_count"), F.lit(0)).cast("bigint").alias("mode_count"),
         )
         .orderBy(order)
     )
