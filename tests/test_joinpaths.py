@@ -176,3 +176,16 @@ def test_naive_more_than_64_columns(spark):
     got = {(r.ac_name, r.bc_name): r.similarity for r in rows}
     # a_j holds the single value str(j); b holds {69, 0, 5}.
     assert got == pytest.approx({("a69", "b"): 1 / 3, ("a0", "b"): 1 / 3, ("a5", "b"): 1 / 3})
+
+
+def test_same_dataframe_twice(spark, g0):
+    """A table listed twice (self-union in the long form) matches itself exactly."""
+    t = g0[0]
+    rows = jp.multi_set_resemble([t, t], threshold=0, seed=4).collect()
+    same = {(r.ac_name, r.bc_name): r for r in rows if r.ac_name == r.bc_name}
+    assert set(same) == {("k", "k"), ("t", "t")}
+    assert all(r.similarity == 1.0 for r in same.values())
+    # k = {foo x2, max, lst}: 3 distinct values; 1/2 * mean(mult^2) * 6 is the self-join size 4+1+1=6
+    assert same[("k", "k")].aj_size == pytest.approx(0.5 * same[("k", "k")].aj_contribution * 6)
+    naive = {(r.ac_name, r.bc_name): r.similarity for r in jp.joining_path_naive([t, t]).collect()}
+    assert naive[("k", "k")] == 1.0 and naive[("t", "t")] == 1.0
