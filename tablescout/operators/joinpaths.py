@@ -347,9 +347,15 @@ def pair_counts(sets: DataFrame) -> DataFrame:
     return pairs.groupBy("a_id", "b_id").agg(F.sum("n_values").cast("bigint").alias("n"))
 
 
-def exact_jaccard(long: LongForm, null_as_value: bool) -> DataFrame:
-    """``(a_id, b_id, n_inter, _na, _nb)`` for every pair of distinct columns sharing a value."""
+def exact_jaccard(long: LongForm, null_as_value: bool, materialized: bool = True) -> DataFrame:
+    """``(a_id, b_id, n_inter, _na, _nb)`` for every pair of distinct columns sharing a value.
+
+    The pair counts (at most columns²/2 + columns rows) feed three branches;
+    they are checkpointed once so the tables are scanned exactly once.
+    """
     counts = pair_counts(column_sets(_value_keys(long, null_as_value), len(long.columns)))
+    if materialized:
+        counts = materialize(counts)
     diag = counts.where(F.col("a_id") == F.col("b_id"))
     na = diag.select(F.col("a_id"), F.col("n").alias("_na"))
     nb = diag.select(F.col("b_id"), F.col("n").alias("_nb"))
@@ -363,6 +369,7 @@ def joining_path_naive(
     table_ind: Sequence[int] | None = None,
     null_as_value: bool = False,
     round_digits: int | None = None,
+    materialized: bool = True,
 ) -> DataFrame:
     """Exact Jaccard |A∩B|/|A∪B| of every cross-table string-column pair that shares a value."""
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
@@ -370,7 +377,7 @@ def joining_path_naive(
     if not chosen:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
     long = string_long_form(tables, chosen)
-    scored = exact_jaccard(long, null_as_value)
+    scored = exact_jaccard(long, null_as_value, materialized)
     a_t, a_c = long.named(F.col("a_id"))
     b_t, b_c = long.named(F.col("b_id"))
     sim = F.col("n_inter") / (F.col("_na") + F.col("_nb") - F.col("n_inter")).cast("double")
