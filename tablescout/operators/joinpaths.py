@@ -347,15 +347,22 @@ def pair_counts(sets: DataFrame) -> DataFrame:
     return pairs.groupBy("a_id", "b_id").agg(F.sum("n_values").cast("bigint").alias("n"))
 
 
-def exact_jaccard(long: LongForm, null_as_value: bool, materialized: bool = True) -> DataFrame:
-    """``(a_id, b_id, n_inter, _na, _nb)`` for every pair of distinct columns sharing a value.
+def exact_pair_counts(long: LongForm, null_as_value: bool = False, materialized: bool = True) -> DataFrame:
+    """``(a_id, b_id, n)`` shared distinct values per column pair (diagonal: distinct count).
 
-    The pair counts (at most columns²/2 + columns rows) feed three branches;
-    they are checkpointed once so the tables are scanned exactly once.
+    At most columns²/2 + columns rows; checkpointed so later branches (and
+    later calls, see ``TableSet``) never rescan the tables.
     """
     counts = pair_counts(column_sets(_value_keys(long, null_as_value), len(long.columns)))
-    if materialized:
-        counts = materialize(counts)
+    return materialize(counts) if materialized else counts
+
+
+def exact_jaccard(
+    long: LongForm, null_as_value: bool, materialized: bool = True, counts: DataFrame | None = None
+) -> DataFrame:
+    """``(a_id, b_id, n_inter, _na, _nb)`` for every pair of distinct columns sharing a value."""
+    if counts is None:
+        counts = exact_pair_counts(long, null_as_value, materialized)
     diag = counts.where(F.col("a_id") == F.col("b_id"))
     na = diag.select(F.col("a_id"), F.col("n").alias("_na"))
     nb = diag.select(F.col("b_id"), F.col("n").alias("_nb"))
@@ -370,14 +377,28 @@ def joining_path_naive(
     null_as_value: bool = False,
     round_digits: int | None = None,
     materialized: bool = True,
+    pair_counts_of: tuple[LongForm, DataFrame] | None = None,
 ) -> DataFrame:
-    """Exact Jaccard |A∩B|/|A∪B| of every cross-table string-column pair that shares a value."""
+    """Exact Jaccard |A∩B|/|A∪B| of every cross-table string-column pair that shares a value.
+
+    ``pair_counts_of`` may hold a precomputed ``(long form, exact_pair_counts)``
+    of all string columns of ``tables`` with the same ``null_as_value``.
+    """
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
     chosen = [i for i in chosen if string_columns(tables[i])]
     if not chosen:
         raise ValueError("None of the tables provided contains categorical (string) fields.")
-    long = string_long_form(tables, chosen)
-    scored = exact_jaccard(long, null_as_value, materialized)
+    if pair_counts_of is not None:
+        long, counts = pair_counts_of
+        scored = exact_jaccard(long, null_as_value, counts=counts)
+        if table_ind is not None:
+            keep = F.array(*[F.lit(i) for i in chosen])
+            a_t, _ = long.named(F.col("a_id"))
+            b_t, _ = long.named(F.col("b_id"))
+            scored = scored.where(F.array_contains(keep, a_t) & F.array_contains(keep, b_t))
+    else:
+        long = string_long_form(tables, chosen)
+        scored = exact_jaccard(long, null_as_value, materialized)
     a_t, a_c = long.named(F.col("a_id"))
     b_t, b_c = long.named(F.col("b_id"))
     sim = F.col("n_inter") / (F.col("_na") + F.col("_nb") - F.col("n_inter")).cast("double")

@@ -27,6 +27,7 @@ class TableSet:
         if len(self.names) != len(self.tables):
             raise ValueError("one name per table is required")
         self._signatures: dict[tuple, DataFrame] = {}
+        self._pair_counts: dict[bool, tuple] = {}
 
     @classmethod
     def from_paths(
@@ -113,8 +114,22 @@ class TableSet:
             signature=self.signature(hashnum, seed),
         )
 
+    def exact_pair_counts(self, null_as_value: bool = False):
+        """Checkpointed exact shared-value counts of all string-column pairs, computed once."""
+        if null_as_value not in self._pair_counts:
+            from tablescout.operators.signature import string_long_form
+
+            long = string_long_form(self.tables)
+            if long is None:
+                raise ValueError("None of the tables provided contains categorical (string) fields.")
+            self._pair_counts[null_as_value] = (long, joinpaths.exact_pair_counts(long, null_as_value))
+        return self._pair_counts[null_as_value]
+
     def joining_path_naive(self, threshold=0, table_ind=None, null_as_value=False, round_digits=None):
-        return joinpaths.joining_path_naive(self.tables, threshold, self._indexes(table_ind), null_as_value, round_digits)
+        return joinpaths.joining_path_naive(
+            self.tables, threshold, self._indexes(table_ind), null_as_value, round_digits,
+            pair_counts_of=self.exact_pair_counts(null_as_value),
+        )
 
     def jaccard_similarity(self, t1, t2, cname1, cname2, hashnum=DEFAULT_HASHNUM, option="min_hash", seed=DEFAULT_SEED):
         """Scalar (one tiny job)."""

@@ -109,3 +109,16 @@ def test_kmeans_outliers_equal_scoring_with_fitted_centres(spark):
         if min(math.dist((r.p_size, r.p_retailprice), c) for c in centres) > 20.0
     )
     assert got == brute
+
+
+def test_tableset_exact_counts_reuse_matches_fresh(spark, g0):
+    from tablescout.operators import joinpaths
+
+    extra = spark.createDataFrame([("foo",), ("zzz",)], "q string")
+    ts = TableSet([g0[0], g0[1], extra])
+    first = ts.exact_pair_counts()
+    assert ts.exact_pair_counts() is first
+    for kwargs in ({}, {"threshold": 0.3}, {"table_ind": [0, 2]}, {"round_digits": 2}):
+        a = sorted(tuple(r) for r in ts.joining_path_naive(**kwargs).collect())
+        b = sorted(tuple(r) for r in joinpaths.joining_path_naive([g0[0], g0[1], extra], **kwargs).collect())
+        assert a == b, kwargs
