@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablescout.functions.schema import col
+
 # Beyond this many centre-coordinates the unrolled ``least`` expression
 # grows too large for codegen; switch to an array expression.
 _UNROLL_LIMIT = 512
@@ -20,7 +22,7 @@ def nearest_center_distance(features: Sequence[str], centers: Sequence[Sequence[
     for c in centers:
         if len(c) != dims:
             raise ValueError(f"centre {list(c)} has {len(c)} coordinates, expected {dims}")
-    xs = [F.col(f).cast("double") for f in features]
+    xs = [col(f).cast("double") for f in features]
     if len(centers) * dims <= _UNROLL_LIMIT:
         sq = [
             sum(((x - F.lit(float(cj))) * (x - F.lit(float(cj))) for x, cj in zip(xs, c)), F.lit(0.0))

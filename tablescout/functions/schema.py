@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -11,6 +12,11 @@ FLOATING_TYPES = (T.FloatType, T.DoubleType)
 CATEGORICAL_TYPES = (T.StringType, T.BinaryType, T.BooleanType)
 
 
+def col(name: str) -> Column:
+    """A column by its exact name, even with dots or backticks in it (CSV headers)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def string_columns(table: DataFrame) -> list[str]:
     """Names of the string columns, in table order (join-discovery candidates)."""
     return [f.name for f in table.schema.fields if isinstance(f.dataType, T.StringType)]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablescout.functions.schema import INTEGRAL_TYPES, field_type, is_numeric
+from tablescout.functions.schema import INTEGRAL_TYPES, col, field_type, is_numeric
 
 ANY_TYPE = {
     "count", "min", "max", "first", "last", "first_value", "last_value", "any_value",
@@ -71,7 +71,7 @@ def mode(table: DataFrame, col_names: Sequence[str]) -> DataFrame:
     items = [
         F.struct(
             F.lit(i).alias("k"),
-            *[(F.col(n) if j == i else F.lit(None).cast(types[j])).alias(f"v{j}") for j, n in enumerate(names)],
+            *[(col(n) if j == i else F.lit(None).cast(types[j])).alias(f"v{j}") for j, n in enumerate(names)],
         )
         for i in range(len(names))
     ]

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablescout.functions.schema import field_type, is_numeric
+from tablescout.functions.schema import col, field_type, is_numeric
 
 SCHEMA = "bin_start_value double, bin_end_value double, count bigint"
 
@@ -33,7 +33,7 @@ SCHEMA = "bin_start_value double, bin_end_value double, count bigint"
 def _values(table: DataFrame, col_name: str) -> DataFrame:
     if not is_numeric(field_type(table, col_name)):
         raise TypeError(f"histogram needs a numeric column, {col_name!r} is {field_type(table, col_name).simpleString()}")
-    v = F.col(col_name).cast("double")
+    v = col(col_name).cast("double")
     return table.select(v.alias("v")).where(v.isNotNull() & ~F.isnan(v))
 
 

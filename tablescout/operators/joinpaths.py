@@ -23,7 +23,7 @@ from tablescout.functions.hashing import (
     fingerprint_of,
     hash_coefficients,
 )
-from tablescout.functions.schema import field_type, string_columns
+from tablescout.functions.schema import col, field_type, string_columns
 from tablescout.operators.signature import (
     column_digest,
     hashed_digest,
@@ -418,7 +418,7 @@ def _two_column_long(tables, t1, t2, cname1, cname2) -> LongForm:
         if c not in tables[t].columns:
             raise ValueError(f"cannot resolve column {c!r} in table {t}")
     # Tag the sides 0 and 1 so a column compared with itself still works.
-    return long_form([(0, tables[t1], [cname1]), (1, tables[t2], [cname2])], value_expr=lambda c: F.col(c).cast("string"))
+    return long_form([(0, tables[t1], [cname1]), (1, tables[t2], [cname2])], value_expr=lambda c: col(c).cast("string"))
 
 
 def jaccard_exact_frame(tables, t1, t2, cname1, cname2, null_as_value: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.functions.distance import nearest_center_distance
-from tablescout.functions.schema import field_type, is_numeric, require_columns
+from tablescout.functions.schema import col, field_type, is_numeric, require_columns
 
 
 def _features(table: DataFrame, col_names: Sequence[str]) -> list[str]:
@@ -41,7 +41,7 @@ def fit_centers(
     """k-means centres (``num_clusters`` x features; the only eager step)."""
     names = _features(table, col_names)
     assembled = VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="skip").transform(
-        table.select(*[F.col(n).cast("double").alias(n) for n in names])
+        table.select(*[col(n).cast("double").alias(n) for n in names])
     )
     km = KMeans(
         k=num_clusters, maxIter=maxIterations, initMode=initializationMode, featuresCol="_features"

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablescout.functions.schema import col
+
 
 def _names(table: DataFrame, col_names) -> list[str]:
     if col_names is None:
@@ -33,7 +35,7 @@ def quantiles(
             raise ValueError(f"probability {p} not in [0, 1]")
     aggs = []
     for i, n in enumerate(names):
-        x = F.col(n).cast("double")
+        x = col(n).cast("double")
         accuracy = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
         aggs.append(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), accuracy).alias(f"q{i}"))
     wide = table.agg(*aggs)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tablescout.functions.schema import (
     FLOATING_TYPES,
     categorical_columns,
+    col,
     field_type,
     is_numeric,
     require_columns,
@@ -58,8 +59,8 @@ def _as_text(table: DataFrame, name: str) -> Column:
     """The column rendered as text: binary as hex, everything else cast."""
     dt = field_type(table, name)
     if isinstance(dt, T.BinaryType):
-        return F.hex(F.col(name))
-    return F.col(name).cast("string")
+        return F.hex(col(name))
+    return col(name).cast("string")
 
 
 def _text_long_form(table: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -83,9 +84,9 @@ def describe_long(table: DataFrame, col_names: Sequence[str] | None = None) -> D
         return table.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
     aggs = []
     for i, n in enumerate(names):
-        x = F.col(n).cast("double")
+        x = col(n).cast("double")
         aggs += [
-            F.count(F.col(n)).alias(f"c{i}"),
+            F.count(col(n)).alias(f"c{i}"),
             F.avg(x).alias(f"m{i}"),
             F.stddev_samp(x).alias(f"s{i}"),
             F.min(x).alias(f"lo{i}"),
@@ -174,9 +175,9 @@ def distinct_count(table: DataFrame, col_names: Sequence[str] | str | None, meth
     names = _columns(table, col_names)
     require_columns(table, names)
     if method in ("exact", None):
-        return table.agg(*[F.count_distinct(F.col(c)).alias(c) for c in names])
+        return table.agg(*[F.count_distinct(col(c)).alias(c) for c in names])
     if method == "approx":
-        return table.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in names])
+        return table.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in names])
     raise ValueError(f"Unknown method {method}, choose between ['exact', 'approx']")
 
 
@@ -190,7 +191,7 @@ def nan_count(table: DataFrame, col_names: Sequence[str] | str | None, arg_str=N
     require_columns(table, names)
     return table.agg(
         *[
-            (F.count_if(F.isnan(F.col(c))) if _is_floating(table, c) else F.lit(0).cast("bigint")).alias(c)
+            (F.count_if(F.isnan(col(c))) if _is_floating(table, c) else F.lit(0).cast("bigint")).alias(c)
             for c in names
         ]
     )
@@ -200,7 +201,7 @@ def null_count(table: DataFrame, col_names: Sequence[str] | str | None, arg_str=
     """NULL values per column."""
     names = _columns(table, col_names)
     require_columns(table, names)
-    return table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    return table.agg(*[F.count_if(col(c).isNull()).alias(c) for c in names])
 
 
 def missing_count(table: DataFrame, col_names: Sequence[str] | str | None, arg_str=None) -> DataFrame:
@@ -209,7 +210,7 @@ def missing_count(table: DataFrame, col_names: Sequence[str] | str | None, arg_s
     require_columns(table, names)
 
     def missing(c):
-        cond = F.col(c).isNull()
-        return cond | F.isnan(F.col(c)) if _is_floating(table, c) else cond
+        cond = col(c).isNull()
+        return cond | F.isnan(col(c)) if _is_floating(table, c) else cond
 
     return table.agg(*[F.count_if(missing(c)).alias(c) for c in names])

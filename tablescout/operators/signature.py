@@ -31,7 +31,7 @@ from tablescout.functions.hashing import (
     fingerprint_of,
     universal_hash,
 )
-from tablescout.functions.schema import string_columns
+from tablescout.functions.schema import col, string_columns
 from tablescout.session import checkpoint_dir
 
 SIGNATURE_COLUMNS = ["table_index", "col_name", "hash_index", "hash_value", "min_hash_count"]
@@ -74,7 +74,7 @@ def long_form(
             values.append(
                 F.struct(
                     F.lit(len(columns)).alias("col_id"),
-                    (value_expr(c) if value_expr else F.col(c)).alias("value"),
+                    (value_expr(c) if value_expr else col(c)).alias("value"),
                 )
             )
             columns.append((index, c))

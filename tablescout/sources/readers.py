@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablescout.functions.schema import col
+
 _COMPRESSION = {"gz", "bz2", "deflate", "lz4", "snappy", "zst", "zstd", "xz"}
 FORMATS = ("csv", "json", "txt", "parquet")
 
@@ -39,7 +41,7 @@ def format_of(path: str) -> str:
 def cast_categorical(table: DataFrame, categorical_cols: Iterable[str] = ()) -> DataFrame:
     """Cast the listed columns to string; names the table lacks are ignored."""
     present = set(table.columns)
-    casts = {c: F.col(c).cast(T.StringType()) for c in categorical_cols if c in present}
+    casts = {c: col(c).cast(T.StringType()) for c in categorical_cols if c in present}
     return table.withColumns(casts) if casts else table
 
 

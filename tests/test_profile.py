@@ -153,3 +153,25 @@ def test_histogram_many_uneven_edges_and_many_bins(spark):
     got = hist(df, "x", 500)
     assert [g[2] for g in got] == expect[1]
     assert [g[0] for g in got] + [got[-1][1]] == expect[0]
+
+
+def test_dotted_and_spaced_column_names(spark, tmp_path):
+    from tablescout.operators import joinpaths, outliers
+    from tablescout.sources import readers
+
+    csv = tmp_path / "odd.csv"
+    csv.write_text("summons.number,plate id,amount.usd\n1,AB,1.5\n2,CD,2.5\n2,CD,\n")
+    t = readers.read_table(spark, str(csv), ["summons.number"])
+    assert dict(t.dtypes)["summons.number"] == "string"
+    assert tuple(profile.null_count(t, ["amount.usd", "plate id"]).first()) == (1, 0)
+    assert tuple(profile.distinct_count(t, ["summons.number"]).first()) == (2,)
+    rows = {r.column: tuple(r)[1:] for r in profile.cat_describe(t).collect()}
+    assert rows["summons.number"] == (3, 2, "2", 2) and rows["plate id"] == (3, 2, "CD", 2)
+    assert [r["count"] for r in histogram.histogram(t, "amount.usd", 2).collect()] == [1, 1]
+    assert aggregates.aggregate(t, "mode", ["plate id"]).first()[0] == "CD"
+    other = spark.createDataFrame([("2",), ("9",)], "`x.y` string")
+    res = joinpaths.joining_path_naive([t, other]).collect()
+    assert [(r.ac_name, r.bc_name, r.similarity) for r in res] == [("summons.number", "x.y", 1 / 3)]
+    assert joinpaths.multi_set_resemble([t, other], seed=1).count() == 1
+    far = outliers.outliers_given_centers(t, ["amount.usd"], [[0.0]], 2.0).collect()
+    assert len(far) == 1
