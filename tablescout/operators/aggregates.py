@@ -54,7 +54,8 @@ def aggregate(table: DataFrame, func: str, col_names: Sequence[str] | str | None
         _check(table, func, n)
     if func == "mode":
         return mode(table, names)
-    return table.agg({n: func for n in names})
+    # Quoted keys resolve names with dots; Spark still names the output ``func(name)``.
+    return table.agg({"`" + n.replace("`", "``") + "`": func for n in names})
 
 
 def mode(table: DataFrame, col_names: Sequence[str]) -> DataFrame:

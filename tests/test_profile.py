@@ -169,6 +169,7 @@ def test_dotted_and_spaced_column_names(spark, tmp_path):
     assert rows["summons.number"] == (3, 2, "2", 2) and rows["plate id"] == (3, 2, "CD", 2)
     assert [r["count"] for r in histogram.histogram(t, "amount.usd", 2).collect()] == [1, 1]
     assert aggregates.aggregate(t, "mode", ["plate id"]).first()[0] == "CD"
+    assert aggregates.aggregate(t, "max", ["amount.usd"]).columns == ["max(amount.usd)"]
     other = spark.createDataFrame([("2",), ("9",)], "`x.y` string")
     res = joinpaths.joining_path_naive([t, other]).collect()
     assert [(r.ac_name, r.bc_name, r.similarity) for r in res] == [("summons.number", "x.y", 1 / 3)]
