@@ -20,6 +20,11 @@ def _names(table: DataFrame, col_names) -> list[str]:
     return [col_names] if isinstance(col_names, str) else list(col_names)
 
 
+def _cols(table: DataFrame, col_names):
+    """Columns by exact name (names with dots or spaces included)."""
+    return [col(n) for n in _names(table, col_names)]
+
+
 def quantiles(
     table: DataFrame, col_names, probabilities: Sequence[float] = (0.25, 0.5, 0.75), relative_error: float = 0.01
 ) -> DataFrame:
@@ -53,19 +58,19 @@ def _grouping_sets(table: DataFrame, sets, cols=None) -> DataFrame:
 
 
 PASS_THROUGH = {
-    "select": lambda t, c: t.select(*_names(t, c)),
+    "select": lambda t, c: t.select(*_cols(t, c)),
     "selectExpr": lambda t, c: t.selectExpr(*_names(t, c)),
     "describe": lambda t, c: t.describe(*_names(t, c)),
     "summary": lambda t, c, *stats: t.select(*_names(t, c)).summary(*stats),
     "dropDuplicates": lambda t, c: t.dropDuplicates(_names(t, c)),
     "drop_duplicates": lambda t, c: t.dropDuplicates(_names(t, c)),
-    "orderBy": lambda t, c, ascending=True: t.orderBy(*_names(t, c), ascending=ascending),
-    "sort": lambda t, c, ascending=True: t.sort(*_names(t, c), ascending=ascending),
-    "sortWithinPartitions": lambda t, c, ascending=True: t.sortWithinPartitions(*_names(t, c), ascending=ascending),
-    "groupBy": lambda t, c: t.groupBy(*_names(t, c)).count(),
-    "groupby": lambda t, c: t.groupBy(*_names(t, c)).count(),
-    "cube": lambda t, c: t.cube(*_names(t, c)).count(),
-    "rollup": lambda t, c: t.rollup(*_names(t, c)).count(),
+    "orderBy": lambda t, c, ascending=True: t.orderBy(*_cols(t, c), ascending=ascending),
+    "sort": lambda t, c, ascending=True: t.sort(*_cols(t, c), ascending=ascending),
+    "sortWithinPartitions": lambda t, c, ascending=True: t.sortWithinPartitions(*_cols(t, c), ascending=ascending),
+    "groupBy": lambda t, c: t.groupBy(*_cols(t, c)).count(),
+    "groupby": lambda t, c: t.groupBy(*_cols(t, c)).count(),
+    "cube": lambda t, c: t.cube(*_cols(t, c)).count(),
+    "rollup": lambda t, c: t.rollup(*_cols(t, c)).count(),
     "groupingSets": _grouping_sets,
     "freqItems": lambda t, c, support=None: t.freqItems(_names(t, c), support),
     "approxQuantile": lambda t, c, probabilities=(0.25, 0.5, 0.75), relativeError=0.01: quantiles(

@@ -170,6 +170,11 @@ def test_dotted_and_spaced_column_names(spark, tmp_path):
     assert [r["count"] for r in histogram.histogram(t, "amount.usd", 2).collect()] == [1, 1]
     assert aggregates.aggregate(t, "mode", ["plate id"]).first()[0] == "CD"
     assert aggregates.aggregate(t, "max", ["amount.usd"]).columns == ["max(amount.usd)"]
+    from tablescout.operators.passthrough import PASS_THROUGH
+
+    assert PASS_THROUGH["select"](t, ["amount.usd"]).columns == ["amount.usd"]
+    assert PASS_THROUGH["cube"](t, ["plate id", "summons.number"]).count() == 7
+    assert PASS_THROUGH["orderBy"](t, ["amount.usd"]).first()["amount.usd"] is None
     other = spark.createDataFrame([("2",), ("9",)], "`x.y` string")
     res = joinpaths.joining_path_naive([t, other]).collect()
     assert [(r.ac_name, r.bc_name, r.similarity) for r in res] == [("summons.number", "x.y", 1 / 3)]
