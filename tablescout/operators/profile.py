@@ -71,7 +71,9 @@ def _text_long_form(table: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def describe_table(table: DataFrame, col_names: Sequence[str] | None = None) -> DataFrame:
     """Spark's own ``describe`` (string cells: count, mean, stddev, min, max)."""
-    return table.describe(*_columns(table, col_names)) if col_names else table.describe()
+    if not col_names:
+        return table.describe()
+    return table.select(*[col(n) for n in _columns(table, col_names)]).describe()
 
 
 def describe_long(table: DataFrame, col_names: Sequence[str] | None = None) -> DataFrame:

@@ -173,6 +173,7 @@ def test_dotted_and_spaced_column_names(spark, tmp_path):
     from tablescout.operators.passthrough import PASS_THROUGH
 
     assert PASS_THROUGH["select"](t, ["amount.usd"]).columns == ["amount.usd"]
+    assert profile.describe_table(t, ["amount.usd"]).columns == ["summary", "amount.usd"]
     assert PASS_THROUGH["cube"](t, ["plate id", "summons.number"]).count() == 7
     assert PASS_THROUGH["orderBy"](t, ["amount.usd"]).first()["amount.usd"] is None
     other = spark.createDataFrame([("2",), ("9",)], "`x.y` string")
