@@ -71,9 +71,14 @@ def _text_long_form(table: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def describe_table(table: DataFrame, col_names: Sequence[str] | None = None) -> DataFrame:
     """Spark's own ``describe`` (string cells: count, mean, stddev, min, max)."""
-    if not col_names:
-        return table.describe()
-    return table.select(*[col(n) for n in _columns(table, col_names)]).describe()
+    # describe() covers numeric and string columns only.
+    names = [
+        n for n in _columns(table, col_names)
+        if is_numeric(field_type(table, n)) or isinstance(field_type(table, n), T.StringType)
+    ]
+    # Spark's describe cannot resolve names with dots: describe plain aliases, rename back.
+    plain = table.select(*[col(n).alias(f"_c{i}") for i, n in enumerate(names)])
+    return plain.describe().toDF("summary", *names)
 
 
 def describe_long(table: DataFrame, col_names: Sequence[str] | None = None) -> DataFrame:

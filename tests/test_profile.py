@@ -48,6 +48,8 @@ def test_describe_long(spark, g0):
     assert r.column == "v" and r["count"] == 4 and r["mean"] == pytest.approx(1.75)
     assert r.stddev == pytest.approx(math.sqrt(11 / 12)) and r["min"] == 1 and r["max"] == 3
     assert profile.describe_table(g0[0]).count() == 5
+    mixed = spark.sql("select 1 as a, 'x' as s, current_timestamp() as ts, true as b")
+    assert profile.describe_table(mixed).columns == mixed.describe().columns == ["summary", "a", "s"]
 
 
 def test_counts(spark):
