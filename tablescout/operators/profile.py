@@ -124,7 +124,7 @@ def value_count(table: DataFrame, col_names: Sequence[str] | str | None, arg_str
         if c not in table.columns:
             warnings.warn(f"Cannot resolve column: {c}", stacklevel=2)
             continue
-        out.append(table.groupBy(c).count())
+        out.append(table.groupBy(col(c)).count())
     return out
 
 

@@ -176,6 +176,8 @@ def test_dotted_and_spaced_column_names(spark, tmp_path):
 
     assert PASS_THROUGH["select"](t, ["amount.usd"]).columns == ["amount.usd"]
     assert profile.describe_table(t, ["amount.usd"]).columns == ["summary", "amount.usd"]
+    (vc,) = profile.value_count(t, ["summons.number"])
+    assert vc.columns == ["summons.number", "count"] and vc.count() == 2
     assert PASS_THROUGH["cube"](t, ["plate id", "summons.number"]).count() == 7
     assert PASS_THROUGH["orderBy"](t, ["amount.usd"]).first()["amount.usd"] is None
     other = spark.createDataFrame([("2",), ("9",)], "`x.y` string")
