@@ -46,3 +46,34 @@ def test_histogram_counts_sum_to_valid_rows(spark, xs, bins):
     assert sum(r["count"] for r in rows) == len(valid)
     expect = spark.sparkContext.parallelize(valid).histogram(bins)
     assert [r["count"] for r in rows] == expect[1]
+
+
+cells = st.one_of(st.none(), st.integers(min_value=0, max_value=12).map(str))
+
+
+@SETTINGS
+@given(
+    widths=st.lists(st.integers(1, 4), min_size=2, max_size=3),
+    rows=st.integers(1, 25),
+    data=st.data(),
+)
+def test_exact_paths_match_brute_force(spark, widths, rows, data):
+    tables, cols = [], []
+    for t, w in enumerate(widths):
+        values = [tuple(data.draw(cells) for _ in range(w)) for _ in range(rows)]
+        names = [f"t{t}c{j}" for j in range(w)]
+        tables.append(spark.createDataFrame(values, ", ".join(f"{n} string" for n in names)))
+        cols.append((names, values))
+    expect = {}
+    for ta in range(len(cols)):
+        for tb in range(ta + 1, len(cols)):
+            for ja, na in enumerate(cols[ta][0]):
+                for jb, nb in enumerate(cols[tb][0]):
+                    sa = {r[ja] for r in cols[ta][1] if r[ja] is not None}
+                    sb = {r[jb] for r in cols[tb][1] if r[jb] is not None}
+                    if sa & sb:
+                        expect[(ta, na, tb, nb)] = len(sa & sb) / len(sa | sb)
+    got = {(r.at_ind, r.ac_name, r.bt_ind, r.bc_name): r.similarity for r in joinpaths.joining_path_naive(tables).collect()}
+    assert got.keys() == expect.keys()
+    for k, v in expect.items():
+        assert got[k] == v
