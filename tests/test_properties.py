@@ -77,3 +77,35 @@ def test_exact_paths_match_brute_force(spark, widths, rows, data):
     assert got.keys() == expect.keys()
     for k, v in expect.items():
         assert got[k] == v
+
+
+@SETTINGS
+@given(data=st.data(), width=st.integers(1, 3), rows=st.integers(0, 30))
+def test_cat_describe_and_mode_match_brute_force(spark, data, width, rows):
+    from collections import Counter
+
+    from tablescout.operators import aggregates, profile
+
+    small = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "dd"]))
+    values = [tuple(data.draw(small) for _ in range(width)) for _ in range(rows)]
+    names = [f"c{j}" for j in range(width)]
+    df = spark.createDataFrame(values, ", ".join(f"{n} string" for n in names))
+    got = {r.column: tuple(r)[1:] for r in profile.cat_describe(df).collect()}
+    modes = aggregates.aggregate(df, "mode", names).first()
+    for j, n in enumerate(names):
+        counts = Counter(v[j] for v in values)
+        if counts:
+            top = max(counts.values())
+            tied = [v for v, c in counts.items() if c == top]
+            non_null = [v for v in tied if v is not None]
+            mode = max(non_null) if non_null else None
+            expect = (rows, len(counts), mode, top)
+        else:
+            expect = (0, 0, None, 0)
+        assert got[n] == expect
+        present = Counter(v[j] for v in values if v[j] is not None)
+        if present:
+            best = max(present.values())
+            assert modes[f"mode({n})"] == min(v for v, c in present.items() if c == best)
+        else:
+            assert modes[f"mode({n})"] is None
