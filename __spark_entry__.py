@@ -11,6 +11,7 @@ Floating results whose value depends on summation order are rounded to
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import uuid
 from collections.abc import Callable
@@ -117,6 +118,11 @@ def _derived_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _has(module: str) -> bool:
+    """Whether an optional part of the library is there."""
+    return importlib.util.find_spec(module) is not None
+
+
 CENTERS = [[10.0, 910.0], [40.0, 990.0]]
 
 
@@ -246,6 +252,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _read(s, d, "part"), ["p_size", "p_retailprice"], 4, 20.0, seed=SEED
         ),
     }
+    if _has("tablescout.llm"):
+        from tablescout.llm.queries import QUERIES
+
+        q.update(QUERIES)
+    if _has("tablescout.llm") and _has("corpus_pipeline"):
+        import corpus_pipeline
+
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
@@ -547,4 +561,13 @@ UNION ALL SELECT p_partkey, 'p_retailprice' AS variable, p_retailprice AS value
         "sum_distance": f"""SELECT round(sum(d), 6) AS sum_distance, round(sum(d * d), 6) AS sum_squared_distance
 FROM (SELECT {_dist_sql(['p_size', 'p_retailprice'])} AS d FROM part) t WHERE d IS NOT NULL AND NOT isnan(d)""",
     }
+    if _has("tablescout.llm"):
+        from tablescout.llm.queries import ORACLE_SQL
+
+        sql.update(ORACLE_SQL)
+    if _has("tablescout.llm") and _has("corpus_pipeline"):
+        import corpus_pipeline
+
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql

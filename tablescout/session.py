@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,7 +28,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        if fallback is None and not sc.master.startswith("local"):
+        if fallback is None and not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf = fallback or tempfile.mkdtemp(prefix="tablescout-ckpt-")
     sc.setCheckpointDir(conf)
