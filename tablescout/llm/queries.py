@@ -3,20 +3,106 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablescout.llm import simhash
+from tablescout.llm import decontaminate, licenses, secrets, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return found.select("doc_id", text("licenses"), text("sentence_ids"), text("sentence_nos"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window_words=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 QUERIES = {
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_license_scan": op9_license_scan,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _topk_sql() -> str:
+    return """WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS cid,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), p -> coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.rid <> c.rid)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id ASC NULLS LAST, cid) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+
+def _license_sql() -> str:
+    quoted = lambda *xs: "(" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + ")"
+    known, code = licenses.known_sentences(), licenses.codes()
+    values = ", ".join(quoted(s, i, code[i]) for s, i in known.items())
+    end = licenses.SENTENCE_END.encode().decode("unicode_escape").replace("\t", "\\t").replace("\r", "\\r").replace("\n", "\\n")
+    cases = " ".join(f"WHEN regexp_matches(m, '{p}') THEN '{name}'" for name, p in licenses.rule_patterns())
+    return f"""WITH known(sentence, identifier, code) AS (VALUES {values}),
+d AS (SELECT DISTINCT doc_id, text, string_split_regex(text, '{end}') AS parts FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, text, unnest(list_transform(parts, (x, i) -> {{'raw': x, 'no': i - 1}})) AS p FROM d),
+n AS (SELECT doc_id, text, p.no AS no, regexp_replace(regexp_replace(
+        trim(regexp_replace(lower(p.raw), '{licenses.OTHER}', ' ', 'g'), ' '), '{licenses.LEAD_IN}', 'under '), '{licenses.LIST_MARK}', '') AS sentence FROM s),
+k AS (SELECT n.*, identifier, code, no - lag(no) OVER (PARTITION BY doc_id, text ORDER BY no) AS step FROM n JOIN known USING (sentence)),
+g AS (SELECT doc_id, string_agg(CASE WHEN step > {licenses.MAX_GAP + 1} THEN '|' ELSE '' END || code, '' ORDER BY no) AS codes,
+        string_agg(identifier, ',' ORDER BY no) AS sentence_ids, string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS sentence_nos
+      FROM k GROUP BY doc_id, text)
+SELECT doc_id, array_to_string(list_transform(regexp_extract_all(codes, '{licenses.rule_pattern()}'), m -> CASE {cases} END), ',') AS licenses,
+       sentence_ids, sentence_nos
+FROM g WHERE len(regexp_extract_all(codes, '{licenses.rule_pattern()}')) > 0"""
+
+
+def _decontaminate_sql() -> str:
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    return f"""WITH b AS (SELECT item_id, {words} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n,
+         unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), i -> array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS win
+       FROM b WHERE len(w) > 0),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+dw AS (SELECT rid, n, unnest(list_transform(range(1, len(w) - n + 2), i -> {{'i': i, 'win': array_to_string(w[i:i + n - 1], ' ')}})) AS x
+       FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+h AS (SELECT rid, x.i AS i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND x.win = bw.win),
+p AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS q FROM h) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_top_k": _topk_sql(),
+    "op9_license_scan": _license_sql(),
+    "op10_decontaminate": _decontaminate_sql(),
+}
