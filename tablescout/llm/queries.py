@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import decontaminate, licenses, secrets, simhash, topk
+from tablescout.llm import decontaminate, langid, licenses, linededup, packing, secrets, simhash, topk
+from tablescout.llm.common import in_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dropped_lines(_table(spark, sf_dir, "documents"))
+    lines = F.array_join(F.col("dropped").cast("array<string>"), ",")
+    return found.select("doc_id", "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"), lines.alias("dropped_lines"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    found = langid.identify(docs, langid.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_char", "accepted")
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -21,6 +36,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -39,8 +58,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_language_id": op2_language_id,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
