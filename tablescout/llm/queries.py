@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import decontaminate, langid, licenses, linededup, packing, secrets, simhash, topk
+from tablescout.llm import decontaminate, langid, licenses, linededup, packing, secrets, simhash, topk, toxicity
 from tablescout.llm.common import in_fold
 
 
@@ -40,6 +40,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 3, 1)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    found = toxicity.classify(docs, toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id")))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence", "cosines")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +71,7 @@ QUERIES = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
