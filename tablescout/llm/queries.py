@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import decontaminate, langid, licenses, linededup, packing, secrets, simhash, topk, toxicity
+from tablescout.llm import decontaminate, langid, licenses, linededup, lmscore, packing, secrets, simhash, topk, toxicity
 from tablescout.llm.common import in_fold
 
 
@@ -27,6 +27,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_char", "accepted")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), 10, 0)
+    found = lmscore.score(_table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -68,6 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
+    "op3_lm_score": op3_lm_score,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
