@@ -436,15 +436,17 @@ def jaccard_exact_frame(tables, t1, t2, cname1, cname2, null_as_value: bool = Fa
 def jaccard_minhash_frame(
     tables, t1, t2, cname1, cname2, hashnum: int = DEFAULT_HASHNUM, seed: int | None = DEFAULT_SEED
 ) -> DataFrame:
-    """One row ``similarity`` = share of hash functions whose minima agree."""
+    """One row ``similarity`` = share of hash functions whose minima agree; NULL if both columns are empty."""
     coeffs = hash_coefficients(hashnum, seed)
     long = _two_column_long(tables, t1, t2, cname1, cname2)
     sig = signature_from_digest(column_digest(long), coeffs, long)
     # Both sides' minima meet in one group per hash function: no join needed.
     per_hash = sig.groupBy("hash_index").agg(
-        ((F.count(F.lit(1)) == 2) & (F.min("hash_value") == F.max("hash_value"))).alias("agree")
+        ((F.count(F.lit(1)) == 2) & (F.min("hash_value") == F.max("hash_value"))).alias("agree"),
+        F.count("hash_value").alias("seen"),
     )
-    return per_hash.agg((F.count_if("agree") / F.lit(float(coeffs.hashnum))).alias("similarity"))
+    share = F.count_if("agree") / F.lit(float(coeffs.hashnum))
+    return per_hash.agg(F.when(F.sum("seen") > 0, share).alias("similarity"))
 
 
 def get_jaccard_similarity(

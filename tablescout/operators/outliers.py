@@ -10,6 +10,7 @@ so ``NaN > cutoff`` would otherwise be true).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from tablescout.functions.distance import nearest_center_distance
 from tablescout.functions.schema import col, field_type, is_numeric, require_columns
 
+_LOG = logging.getLogger(__name__)
+
 
 def _features(table: DataFrame, col_names: Sequence[str]) -> list[str]:
     names = [col_names] if isinstance(col_names, str) else list(col_names)
@@ -88,5 +91,5 @@ def outliers(
     centers = fit_centers(table, col_names, num_clusters, maxIterations, initializationMode, seed)
     if wssse:
         total = sum_distance(table, col_names, centers).first()
-        print(f"Within Set Sum of Squared Error, k = {num_clusters}: {total['sum_distance']}")
+        _LOG.info("distances to the nearest of %d centres add up to %s", num_clusters, total["sum_distance"])
     return outliers_given_centers(table, col_names, centers, cutoff_distance)

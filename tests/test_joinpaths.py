@@ -189,3 +189,13 @@ def test_same_dataframe_twice(spark, g0):
     assert same[("k", "k")].aj_size == pytest.approx(0.5 * same[("k", "k")].aj_contribution * 6)
     naive = {(r.ac_name, r.bc_name): r.similarity for r in jp.joining_path_naive([t, t]).collect()}
     assert naive[("k", "k")] == 1.0 and naive[("t", "t")] == 1.0
+
+
+def test_jaccard_of_two_empty_columns_is_null(spark):
+    from tablescout.operators import joinpaths
+
+    empty = spark.createDataFrame([(None,), (None,)], "k string")
+    full = spark.createDataFrame([("a",)], "k string")
+    for option in ("min_hash", "naive"):
+        assert joinpaths.get_jaccard_similarity([empty, empty], 0, 1, "k", "k", option=option) is None
+        assert joinpaths.get_jaccard_similarity([empty, full], 0, 1, "k", "k", option=option) == 0.0
