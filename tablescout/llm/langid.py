@@ -26,7 +26,7 @@ from tablescout.llm.common import arrow_slices, field_type
 ORDER = 5
 SAMPLE_DOCS = 600  # labelled rows per language that the models learn from, a hash of the text decides which
 ASIDE = 0.2  # share of the sample kept for calibration
-MARGIN = 1.5  # a text is rejected beyond this multiple of the worst deviation seen on the rows kept aside
+MARGIN = 3.0  # a text is rejected beyond this multiple of the worst deviation seen on the rows kept aside
 UNDETERMINED = "und"
 _SPACE, _EDGE = 32, 0
 
