@@ -1,8 +1,9 @@
 """tablescout: Spark-native table profiling and join-path discovery.
 
-Every operator is a lazy DataFrame expression over the caller's
-``SparkSession``; nothing is collected to the driver except bounded
-scalars (a histogram's min/max, k-means centres).
+Operators are DataFrame expressions over the caller's ``SparkSession``.
+Most are lazy; join discovery, exact paths, histograms and k-means run jobs
+when called. Nothing is collected to the driver except bounded scalars (a
+histogram's min/max, k-means centres).
 """
 
 __all__ = ["TableProfiler", "TableSet", "cast_categorical", "handle_input", "read_table"]

@@ -1,8 +1,8 @@
 """``TableSet``: an ordered, named list of DataFrames with the profiler API.
 
 Tables are addressed by position (as in the profiled toolkit) or by name.
-All methods return lazy DataFrames except where noted; the caller's
-session is used throughout.
+Methods return DataFrames except where noted; join discovery, histograms and
+k-means run jobs when called. The caller's session is used throughout.
 """
 
 from __future__ import annotations
