@@ -9,10 +9,13 @@ union-find keeps the first line of each component in the order of document
 id, text hash and line number.
 
 With 10 bands of 4 rows a pair of similarity 0.8 meets with probability
-0.995. In a bucket of up to ``SMALL_BUCKET`` entries every pair is compared.
-A larger one compares each line with two leaders, its least and its greatest
-line; ten bands have ten pairs of leaders, so a large group of near copies
-still links up, but there the recall is that of these comparisons.
+0.995. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
+larger one first compares each line with two leaders, its least and its
+greatest line, which joins a large group of near copies without its pairs.
+Where a bucket is still in several components after that, an exact search
+does the rest: two lines of similarity ``threshold`` share one of their rarest
+shingles, so the lines that share such a shingle and are not yet connected are
+compared, unless the places of the shingle already rule the similarity out.
 """
 
 from __future__ import annotations
@@ -136,27 +139,20 @@ def buckets(rows: DataFrame, size: int = SHINGLE, bands: int = BANDS, band_rows:
     return rows.mapInArrow(run, "node bigint, keys array<bigint>")
 
 
-def links(rows: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS, small: int = SMALL_BUCKET) -> DataFrame:
-    """``a, b``: pairs of different lines found in one bucket whose shingle sets reach the threshold."""
-    entries = stored(buckets(rows, size, bands, band_rows)).select(F.explode("keys").alias("key"), "node")
-    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low <> high")
-    members = stored(entries.join(shared, "key"))
-    few = members.where(F.col("n") <= small).select("key", "node").distinct()
-    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
-    many = members.where(F.col("n") > small)
-    for end in ("low", "high"):
-        pairs = pairs.union(many.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
-    pairs = stored(pairs.distinct())
+def _lines_of(rows: DataFrame) -> DataFrame:
+    """``node, line``: the normalised lines, each at least once."""
 
-    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches):
             found = _distinct_lines(batch)
             text = pa.array([x.decode("utf-8", "surrogatepass") for x in found.values()], pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), text], ["node", "line"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    lines = stored(rows.mapInArrow(lines_of, "node bigint, line string").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    both = pairs.join(lines.toDF("a", "line_a"), "a").join(lines.toDF("b", "line_b"), "b")
+    return rows.mapInArrow(run, "node bigint, line string")
+
+
+def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """The pairs ``a, b`` whose exact shingle sets reach the threshold."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,9 +163,76 @@ def links(rows: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, ba
                 keep.append(common >= threshold * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    both = pairs.join(lines.toDF("a", "line_a"), "a").join(lines.toDF("b", "line_b"), "b")
     return both.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a bigint, b bigint")
 
 
+def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """Pairs ``a < b`` of ``node, line, component`` rows that differ in component and can reach the threshold.
+
+    No pair that reaches it is missing. In one order of all shingles, from the
+    rarest on, two sets of similarity t or more share one of their first
+    ``n - ceil(t * n) + 1``. After the first shingle that they share, at place
+    i of n and j of m, they share at most ``min(n - i, m - j) - 1`` more, which
+    must allow ``t / (1 + t) * (n + m)`` in all.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_slices(batches, "line"):
+            for i, line in enumerate(batch.column("line").to_pylist()):
+                tokens = {xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in shingles(line, size)}
+                tokens = pa.array(np.fromiter(tokens, np.uint64, len(tokens)).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array([i] * len(tokens), pa.int64())), tokens], ["node", "token"])
+
+    tokens = stored(lines.select("node", "line").mapInArrow(hashed, "node bigint, token bigint"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    ordered = tokens.join(often, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("t"))
+    n = F.size("t")
+    # A little slack keeps rounding from losing a pair; the exact check follows.
+    first = F.slice("t", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)
+    rare = stored(
+        ordered.select("node", n.alias("n"), F.posexplode(first).alias("place", "t"))
+        .select("node", "n", "place", F.col("t.token").alias("token"))
+        .join(lines.select("node", "component"), "node")
+    )
+    mixed = rare.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    rare = stored(rare.join(mixed, "token"))
+    side = lambda end: rare.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "component", "n", "place")])
+    share = threshold / (1 + threshold)
+    possible = (
+        (F.col("node_a") < F.col("node_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & (F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= share * (F.col("n_a") + F.col("n_b")) - 1e-9)
+    )
+    return side("a").join(side("b"), "token").where(possible).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def line_components(
+    rows: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS, small: int = SMALL_BUCKET
+) -> DataFrame:
+    """``node, component`` of every line linked to a different one."""
+    entries = stored(buckets(rows, size, bands, band_rows).select(F.explode("keys").alias("key"), "node").distinct())
+    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("n > 1")
+    members = stored(entries.join(shared, "key"))
+    few = members.where(F.col("n") <= small)
+    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
+    many = members.where(F.col("n") > small)
+    for end in ("low", "high"):
+        pairs = pairs.union(many.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
+    pairs = stored(pairs.distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    lines = stored(_lines_of(rows).join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    labels = connected_components(verified(pairs, lines, threshold, size))
+
+    placed = many.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    apart = stored(placed.join(split, "key").select("node", "component").distinct())
+    if apart.isEmpty():
+        return labels
+    rest = shared_rare_shingles(lines.join(apart, "node"), threshold, size)
+    return connected_components(labels.union(verified(rest, lines, threshold, size)))
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """One row per distinct (id, text) of ``docs``: ``doc_id, text_key, n_lines, dropped``.
 
@@ -179,7 +242,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = _keyed(docs, id_col, text_col)
     lines = stored(occurrences(rows).distinct())
-    labels = connected_components(links(rows, **parameters))
+    labels = line_components(rows, **parameters)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line_no")
     by_node = lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     by_node = by_node.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))

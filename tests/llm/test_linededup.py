@@ -1,5 +1,8 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from tablescout.llm import linededup
 
 SCHEMA = "doc_id bigint, text string, node string, line_no int, n double"
@@ -83,3 +86,26 @@ def test_large_group_of_near_copies(spark):
         rows.append((i, " ".join(line)))
     df = spark.createDataFrame([(k, t, "x", 1, 0.5) for k, t in rows], SCHEMA)
     assert [r.doc_id for r in linededup.remove_repeated_lines(df).collect()] == [0]
+
+
+def test_large_buckets_of_several_groups(spark):
+    """All lines in one bucket: the exact search finds the links that the leaders miss."""
+    rng = random.Random(9)
+    rows = []
+    for group in range(25):
+        base = ["shared start of the line"] + [f"w{rng.randrange(10**6)}" for _ in range(24)]
+        for _ in range(rng.randint(1, 5)):
+            line = list(base)
+            line[rng.randrange(1, 25)] = f"v{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(line)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(k, t, "x", 1, 0.5) for k, t in rows], SCHEMA).repartition(3)
+    want = brute(rows)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(linededup, "buckets", one_bucket)
+        got = {(r.doc_id): list(r.dropped) for r in linededup.dropped_lines(df).collect()}
+    assert got == {k: v for (k, _), v in want.items()} and sum(map(len, want.values())) > 20
+
+
+def one_bucket(rows, *_):
+    return linededup._lines_of(rows).select("node", F.array(F.lit(0).cast("bigint")).alias("keys"))
