@@ -34,7 +34,7 @@ from tablescout.llm.components import connected_components
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 4
-SMALL_BUCKET = 16
+SMALL_BUCKET = 64
 _BLOCK = 1 << 16  # shingles hashed at a time
 
 
@@ -151,19 +151,39 @@ def _lines_of(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node bigint, line string")
 
 
+def _sized(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``node, line, n``: with the number of different shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_slices(batches, "line"):
+            yield batch.append_column("n", pa.array([len(shingles(x, size)) for x in batch.column("line").to_pylist()], pa.int32()))
+
+    return lines.mapInArrow(run, "node bigint, line string, n int")
+
+
 def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """The pairs ``a, b`` whose exact shingle sets reach the threshold."""
+    """The pairs ``a, b`` whose exact shingle sets reach the threshold; ``lines`` holds ``node, line, n``.
+
+    Sets whose sizes alone rule it out go before their texts are fetched.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, its = None, set()
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist(), strict=True):
-                x, y = shingles(x, size), shingles(y, size)
-                common = len(x & y) if min(len(x), len(y)) >= threshold * max(len(x), len(y)) else 0
-                keep.append(common >= threshold * (len(x) + len(y) - common))
+                if y != last:
+                    last, its = y, shingles(y, size)
+                x = shingles(x, size)
+                common = len(x & its)
+                keep.append(common >= threshold * (len(x) + len(its) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(lines.toDF("a", "line_a"), "a").join(lines.toDF("b", "line_b"), "b")
+    sizes = lines.select("node", "n")
+    near = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    near = near.where(F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9).select("a", "b")
+    text = lines.select("node", "line")
+    both = near.join(text.toDF("a", "line_a"), "a").join(text.toDF("b", "line_b"), "b")
     return both.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a bigint, b bigint")
 
 
@@ -221,7 +241,7 @@ def line_components(
         pairs = pairs.union(many.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
     pairs = stored(pairs.distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    lines = stored(_lines_of(rows).join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    lines = stored(_sized(_lines_of(rows).join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
     labels = connected_components(verified(pairs, lines, threshold, size))
 
     placed = many.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
