@@ -35,6 +35,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 4
 SMALL_BUCKET = 64
+BINS = 128  # of a line's sketch
 _BLOCK = 1 << 16  # shingles hashed at a time
 
 
@@ -151,20 +152,52 @@ def _lines_of(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node bigint, line string")
 
 
-def _sized(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``node, line, n``: with the number of different shingles."""
+def sketch(line: str, size: int = SHINGLE) -> tuple[int, bytes]:
+    """The number of different shingles, and how many of them fall into each of ``BINS`` bins."""
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.zeros(max(len(points), size), np.uint64)
+    codes[: len(points)] = points
+    h = np.zeros(len(codes) - size + 1, np.uint64)
+    for k in range(size):
+        h = (h ^ codes[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    h = np.unique(h)
+    return len(h), np.bincount((h >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS).astype("<u4").tobytes()
+
+
+def _sketched(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``node, line, n, bins``: with the sketch of each line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches, "line"):
-            yield batch.append_column("n", pa.array([len(shingles(x, size)) for x in batch.column("line").to_pylist()], pa.int32()))
+            n, bins = zip(*(sketch(x, size) for x in batch.column("line").to_pylist()), strict=True)
+            yield batch.append_column("n", pa.array(n, pa.int32())).append_column("bins", pa.array(bins, pa.binary()))
+
+    return lines.mapInArrow(run, "node bigint, line string, n int, bins binary")
+
+
+def _possible(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``a, b`` that their sketches do not rule out: two sets share at most the lesser count of each bin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, BINS) for c in ("bins_a", "bins_b"))
+            most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            keep = most >= threshold * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64) - most)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return lines.mapInArrow(run, "node bigint, line string, n int")
+    side = lambda end: lines.select(*[F.col(c).alias(to) for c, to in (("node", end), ("n", f"n_{end}"), ("bins", f"bins_{end}"))])
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    near = near.where(F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9)
+    return near.select("a", "b", "bins_a", "bins_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """The pairs ``a, b`` whose exact shingle sets reach the threshold; ``lines`` holds ``node, line, n``.
+    """The pairs ``a, b`` whose exact shingle sets reach the threshold; ``lines`` holds ``node, line, n, bins``.
 
-    Sets whose sizes alone rule it out go before their texts are fetched.
+    Pairs that sizes or sketches rule out go before their texts are fetched.
     """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +212,7 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, s
                 keep.append(common >= threshold * (len(x) + len(its) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sizes = lines.select("node", "n")
-    near = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-    near = near.where(F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9).select("a", "b")
+    near = _possible(pairs, lines, threshold)
     text = lines.select("node", "line")
     both = near.join(text.toDF("a", "line_a"), "a").join(text.toDF("b", "line_b"), "b")
     return both.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a bigint, b bigint")
@@ -241,7 +272,7 @@ def line_components(
         pairs = pairs.union(many.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
     pairs = stored(pairs.distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    lines = stored(_sized(_lines_of(rows).join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
+    lines = stored(_sketched(_lines_of(rows).join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
     labels = connected_components(verified(pairs, lines, threshold, size))
 
     placed = many.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))

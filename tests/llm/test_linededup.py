@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,14 @@ def test_large_buckets_of_several_groups(spark):
 
 def one_bucket(rows, *_):
     return linededup._lines_of(rows).select("node", F.array(F.lit(0).cast("bigint")).alias("keys"))
+
+
+def test_sketch_bounds_the_overlap():
+    rng = random.Random(3)
+    for _ in range(200):
+        x = "".join(rng.choice("abcé \u4e2d") for _ in range(rng.randint(1, 300)))
+        y = x[: rng.randint(0, len(x))] + "".join(rng.choice("abcé") for _ in range(rng.randint(1, 40)))
+        (n, a), (m, b) = linededup.sketch(x), linededup.sketch(y)
+        assert n == len(linededup.shingles(x)) and m == len(linededup.shingles(y))
+        a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+        assert np.minimum(a, b).sum() >= len(linededup.shingles(x) & linededup.shingles(y))
