@@ -153,7 +153,7 @@ def _lines_of(rows: DataFrame) -> DataFrame:
 
 
 def sketch(line: str, size: int = SHINGLE) -> tuple[int, bytes]:
-    """The number of different shingles, and how many of them fall into each of ``BINS`` bins."""
+    """The number of different shingles, and how many of them fall into each of ``BINS`` bins, a byte each: 255 is 255 or more."""
     points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.zeros(max(len(points), size), np.uint64)
     codes[: len(points)] = points
@@ -162,7 +162,8 @@ def sketch(line: str, size: int = SHINGLE) -> tuple[int, bytes]:
         h = (h ^ codes[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     h = np.unique(h)
-    return len(h), np.bincount((h >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS).astype("<u4").tobytes()
+    bins = np.bincount((h >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS)
+    return len(h), np.minimum(bins, 255).astype(np.uint8).tobytes()
 
 
 def _sketched(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -176,22 +177,28 @@ def _sketched(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     return lines.mapInArrow(run, "node bigint, line string, n int, bins binary")
 
 
+def most_shared(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The most shingles that sets of sketches ``x`` and ``y`` (rows) can share: the lesser count of each bin, and what ``x``, of size ``n``, holds beyond full bins."""
+    return np.minimum(x, y).sum(axis=1, dtype=np.int64) + n - x.sum(axis=1, dtype=np.int64)
+
+
 def _possible(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` that their sketches do not rule out: two sets share at most the lesser count of each bin."""
+    """The pairs ``a, b`` that neither their sizes nor their sketches rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, BINS) for c in ("bins_a", "bins_b"))
-            most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-            keep = most >= threshold * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64) - most)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("bins_a", "bins_b"))
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+            most = most_shared(x, y, n)
+            yield batch.select(["a", "b"]).filter(pa.array(most >= threshold * (n + m - most), pa.bool_()))
 
-    side = lambda end: lines.select(*[F.col(c).alias(to) for c, to in (("node", end), ("n", f"n_{end}"), ("bins", f"bins_{end}"))])
-    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    sizes, bins = lines.select("node", "n"), lines.select("node", "bins")
+    near = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
     near = near.where(F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9)
-    return near.select("a", "b", "bins_a", "bins_b").mapInArrow(run, "a bigint, b bigint")
+    near = near.join(bins.toDF("a", "bins_a"), "a").join(bins.toDF("b", "bins_b"), "b")
+    return near.select("a", "b", "n_a", "n_b", "bins_a", "bins_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:

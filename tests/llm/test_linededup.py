@@ -119,5 +119,9 @@ def test_sketch_bounds_the_overlap():
         y = x[: rng.randint(0, len(x))] + "".join(rng.choice("abcé") for _ in range(rng.randint(1, 40)))
         (n, a), (m, b) = linededup.sketch(x), linededup.sketch(y)
         assert n == len(linededup.shingles(x)) and m == len(linededup.shingles(y))
-        a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-        assert np.minimum(a, b).sum() >= len(linededup.shingles(x) & linededup.shingles(y))
+        a, b = (np.frombuffer(v, np.uint8)[None] for v in (a, b))
+        assert linededup.most_shared(a, b, np.array([n]))[0] >= len(linededup.shingles(x) & linededup.shingles(y))
+    x = "".join(rng.choice("abcdefghijklmnop") for _ in range(60_000))
+    (n, a), (m, b) = linededup.sketch(x), linededup.sketch(x[5_000:])
+    a, b = (np.frombuffer(v, np.uint8)[None] for v in (a, b))
+    assert a.max() == 255 and linededup.most_shared(a, b, np.array([n]))[0] >= m
