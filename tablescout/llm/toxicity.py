@@ -43,6 +43,7 @@ class Index(NamedTuple):
     blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # per block: terms, their places (n x BLOCK weights)
     bound: np.ndarray  # terms x blocks: largest weight
     prior: float
+    share: np.ndarray  # how many labelled rows one example of label 0 and of label 1 stands for
     steps: tuple[np.ndarray, np.ndarray]  # calibration: raw votes and probabilities, both ascending
 
 
@@ -76,9 +77,9 @@ def choose_terms(docs_with: list[tuple[str, int, int]], negatives: int, positive
     return {words[i]: k for k, i in enumerate(best)}, np.log((1 + total) / (1 + off[best] + on[best])) + 1
 
 
-def build(terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, Counter, int]], prior: float, block: int = BLOCK) -> Index:
+def build(terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, Counter, int]], prior: float, block: int = BLOCK, share: tuple[float, float] = (1.0, 1.0)) -> Index:
     """The index of ``(number, term counts, label)`` examples; those without a known term are left out."""
-    index = Index(terms, idf, np.zeros(0, np.int64), np.zeros(0), [], np.zeros((len(terms), 0)), prior, (np.zeros(0), np.zeros(0)))
+    index = Index(terms, idf, np.zeros(0, np.int64), np.zeros(0), [], np.zeros((len(terms), 0)), prior, np.array(share, float), (np.zeros(0), np.zeros(0)))
     vectors = [(n, label, *_vector(index, counts)) for n, counts, label in examples]
     vectors = [v for v in vectors if len(v[2])]
     vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), v[0]))  # alike vectors share a block: tighter bounds
@@ -121,18 +122,20 @@ def nearest(index: Index, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOUR
 
 def _votes(index: Index, at: np.ndarray, weight: np.ndarray, k: int) -> tuple[float | None, np.ndarray, np.ndarray]:
     place, score = nearest(index, at, weight, k)
-    return (float((score * index.labels[place]).sum() / score.sum()) if len(place) else None), place, score
+    each = score * index.share[index.labels[place].astype(int)]  # labels are sampled at rates of their own
+    return (float((each * index.labels[place]).sum() / each.sum()) if len(place) else None), place, score
 
 
-def calibrate(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Isotonic regression: pooled neighbours until the shares of label 1 rise with the vote."""
+def calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression: pooled neighbours until the weighted shares of label 1 rise with the vote."""
+    weights = np.ones(len(votes)) if weights is None else weights
     pools: list[list[float]] = []
-    for vote, label in sorted(zip(votes.tolist(), labels.tolist(), strict=True)):
+    for vote, label, weight in sorted(zip(votes.tolist(), labels.tolist(), weights.tolist(), strict=True)):
         if pools and pools[-1][0] == vote:
-            pools[-1][1] += label
-            pools[-1][2] += 1
+            pools[-1][1] += label * weight
+            pools[-1][2] += weight
         else:
-            pools.append([vote, label, 1.0])
+            pools.append([vote, label * weight, weight])
     merged: list[list[float]] = []
     for pool in pools:
         merged.append([pool[0] * pool[2], pool[1], pool[2]])
@@ -158,7 +161,8 @@ def fit(labelled: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: in
 
     All given rows decide how often each label occurs. The index, the terms
     and the calibration come from at most about ``examples`` documents of
-    each label, whole texts, chosen by a hash of the text.
+    each label, whole texts, chosen by a hash of the text; in votes and
+    calibration each stands for as many rows as its label's rate says.
     """
     rows = labelled.where("toxic IN (0, 1)").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -191,9 +195,9 @@ def fit(labelled: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: in
         counts = vectors.setdefault((r["doc_id"] if r["doc_id"] is not None else -1, r["toxic"], r["aside"]), Counter())
         if r["term"] is not None:
             counts[r["term"]] += r["n"]
-    index = build(chosen, idf, [(i, c, label) for (i, label, aside), c in vectors.items() if not aside], prior)
+    share = tuple(totals.get(label, 0) / max(1, sum(1 for (_, x, _) in vectors if x == label)) for label in (0, 1))
+    index = build(chosen, idf, [(i, c, label) for (i, label, aside), c in vectors.items() if not aside], prior, share=share)
     votes, labels, blank = [], [], [1.0, prior]
-    share = {label: totals.get(label, 0) / max(1, sum(1 for (_, x, _) in vectors if x == label)) for label in (0, 1)}
     for (_, label, aside), counts in vectors.items():
         if aside:
             vote, _, _ = _votes(index, *_vector(index, counts), k)
@@ -202,7 +206,7 @@ def fit(labelled: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: in
             else:
                 votes.append(vote)
                 labels.append(label)
-    return index._replace(prior=blank[1] / blank[0], steps=calibrate(np.array(votes), np.array(labels)))
+    return index._replace(prior=blank[1] / blank[0], steps=calibrate(np.array(votes), np.array(labels), np.array([share[label] for label in labels])))
 
 
 def classify(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS) -> DataFrame:

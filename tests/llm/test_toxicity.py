@@ -65,3 +65,19 @@ def test_nearest_against_brute_force():
 def test_calibration_rises():
     votes, p = toxicity.calibrate(np.array([0.1, 0.2, 0.2, 0.5, 0.6, 0.9]), np.array([0, 1, 0, 0, 1, 1]))
     assert (np.diff(votes) > 0).all() and (np.diff(p) >= 0).all() and p[0] == 0 and p[-1] == 1
+
+
+def test_thinned_labels_give_the_same_scores(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        snark = rng.random() < 0.5
+        words = ["".join(rng.choice("abcdef") for _ in range(3)) for _ in range(20)] + ["snark"] * snark
+        rows.append((i, " ".join(words), int(rng.random() < (0.2 if snark else 0.01)), "", 0))
+    df = spark.createDataFrame(rows, SCHEMA)
+    every, thin = (toxicity.fit(df, examples=n) for n in (4000, 200))
+    test = [Counter([*("".join(rng.choice("abcdef") for _ in range(3)) for _ in range(20)), "snark"]) for _ in range(200)]
+    means = [np.mean([toxicity.score(index, counts)[0] for counts in test]) for index in (every, thin)]
+    assert abs(means[0] - 0.2) < 0.1 and abs(means[1] - means[0]) < 0.1
+    _, p = toxicity.calibrate(np.array([0.5, 0.5]), np.array([0, 1]), np.array([9.0, 1.0]))
+    assert np.allclose(p, 0.1)
