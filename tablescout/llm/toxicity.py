@@ -1,17 +1,19 @@
 """Toxicity by the nearest labelled examples.
 
-A text is a vector of TF-IDF weights over the terms that tell the labels
-apart. The labelled examples' vectors lie in an inverted index cut into
-blocks of examples: each term holds its largest weight per block, so a
-block's best possible cosine is known before any of its postings is read.
-Blocks are read in the order of that bound until it cannot beat the k-th
-best cosine found, which makes the k nearest exact. Their votes, weighted by
-cosine, are calibrated on examples kept out of the index and come back with
-the examples as evidence.
+A text is a vector of TF-IDF weights over all its words, each times how far
+the word tells the labels apart, but never zero. The labelled
+examples' vectors, every word of them, lie in an inverted index cut into
+blocks of examples: rarer words have postings, the weights of frequent words
+are a matrix. The cosine with every example is computed, and the k best of
+the blocks' best cosines bound those worth sorting, so the k nearest are
+exact. Their votes, weighted by cosine, are calibrated on examples kept out
+of the index and come back with the examples as evidence.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -27,9 +29,10 @@ from tablescout.llm.common import arrow_slices, field_type
 NEIGHBOURS = 15
 EXAMPLES = 4000  # labelled documents of each label that are learned from, at most about; a hash of the text decides which
 ASIDE = 0.25  # share of them that calibrates the votes and is not indexed
-TERMS = 2000  # terms kept, by how well they tell the labels apart
-MIN_DOCS = 4  # documents a term must occur in to be kept
-MIN_CHI = 30.0  # and how far its split between the labels must be from chance
+FREQUENT = 256  # terms of the index, at most, whose weights are kept for every example; the others have postings
+FREQUENT_SHARE = 1 / 32  # of the examples, from which a term is one of them
+FLOOR = 0.003  # weight of a word that says nothing about the label; one that decides it has 1 more
+BATCH = 64  # texts whose cosines are taken together
 BLOCK = 64  # examples in a block of the index
 PREDICT_AT = 0.7
 _WORD = regex.compile(r"\p{L}+")
@@ -37,11 +40,16 @@ _WORD = regex.compile(r"\p{L}+")
 
 class Index(NamedTuple):
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # each term's weight
+    unseen: float  # that of a term that no example has
     ids: np.ndarray  # the examples' numbers, one row each below
     labels: np.ndarray
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # per block: terms, their places (n x BLOCK weights)
-    bound: np.ndarray  # terms x blocks: largest weight
+    starts: np.ndarray  # where each term's postings begin, and their number
+    places: np.ndarray  # postings of all terms but the frequent ones
+    weights: np.ndarray
+    row: np.ndarray  # a frequent term's row below, -1 for others
+    dense: np.ndarray  # frequent terms x examples, filled up to whole blocks
+    block: int
     prior: float
     share: np.ndarray  # how many labelled rows one example of label 0 and of label 1 stands for
     steps: tuple[np.ndarray, np.ndarray]  # calibration: raw votes and probabilities, both ascending
@@ -52,78 +60,98 @@ def terms_of(text: str | None) -> Counter:
 
 
 def _vector(index: Index, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and unit-length TF-IDF weights; empty if no term is known."""
-    found = [(index.terms[w], n) for w, n in counts.items() if w in index.terms]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0)
-    at, n = np.array(sorted(found)).T
-    weight = (1 + np.log(n)) * index.idf[at]
-    return at, weight / np.sqrt((weight**2).sum())
-
-
-def choose_terms(docs_with: list[tuple[str, int, int]], negatives: int, positives: int, terms: int = TERMS) -> tuple[dict[str, int], np.ndarray]:
-    """Terms by chi-square of ``(term, documents of label 0, of label 1)``, and their inverse document frequencies."""
-    total = negatives + positives
-    if not negatives or not positives or not docs_with:
-        return {}, np.zeros(0)
-    words, off, on = zip(*sorted(docs_with), strict=True)
-    off, on = np.array(off, float), np.array(on, float)
-    share = (off + on) / total
-    expected_on, expected_off = share * positives, share * negatives
-    spread = np.maximum((1 - share), 1.0 / total)
-    chi = ((on - expected_on) ** 2 / expected_on + (off - expected_off) ** 2 / expected_off) / spread
-    best = np.argsort(-chi, kind="stable")[:terms]
-    best = best[chi[best] > MIN_CHI]
-    return {words[i]: k for k, i in enumerate(best)}, np.log((1 + total) / (1 + off[best] + on[best])) + 1
-
-
-def build(terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, Counter, int]], prior: float, block: int = BLOCK, share: tuple[float, float] = (1.0, 1.0)) -> Index:
+    """Numbers and TF-IDF weights of the known terms, scaled so that all terms have length 1; empty if none is known."""
+    at = np.fromiter((index.terms.get(w, -1) for w in counts), np.int64, len(counts))
+    weight = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * np.where(at < 0, index.unseen, index.idf[at] if len(index.idf) else 0.0)
+    known = np.flatnonzero(at >= 0)
+    order = known[np.argsort(at[known])]
+    return at[order], weight[order] / np.sqrt((weight**2).sum()) if len(order) else np.zeros(0)
+
+
+def term_weights(examples: list[tuple[int, Counter, int]], share: tuple[float, float] = (1.0, 1.0)) -> tuple[dict[str, int], np.ndarray, float]:
+    """Every term of the examples, its weight, and that of a term in none.
+
+    The weight is the inverse document frequency times ``FLOOR`` plus the
+    size of the term's correlation with the label, so words that tell the
+    labels apart count most and no word is dropped. An example counts for
+    ``share[label]`` documents, which makes both independent of the sample.
+    """
+    terms: dict[str, int] = {}
+    at = np.array([terms.setdefault(w, len(terms)) for _, counts, _ in examples for w in counts], np.int64)
+    on = np.repeat(np.array([label for _, _, label in examples], float), [len(counts) for _, counts, _ in examples])
+    with_off, with_on = (np.bincount(at, on == label, minlength=len(terms)) * share[label] for label in (0, 1))
+    off, on = (share[label] * sum(x == label for _, _, x in examples) for label in (0, 1))
+    total, docs = off + on, with_off + with_on
+    spread = np.sqrt(np.maximum(docs * (total - docs), 1) * max(off * on, 1))
+    return terms, (np.log((1 + total) / (1 + docs)) + 1) * (FLOOR + np.abs(with_on * off - with_off * on) / spread), (math.log(1 + total) + 1) * FLOOR
+
+
+def build(terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, Counter, int]], prior: float, block: int = BLOCK, share: tuple[float, float] = (1.0, 1.0), unseen: float = 0.0) -> Index:
     """The index of ``(number, term counts, label)`` examples; those without a known term are left out."""
-    index = Index(terms, idf, np.zeros(0, np.int64), np.zeros(0), [], np.zeros((len(terms), 0)), prior, np.array(share, float), (np.zeros(0), np.zeros(0)))
+    none, no = np.zeros(0, np.int64), np.zeros(0)
+    index = Index(terms, idf, unseen, none, no, none, none, no, none, np.zeros((0, 0)), block, prior, np.array(share, float), (no, no))
     vectors = [(n, label, *_vector(index, counts)) for n, counts, label in examples]
     vectors = [v for v in vectors if len(v[2])]
-    vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), v[0]))  # alike vectors share a block: tighter bounds
-    blocks, bounds = [], []
-    for lo in range(0, len(vectors), block):
-        part = vectors[lo : lo + block]
-        dense = np.zeros((len(terms), len(part)))
-        for k, (_, _, at, weight) in enumerate(part):
-            dense[at, k] = weight
-        used = np.flatnonzero(dense.any(axis=1))
-        blocks.append((used, dense[used], np.arange(lo, lo + len(part))))
-        bounds.append(dense.max(axis=1))
+    vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), v[0]))  # alike vectors share a block
+    size = len(vectors)
+    if not size:
+        return index
+    at, weight = (np.concatenate([v[i] for v in vectors]) for i in (2, 3))
+    place = np.repeat(np.arange(size), [len(v[2]) for v in vectors])
+    docs = np.bincount(at, minlength=len(terms))
+    frequent = np.argsort(-docs, kind="stable")[:FREQUENT]
+    frequent = frequent[docs[frequent] >= max(2, size * FREQUENT_SHARE)]
+    row = np.full(len(terms), -1, np.int32)
+    row[frequent] = np.arange(len(frequent))
+    dense = np.zeros((len(frequent), -(-size // block) * block))
+    mine = row[at] >= 0
+    dense[row[at[mine]], place[mine]] = weight[mine]
+    at, place, weight = at[~mine], place[~mine], weight[~mine]
+    order = np.argsort(at, kind="stable")
     return index._replace(
         ids=np.array([v[0] for v in vectors], np.int64),
         labels=np.array([v[1] for v in vectors], float),
-        blocks=blocks,
-        bound=np.array(bounds).reshape(len(blocks), len(terms)).T.copy(),
+        starts=np.r_[0, np.cumsum(np.bincount(at, minlength=len(terms)))],
+        places=place[order].astype(np.int32),
+        weights=weight[order],
+        row=row,
+        dense=dense,
     )
 
 
 def nearest(index: Index, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
     """Places and cosines of the k nearest examples with a positive cosine; ties to the smaller place."""
-    best_place, best_score = np.zeros(0, np.int64), np.zeros(0)
-    if not len(at) or not index.blocks:
-        return best_place, best_score
-    upper = weight @ index.bound[at]
-    query = np.zeros(len(index.terms))
-    query[at] = weight
-    for b in np.argsort(-upper, kind="stable"):
-        if upper[b] <= 0 or (len(best_score) == k and upper[b] < best_score[-1] - 1e-12):
-            break  # no later block can do better
-        used, dense, places = index.blocks[b]
-        score = query[used] @ dense
-        hit = score > 0
-        place, score = np.r_[best_place, places[hit]], np.round(np.r_[best_score, score[hit]], 12)
-        order = np.lexsort((place, -score))[:k]
-        best_place, best_score = place[order], score[order]
-    return best_place, best_score
-
-
-def _votes(index: Index, at: np.ndarray, weight: np.ndarray, k: int) -> tuple[float | None, np.ndarray, np.ndarray]:
-    place, score = nearest(index, at, weight, k)
-    each = score * index.share[index.labels[place].astype(int)]  # labels are sampled at rates of their own
-    return (float((each * index.labels[place]).sum() / each.sum()) if len(place) else None), place, score
+    return nearest_all(index, [(at, weight)], k)[0]
+
+
+def nearest_all(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``nearest`` of every vector; the frequent terms' part is one matrix product for ``BATCH`` of them."""
+    if not len(index.ids):
+        return [(np.zeros(0, np.int64), np.zeros(0))] * len(vectors)
+    out = []
+    for lo in range(0, len(vectors), BATCH):
+        part = vectors[lo : lo + BATCH]
+        heavy = np.zeros((len(part), len(index.dense)))
+        for q, (at, weight) in enumerate(part):
+            frequent = index.row[at] >= 0
+            heavy[q, index.row[at[frequent]]] = weight[frequent]
+        for (at, weight), score in zip(part, heavy @ index.dense, strict=True):
+            rare = index.row[at] < 0
+            start, n = index.starts[at[rare]], index.starts[at[rare] + 1] - index.starts[at[rare]]
+            postings = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+            score = np.round(score + np.bincount(index.places[postings], index.weights[postings] * np.repeat(weight[rare], n), minlength=len(score)), 12)
+            best = score.reshape(-1, index.block).max(axis=1)
+            least = np.partition(best, -k)[-k] if len(best) > k else 0.0  # so many blocks hold one as good: the k-th best is no worse
+            place = np.flatnonzero((score >= least) & (score > 0))
+            place = place[np.lexsort((place, -score[place]))[:k]]
+            out.append((place, score[place]))
+    return out
+
+
+def _votes(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[float | None, np.ndarray, np.ndarray]]:
+    for place, score in nearest_all(index, vectors, k):
+        each = score * index.share[index.labels[place].astype(int)]  # labels are sampled at rates of their own
+        yield (float((each * index.labels[place]).sum() / each.sum()) if len(place) else None), place, score
 
 
 def calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -147,22 +175,29 @@ def calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None
 
 def score(index: Index, counts: Counter, k: int = NEIGHBOURS) -> tuple[float, list[int], list[float]]:
     """The calibrated score, the nearest examples' numbers and their cosines."""
-    at, weight = _vector(index, counts)
-    vote, place, cosine = _votes(index, at, weight, k)
-    if vote is None:
-        return index.prior, [], []
-    # The vote itself breaks ties inside a calibrated step.
-    p = float(np.interp(vote, *index.steps)) if len(index.steps[0]) else vote
-    return min(1.0, max(0.0, 0.98 * p + 0.02 * vote)), index.ids[place].tolist(), cosine.tolist()
+    return score_all(index, [counts], k)[0]
 
 
-def fit(labelled: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: int = NEIGHBOURS) -> Index:
+def score_all(index: Index, texts: list[Counter], k: int = NEIGHBOURS) -> list[tuple[float, list[int], list[float]]]:
+    out = []
+    for vote, place, cosine in _votes(index, [_vector(index, counts) for counts in texts], k):
+        if vote is None:
+            out.append((index.prior, [], []))
+            continue
+        # The vote itself breaks ties inside a calibrated step.
+        p = float(np.interp(vote, *index.steps)) if len(index.steps[0]) else vote
+        out.append((min(1.0, max(0.0, 0.98 * p + 0.02 * vote)), index.ids[place].tolist(), cosine.tolist()))
+    return out
+
+
+def fit(labelled: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Index:
     """Learn from ``doc_id, text, toxic`` rows; null labels are left out.
 
-    All given rows decide how often each label occurs. The index, the terms
-    and the calibration come from at most about ``examples`` documents of
-    each label, whole texts, chosen by a hash of the text; in votes and
-    calibration each stands for as many rows as its label's rate says.
+    All given rows decide how often each label occurs. The index and the
+    calibration come from at most about ``examples`` documents of each
+    label, all words of their whole texts, chosen by a hash of the text; in
+    frequencies, votes and calibration each stands for as many rows as its
+    label's rate says.
     """
     rows = labelled.where("toxic IN (0, 1)").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -172,40 +207,29 @@ def fit(labelled: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: in
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches):
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                found = terms_of(text)
-                words = list(found)
-                same = lambda c, n=len(words) + 1, at=i: batch.column(c).take(pa.array([at] * n, pa.int64()))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays(
-                    [same("doc_id"), same("toxic"), same("aside"), pa.array([None, *words], pa.string()), pa.array([0, *found.values()], pa.int64())],
-                    ["doc_id", "toxic", "aside", "term", "n"],
-                )
-
-    counted = sample.mapInArrow(count, "doc_id bigint, toxic int, aside boolean, term string, n bigint")
-    sizes = sample.where("NOT aside").groupBy("toxic").count().collect()
-    learned = {r["toxic"]: r["count"] for r in sizes}
-    frequent = counted.where("NOT aside AND term IS NOT NULL").groupBy("term").agg(
-        F.count_if(F.col("toxic") == 0).alias("off"), F.count_if(F.col("toxic") == 1).alias("on")
-    ).where(F.col("off") + F.col("on") >= MIN_DOCS)
-    chosen, idf = choose_terms([tuple(r) for r in frequent.collect()], learned.get(0, 0), learned.get(1, 0), terms)
+            found = [sorted(terms_of(t).items()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "toxic", "aside")), pa.array([[w for w, _ in x] for x in found], pa.list_(pa.string())), pa.array([[n for _, n in x] for x in found], pa.list_(pa.int64()))],
+                ["doc_id", "toxic", "aside", "terms", "n"],
+            )
+
+    counted = sample.mapInArrow(count, "doc_id bigint, toxic int, aside boolean, terms array<string>, n array<bigint>")
+    learned, kept = [], []  # bounded by the examples
+    for r in counted.orderBy("doc_id", "toxic", F.xxhash64("terms", "n")).toArrow().to_batches(max_chunksize=256):
+        for doc, label, aside, words, n in zip(*(c.to_pylist() for c in r.columns), strict=True):
+            (kept if aside else learned).append((doc if doc is not None else -1, Counter(dict(zip(map(sys.intern, words), n, strict=True))), label))
+    sampled = Counter(label for _, _, label in learned + kept)
+    share = tuple(totals.get(label, 0) / max(1, sampled[label]) for label in (0, 1))
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
-    kept = counted.where(F.col("term").isNull() | F.col("term").isin(*chosen)) if chosen else counted.where("term IS NULL")
-    vectors: dict[tuple, Counter] = {}
-    for r in kept.orderBy("doc_id", "toxic", "aside", "term").collect():  # bounded by the examples and the chosen terms
-        counts = vectors.setdefault((r["doc_id"] if r["doc_id"] is not None else -1, r["toxic"], r["aside"]), Counter())
-        if r["term"] is not None:
-            counts[r["term"]] += r["n"]
-    share = tuple(totals.get(label, 0) / max(1, sum(1 for (_, x, _) in vectors if x == label)) for label in (0, 1))
-    index = build(chosen, idf, [(i, c, label) for (i, label, aside), c in vectors.items() if not aside], prior, share=share)
+    terms, weight, unseen = term_weights(learned, share)
+    index = build(terms, weight, learned, prior, share=share, unseen=unseen)
     votes, labels, blank = [], [], [1.0, prior]
-    for (_, label, aside), counts in vectors.items():
-        if aside:
-            vote, _, _ = _votes(index, *_vector(index, counts), k)
-            if vote is None:  # no known term: the share of label 1 among such rows, weighted back to all rows
-                blank = [blank[0] + share[label], blank[1] + share[label] * label]
-            else:
-                votes.append(vote)
-                labels.append(label)
+    for (_, _, label), (vote, _, _) in zip(kept, _votes(index, [_vector(index, counts) for _, counts, _ in kept], k), strict=True):
+        if vote is None:  # no known term: the share of label 1 among such rows, weighted back to all rows
+            blank = [blank[0] + share[label], blank[1] + share[label] * label]
+        else:
+            votes.append(vote)
+            labels.append(label)
     return index._replace(prior=blank[1] / blank[0], steps=calibrate(np.array(votes), np.array(labels), np.array([share[label] for label in labels])))
 
 
@@ -218,11 +242,11 @@ def classify(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: st
     with equal ids stay separate; no other column is read.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    shared = rows.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES and TERMS
+    shared = rows.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches):
-            found = [score(shared.value, terms_of(t), k) for t in batch.column("text").to_pylist()]
+            found = score_all(shared.value, [terms_of(t) for t in batch.column("text").to_pylist()], k)
             p, evidence, cosines = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(p, pa.float64()), pa.array([int(x >= PREDICT_AT) for x in p], pa.int32()), pa.array(evidence, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],

@@ -81,3 +81,14 @@ def test_thinned_labels_give_the_same_scores(spark):
     assert abs(means[0] - 0.2) < 0.1 and abs(means[1] - means[0]) < 0.1
     _, p = toxicity.calibrate(np.array([0.5, 0.5]), np.array([0, 1]), np.array([9.0, 1.0]))
     assert np.allclose(p, 0.1)
+
+
+def test_every_word_finds_copies(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abcdef") * 3 for _ in range(20)) + " grubble" * (i % 4 == 0), int(i % 4 == 0), "", 0) for i in range(400)]
+    lone = [(1000 + i, f"zyx{'abcdefgh'[i]} qwv{'abcdefgh'[i]}", 1, "", 0) for i in range(8)]  # words of one example each
+    index = toxicity.fit(spark.createDataFrame(rows + lone, SCHEMA))
+    found = [toxicity.score(index, toxicity.terms_of(text)) for i, text, *_ in lone if i in index.ids]
+    assert found and all(p > 0.9 and ids and np.isclose(cosines[0], 1) for p, ids, cosines in found)
+    many = [toxicity.terms_of(text) for _, text, *_ in rows]
+    assert [ids for _, ids, _ in toxicity.score_all(index, many)] == [toxicity.score(index, counts)[1] for counts in many]
