@@ -2,10 +2,12 @@
 
 Texts are split into sentences; a normalised sentence that is a known licence
 sentence becomes that sentence's identifier (a join with a fixed, broadcast
-table). A document's identifiers, in order, are then matched against ordered
-rules: the first rule that fits at a place wins, so full texts come before
-the short notices they contain. Up to ``max_gap`` other sentences may stand
-between two sentences of a rule.
+table). A known sentence may run over several lines, with or without comment
+marks, and a full one that does may begin or end at a colon. A document's identifiers,
+in order, are then matched against ordered rules: the first rule that fits at
+a place wins, so full texts come before the short notices they contain. Up to
+``max_gap`` other sentences (or lines) may stand between two sentences of a
+rule.
 """
 
 from __future__ import annotations
@@ -149,19 +151,59 @@ def _licence(matched: Column) -> Column:
     return out
 
 
+# In a prepared text a sentence ends at END, a line without a sentence's end at WRAP, and COLON stands for a colon before a space.
+END, COLON, WRAP = "\f", "\v", "\x0e"
+
+
+def _prepared(text: Column) -> Column:
+    """Normalised words, one space apart, with one END or WRAP for every ``SENTENCE_END``."""
+    s = F.regexp_replace(F.translate(F.lower(text), END + COLON + WRAP, "\x01\x01\x01"), SENTENCE_END, f"{END}$0")
+    s = F.regexp_replace(s, f"{END}(\\r\\n|\\r|\\n)(?![\\r\\n])", WRAP)
+    s = F.regexp_replace(F.regexp_replace(s, ":[ \\t]+", COLON), f"[^a-z0-9+{END}{COLON}{WRAP}]+", " ")
+    return F.trim(F.regexp_replace(s, f" ?([{END}{COLON}{WRAP}]) ?", "$1"))
+
+
+def sentence_pattern() -> str:
+    """Known sentences in a prepared text, the longest at a place; only those of full texts may touch a colon."""
+    gap = f"[ {COLON}{WRAP}]"
+    out = []
+    full = {normalised(part) for sentences in SENTENCES.values() for x in sentences for part in re.split(SENTENCE_END, x)}
+    for known, edge in ((full, f"[^{END}{COLON}{WRAP}]"), (set(known_sentences()) - full, f"[^{END}{WRAP}]")):
+        by_word: dict[str, list[str]] = {}
+        for sentence in sorted(known, key=lambda x: (-len(x), x)):
+            first, _, rest = sentence.partition(" ")
+            by_word.setdefault(first, []).append("".join(gap + re.escape(w) for w in rest.split(" ")) if rest else "")
+        lead = LEAD_IN[1:].replace(" ", gap).removesuffix(gap)
+        starts = [(f"(?:under|{lead[: lead.index('under') + 5]}(?:{gap}the)?(?:{gap}terms{gap}of(?:{gap}the)?)?)" if w == "under" else re.escape(w), rests) for w, rests in by_word.items()]
+        words = "|".join(f"{w}(?:{'|'.join(rests)})(?!{edge})" for w, rests in starts)
+        out.append(f"(?<!{edge})(?:[0-9a-z] )?(?:{words})")
+    return f"({'|'.join(out)})".replace("(this|the)", "(?:this|the)")
+
+
 def recognised_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_key, sentence_no, identifier, code`` for every known licence sentence."""
+    """``doc_id, text_key, sentence_no, last_no, identifier, code`` for every known licence sentence.
+
+    ``sentence_no`` counts the pieces that ``SENTENCE_END`` cuts;
+    ``last_no`` is the last piece of a sentence of several lines.
+    """
     known, code = known_sentences(), codes()
     values = ", ".join(f"('{s}', '{i}', '{code[i]}')" for s, i in known.items())
     table = docs.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(sentence, identifier, code)")
     text = F.col(f"`{text_col}`").cast("string")
+    # Each known sentence between two marks; what stands between them alternates with it.
+    cut = F.split(F.regexp_replace(_prepared(text), sentence_pattern(), "\x02$1\x02"), "\x02")
+    # On one line a colon ends no sentence.
+    beside = F.transform("cut", lambda x, i: F.concat(F.right(F.get("cut", i - 1), F.lit(1)), F.left(F.get("cut", i + 1), F.lit(1))).contains(COLON) & ~x.contains(WRAP))
+    breaks = lambda x: F.length(F.regexp_replace(x, f"[^{END}{WRAP}]+", ""))
     return (
-        docs.select(
-            F.col(f"`{id_col}`").alias("doc_id"),
-            F.xxhash64(text).alias("text_key"),
-            F.posexplode(F.split(text, SENTENCE_END)).alias("sentence_no", "raw"),
-        )
-        .select("doc_id", "text_key", "sentence_no", _normalised(F.col("raw")).alias("sentence"))
+        docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), cut.alias("cut"))
+        .where(F.size("cut") > 1)
+        .withColumn("beside", beside)
+        .withColumn("breaks", F.transform("cut", breaks))
+        .withColumn("before", F.aggregate("breaks", F.array(F.lit(0)), lambda all_, n: F.concat(all_, F.array(F.element_at(all_, -1) + n))))
+        .select("doc_id", "text_key", F.explode(F.arrays_zip("cut", "breaks", "beside", F.slice("before", 1, F.size("cut")).alias("before"), F.sequence(F.lit(0), F.size("cut") - 1).alias("place"))).alias("p"))
+        .where("p.place % 2 = 1 AND NOT p.beside")
+        .select("doc_id", "text_key", F.col("p.before").alias("sentence_no"), (F.col("p.before") + F.col("p.breaks")).alias("last_no"), _normalised(F.col("p.cut")).alias("sentence"))
         .join(F.broadcast(table), "sentence")  # a fixed table of a few hundred rows
         .drop("sentence")
     )
@@ -177,12 +219,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_ga
     """
     found = recognised_sentences(docs, id_col, text_col)
     per_doc = found.groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_set(F.struct("sentence_no", "identifier", "code"))).alias("s")
+        F.array_sort(F.collect_set(F.struct("sentence_no", "last_no", "identifier", "code"))).alias("s")
     )
     letters = F.transform(
         "s",
         lambda x, i: F.concat(
-            F.when((i > 0) & (x["sentence_no"] - F.get(F.col("s"), i - 1)["sentence_no"] > max_gap + 1), F.lit("|")).otherwise(F.lit("")),
+            F.when((i > 0) & (x["sentence_no"] - F.get(F.col("s"), i - 1)["last_no"] > max_gap + 1), F.lit("|")).otherwise(F.lit("")),
             x["code"],
         ),
     )

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from tablescout.llm import licenses
 
@@ -51,3 +52,23 @@ def test_empty(spark):
 def test_plan_is_native(spark):
     df = licenses.scan(spark.createDataFrame([(1, "a", "", "")], SCHEMA))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_wrapped_texts(spark):
+    apache = licenses.SENTENCES["ref:Apache-2.0"][0] + "\n" + licenses.SENTENCES["apache-obtain"][0] + "\n\n    http://example.org\n\n" + licenses.SENTENCES["apache-basis"][0]
+    isc = " ".join(licenses.SENTENCES[k][0] for k in ("isc-grant", "isc-warranty"))
+    numbered = "\n".join(f"{mark}{licenses.SENTENCES[k][0]}" for mark, k in (("", "bsd-grant"), ("1. ", "bsd-source"), ("2. ", "bsd-binary"), ("3. ", "bsd-names"), ("", "bsd-warranty")))
+    rows, want = [], {}
+    for name, text in (("MIT", MIT), ("BSD-3-Clause", numbered), ("ISC", isc), ("Apache-2.0", apache), ("BSD-2-Clause", BSD)):
+        for width in (30, 72):
+            for mark, end in (("", "\n"), (" * ", "\n"), ("# ", "\r\n"), ("// ", "\n")):
+                lines = [x for part in text.split("\n") for x in (textwrap.wrap(part, width) or [""])]
+                want[len(rows)] = [name]
+                rows.append((len(rows), end.join(mark + x for x in ["Copyright 2020 A. Person", "", *lines, "", "Code follows."]), "", ""))
+    for text in ("Permission is hereby\n\ngranted, free of charge", "License: MIT License", "word licensed under\nMIT License and more"):
+        rows.append((len(rows), text, "", ""))
+    rows.append((len(rows), "Words. This work is licensed\nunder the terms of the GNU GPL\nversion 3.\nMore.", "", ""))
+    want[rows[-1][0]] = ["GPL-3.0"]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i: r.licenses for i, r in got.items()} == want
+    assert got[rows[-1][0]].sentence_nos == [1]
