@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import decontaminate, langid, licenses, linededup, lmscore, packing, secrets, simhash, topk, toxicity
+from tablescout.llm import decontaminate, langid, licenses, linededup, lmscore, mixing, packing, secrets, simhash, topk, toxicity, vectorcodes
 from tablescout.llm.common import in_fold
 
 
@@ -71,6 +71,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"), F.array("source"))
+    return found.select("doc_id", "size", F.col("source_sizes")[0].alias("source_size"), F.col("targets")[0].alias("target"), "taken")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vectorcodes.compress(_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(None if books is None else vectorcodes.books_sha256(books)).cast("string")
+    return found.select("vec_id", vectorcodes.hex_code(F.col("codes")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
@@ -82,6 +93,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
+    "op11_source_mix": op11_source_mix,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 
@@ -139,8 +152,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)"""
 
 
+def _vector_codes_sql() -> str:
+    """Each round is three tables: nearest entries, sums, new codebook."""
+    distance = "list_sum(list_transform(list_zip(p.x, c.x), q -> (q[1] - q[2]) * (q[1] - q[2])))"
+    tables = []
+    for i in range(vectorcodes.ROUNDS + 1):
+        tables.append(f"""a{i} AS MATERIALIZED (SELECT p.rid, p.part, min(CAST({distance} AS BIGINT) * 256 + c.entry) AS m FROM p JOIN c{i} c ON p.part = c.part GROUP BY ALL)""")
+        if i < vectorcodes.ROUNDS:
+            tables.append(f"""s{i} AS (SELECT part, entry, i, sum(x[i]) AS s, count(*) AS n
+  FROM (SELECT a.part, a.m % 256 AS entry, p.x, unnest(range(1, len(p.x) + 1)) AS i FROM a{i} a JOIN p USING (rid, part)) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(u.x, c.x) AS x FROM c{i} c LEFT JOIN (
+  SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{i} GROUP BY ALL) u USING (part, entry))""")
+    last = vectorcodes.ROUNDS
+    return f"""WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) AS rid, * FROM v),
+p AS MATERIALIZED (SELECT rid, part, e[part * (len(e) // 4) + 1 : (part + 1) * (len(e) // 4)] AS x FROM k, range(4) r(part)),
+c0 AS (SELECT part, rid - 1 AS entry, x FROM p WHERE rid <= 256),
+{", ".join(tables)},
+r AS (SELECT rid, string_agg(lower(lpad(to_hex(m % 256), 2, '0')), '' ORDER BY part) AS code, CAST(sum(m // 256) AS BIGINT) AS error FROM a{last} GROUP BY rid),
+h AS (SELECT sha256(string_agg(CAST(x[i] AS VARCHAR), ',' ORDER BY part, entry, i)) AS digest FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM c{last}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM k JOIN r USING (rid), h"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_top_k": _topk_sql(),
     "op9_license_scan": _license_sql(),
     "op10_decontaminate": _decontaminate_sql(),
+    "op12_vector_codes": _vector_codes_sql(),
 }
