@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import decontaminate, langid, licenses, linededup, lmscore, mixing, packing, secrets, simhash, topk, toxicity, vectorcodes
+from tablescout.llm import collocations, decontaminate, langid, licenses, linededup, lmscore, mixing, packing, secrets, simhash, topk, toxicity, vectorcodes
 from tablescout.llm.common import in_fold
 
 
@@ -82,6 +82,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", vectorcodes.hex_code(F.col("codes")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
@@ -95,6 +99,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_source_mix": op11_source_mix,
     "op12_vector_codes": op12_vector_codes,
+    "op13_collocations": op13_collocations,
 }
 
 
@@ -154,7 +159,7 @@ FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)"""
 
 def _vector_codes_sql() -> str:
     """Each round is three tables: nearest entries, sums, new codebook."""
-    distance = "list_sum(list_transform(list_zip(p.x, c.x), q -> (q[1] - q[2]) * (q[1] - q[2])))"
+    distance = "list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2])))"
     tables = []
     for i in range(vectorcodes.ROUNDS + 1):
         tables.append(f"""a{i} AS MATERIALIZED (SELECT p.rid, p.part, min(CAST({distance} AS BIGINT) * 256 + c.entry) AS m FROM p JOIN c{i} c ON p.part = c.part GROUP BY ALL)""")
@@ -165,8 +170,8 @@ c{i + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(u.x, c.x) AS x FROM c
   SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{i} GROUP BY ALL) u USING (part, entry))""")
     last = vectorcodes.ROUNDS
     return f"""WITH v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) AS rid, * FROM v),
 p AS MATERIALIZED (SELECT rid, part, e[part * (len(e) // 4) + 1 : (part + 1) * (len(e) // 4)] AS x FROM k, range(4) r(part)),
 c0 AS (SELECT part, rid - 1 AS entry, x FROM p WHERE rid <= 256),
@@ -177,9 +182,34 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM k JOIN r USING (rid), h"""
 
 
+def _collocations_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH w AS MATERIALIZED (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex({lower}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM w, range(1, 6) s(k) WHERE len(w) >= k) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS p FROM g WHERE k > 1),
+cuts AS (SELECT lang, phrase, k, a, p, unnest(range(1, k)) AS cut FROM c),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, f.a AS l, s.a AS r, n, cut, (1000 * c.a::HUGEINT * n) // (f.a::HUGEINT * s.a) AS score
+  FROM cuts c JOIN g f ON f.lang = c.lang AND f.phrase = array_to_string(p[1:cut], ' ')
+  JOIN g s ON s.lang = c.lang AND s.phrase = array_to_string(p[cut + 1:], ' ') JOIN t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT DISTINCT lang, a, unnest(list_transform(list_filter(flatten(list_transform(range(1, k + 1), lambda i: list_transform(range(i + 1, k + 1), lambda j: [i, j]))),
+    lambda x: x[2] - x[1] + 1 < k), lambda x: array_to_string(p[x[1]:x[2]], ' '))) AS phrase FROM c)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM scored s WHERE NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = s.lang AND o.phrase = s.phrase AND o.a >= s.a) QUALIFY rank <= 2000"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_top_k": _topk_sql(),
     "op9_license_scan": _license_sql(),
     "op10_decontaminate": _decontaminate_sql(),
     "op12_vector_codes": _vector_codes_sql(),
+    "op13_collocations": _collocations_sql(),
 }
