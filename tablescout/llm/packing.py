@@ -17,13 +17,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,66 +33,42 @@ GROUP_PIECES = 2048
 WEIGHTS = (1.0, 0.05, 0.05)  # tokens, documents, attention cost, each relative to its capacity
 
 # A regular text holds Latin letters, common punctuation, spaces and line feeds
-# alone, where every library agrees on what a letter or white space is, and no
-# run of white space with a space in it, so that a word begins at each space.
+# alone, where every library agrees on what a letter or white space is.
 _OTHER = re.compile("[^\n\x20-\x7e\xa1-ɏ‐-‧€™]")
-_RUNS = ("  ", " \n", "\n ")
 
 # Fixed value: how byte-level BPE cuts a text into words before merging.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_WORD = regex.compile(_WORDS)
-_CACHE = 400_000  # entries of a word cache, which is emptied beyond
 
 
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
-    """The tokenizer at ``path``, its vocabulary as byte ranks, and two word caches."""
+    """The tokenizer at ``path``, its vocabulary as byte ranks, and a pattern of what takes the tokenizer itself."""
     from tiktoken import Encoding
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     plain = [c for c in range(256) if 33 <= c <= 126 or 161 <= c <= 172 or c >= 174]
     symbols = sorted(ByteLevel.alphabet())  # bytes that print stand for themselves, the others follow from 256 on
     byte = {chr(c): c for c in plain}
     byte |= dict(zip((x for x in symbols if x not in byte), (c for c in range(256) if c not in set(plain)), strict=True))
-    ranks = {bytes(byte[x] for x in token): i for token, i in tokenizer.get_vocab().items() if token not in special}
-    return tokenizer, Encoding("words", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}), {}, {}
+    ranks = {bytes(byte[x] for x in token): i for token, i in tokenizer.get_vocab().items() if token not in added}
+    special = re.compile("|".join([_OTHER.pattern, *map(re.escape, sorted(added))]))
+    return tokenizer, Encoding("words", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}), special
 
 
 def encode(texts: list[str], path: str) -> list[np.ndarray]:
-    """The ids of each text without special tokens, as the tokenizer at ``path`` gives them.
+    """The ids of each text, as the tokenizer at ``path`` gives them without adding special tokens.
 
-    A regular text is cut before its spaces; the stretches, and the words of
-    those not seen before, are looked up in bounded caches, and new words are
-    merged by the ranks of the same vocabulary. Other texts go through the
-    tokenizer whole.
+    A regular text is merged by the ranks of the same vocabulary. Other texts,
+    and those that hold the string of an added token, which has an id of its
+    own, go through the tokenizer.
     """
-    tokenizer, ranks, stretches, words = _tokenizer(path)
-    for cache in (stretches, words):
-        if len(cache) > _CACHE:
-            cache.clear()
-    out, cut, other = {}, {}, []
-    for i, text in enumerate(texts):
-        if _OTHER.search(text) or any(run in text for run in _RUNS):
-            other.append(i)
-        else:
-            cut[i] = text.replace(" ", "\0 ").split("\0")
-    for i, found in zip(other, tokenizer.encode_batch_fast([texts[i] for i in other], add_special_tokens=False), strict=True):
-        out[i] = np.array(found.ids, "<u4")
-    for i, parts in cut.items():
-        for stretch in parts:
-            if stretch not in stretches:
-                ids = b""
-                for word in _WORD.findall(stretch):
-                    if word not in words:
-                        words[word] = array("I", ranks.encode_ordinary(word)).tobytes()
-                    ids += words[word]
-                stretches[stretch] = ids
-        out[i] = np.frombuffer(b"".join(map(stretches.__getitem__, parts)), "<u4")
-    return [out[i] for i in range(len(texts))]
+    tokenizer, ranks, special = _tokenizer(path)
+    other = [i for i, text in enumerate(texts) if special.search(text)]
+    out = dict(zip(other, tokenizer.encode_batch_fast([texts[i] for i in other], add_special_tokens=False), strict=True))
+    return [np.array(out[i].ids if i in out else ranks.encode_ordinary(text), "<u4") for i, text in enumerate(texts)]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

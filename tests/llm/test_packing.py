@@ -10,13 +10,11 @@ from tablescout.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id bigint, text string, length string, offset int"
-ODD = [None, "", " ", "a", "<|endoftext|> x", "two  spaces", "end ", " \n x\n\ny", "日本語 テスト", "é’s it's IT'S", "tab\tx\x1cy\x85z w", "x" * 3000, "1234 ½ ²"]
+ODD = [None, "", " ", "a", "<|endoftext|> x", "two  spaces", "end ", " \n x\n\ny", "日本語 テスト", "é’s it's IT'S", "tab\tx\x1cy\x85z w", "x" * 3000, "1234 ½ ²", "a <|endoftext|> x", "<|endoftext|>" * 3, "   lead\n\n  and  trail  \n ", "\n\n\n", "    "]
 
 
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def texts():
