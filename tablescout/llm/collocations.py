@@ -261,9 +261,30 @@ def _equal_ids(words: Words) -> np.ndarray:
     return ids
 
 
-def _write(words: Words, place: int, size: int) -> str:
-    at = zip(words.first[place : place + size].tolist(), words.end[place : place + size].tolist(), strict=True)
-    return b" ".join(words.data[lo:hi].tobytes() for lo, hi in at).decode("utf-8", "surrogatepass")
+def _texts(words: Words, places: np.ndarray, size: int) -> tuple[np.ndarray, pa.Array]:
+    """The phrases at ``places``, and the order in which they come: first those that stand in the text as they are written."""
+    lo, hi = words.first[places], words.end[places + size - 1]
+    plain = np.ones(len(places), bool)
+    for k in range(1, size):
+        begin = words.first[places + k]
+        plain &= (begin - words.end[places + k - 1] == 1) & (words.data[begin - 1] == 32)
+    order = np.argsort(~plain, kind="stable")
+    n = (hi - lo)[plain]
+    ends = np.cumsum(n)
+    data = words.data[np.arange(int(n.sum())) + np.repeat(lo[plain] - (ends - n), n)]
+    offsets = np.zeros(len(n) + 1, np.int32)
+    offsets[1:] = ends
+    found = [pa.StringArray.from_buffers(len(n), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes()))]
+    between = []
+    for place in places[~plain].tolist():  # several spaces or tabs between words
+        at = zip(words.first[place : place + size].tolist(), words.end[place : place + size].tolist(), strict=True)
+        between.append(b" ".join(words.data[x:y].tobytes() for x, y in at))
+    return order, pa.concat_arrays([*found, pa.array(between, pa.binary()).cast(pa.string())])
+
+
+def _rows(lang: str, phrases: pa.Array, size: int, n: pa.Array, doc_ids: pa.Array, places: pa.Array) -> pa.RecordBatch:
+    langs = pa.array([lang]).take(pa.array(np.zeros(len(phrases), np.int64)))
+    return pa.RecordBatch.from_arrays([langs, phrases, pa.array(np.full(len(phrases), size, np.int32)), n, doc_ids, places], ["lang", "phrase", "words", "n", "doc_id", "word"])
 
 
 def _phrases(rows: DataFrame, sizes: range, filters: Broadcast, bits: int) -> DataFrame:
@@ -275,38 +296,31 @@ def _phrases(rows: DataFrame, sizes: range, filters: Broadcast, bits: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches, limit=_TEXT_SLICE):
-            of, phrase, count, n, row, word = [], [], [], [], [], []
-
-            def put(lang, text, size, times, doc, place, to=(of, phrase, count, n, row, word)):
-                for column, value in zip(to, (lang, text, size, times, doc, place), strict=True):
-                    column.append(value)
-
             for lang, numbers, texts in _by_language(batch):
                 words = words_of(texts)
                 marker, ids = Marker(words, lang, bits), _equal_ids(words)
                 begins = np.searchsorted(words.first, np.cumsum([0, *(len(t) + 1 for t in texts)][:-1]))  # each text's first word
-                put(lang, "", 0, len(ids), None, None)
+                none = pa.nulls(1, pa.int64())
+                yield _rows(lang, pa.array([""]), 0, pa.array([len(ids)], pa.int64()), batch.column("doc_id").take(none), none)
                 for size in sizes:
                     at, marks = _candidates(marker, size, filters.value)
                     keep = filters.value[size].has(marks)
                     at, marks = at[keep], marks[keep]
+                    if not len(at):
+                        continue
                     _, one, group = np.unique(marks, return_index=True, return_inverse=True)
                     pointed = at[one][group]
                     wrong = np.zeros(len(at), bool)
                     for k in range(size):
                         wrong |= ids[at + k] != ids[pointed + k]
-                    times = np.bincount(group[~wrong], minlength=len(one))
-                    text_of = np.searchsorted(begins, at, side="right") - 1
-                    for place, c, d in zip(at[one].tolist(), times.tolist(), text_of[one].tolist(), strict=True):
-                        put(lang, _write(words, place, size), size, c, int(numbers[d]), place - int(begins[d]))
-                    for i in np.flatnonzero(wrong):  # told apart by their text
-                        d = int(text_of[i])
-                        put(lang, _write(words, int(at[i]), size), size, 1, int(numbers[d]), int(at[i] - begins[d]))
-            if of:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(of, pa.string()), pa.array(phrase, pa.string()), pa.array(count, pa.int32()), pa.array(n, pa.int64()), batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(word, pa.int64())],
-                    ["lang", "phrase", "words", "n", "doc_id", "word"],
-                )
+                    # Those told apart by their text come one by one.
+                    places = np.r_[at[one], at[wrong]]
+                    times = np.r_[np.bincount(group[~wrong], minlength=len(one)), np.ones(int(wrong.sum()), np.int64)]
+                    order, phrases = _texts(words, places, size)
+                    places, times = places[order], times[order]
+                    text_of = np.searchsorted(begins, places, side="right") - 1
+                    ids_of = batch.column("doc_id").take(pa.array(numbers[text_of], pa.int64()))
+                    yield _rows(lang, phrases, size, pa.array(times, pa.int64()), ids_of, pa.array(places - begins[text_of], pa.int64()))
 
     kind = field_type(rows, "doc_id")
     found = rows.select("doc_id", "lang", "text").mapInArrow(run, f"lang string, phrase string, words int, n bigint, doc_id {kind}, word bigint")
