@@ -50,7 +50,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = in_fold(F.col("doc_id"), 3, 1)
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
-    found = toxicity.classify(docs, toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id")))
+    found = toxicity.classify(docs, toxicity.fit(docs, labels))
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence", "cosines")
 
 

@@ -1,13 +1,15 @@
 """Toxicity by the nearest labelled examples.
 
 A text is a vector of TF-IDF weights over all its words, each times how far
-the word tells the labels apart, but never zero. The labelled
-examples' vectors, every word of them, lie in an inverted index cut into
-blocks of examples: rarer words have postings, the weights of frequent words
-are a matrix. The cosine with every example is computed, and the k best of
-the blocks' best cosines bound those worth sorting, so the k nearest are
-exact. Their votes, weighted by cosine, are calibrated on examples kept out
-of the index and come back with the examples as evidence.
+the word tells the labels apart, but never zero. The labelled examples'
+vectors, every word of them, lie in an inverted index cut into blocks of
+examples: rarer words have postings with the largest weight of each block, the
+weights of frequent words are a matrix. A block's bound is the best frequent
+part in it plus the query's weights times those largest weights. The blocks
+with the highest bounds are read first, and no other block is read whose bound
+is below the k-th best cosine so far, so the k nearest are exact. Their votes,
+weighted by cosine, are calibrated on examples kept out of the index and come
+back with the examples as evidence.
 """
 
 from __future__ import annotations
@@ -24,16 +26,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablescout.llm.common import arrow_slices, field_type
+from tablescout.llm.common import arrow_slices, field_type, stored
 
 NEIGHBOURS = 15
-EXAMPLES = 4000  # labelled documents of each label that are learned from, at most about; a hash of the text decides which
+EXAMPLES = 4000  # different labelled texts of each label that are learned from, at most; a hash of the text decides which
 ASIDE = 0.25  # share of them that calibrates the votes and is not indexed
 FREQUENT = 256  # terms of the index, at most, whose weights are kept for every example; the others have postings
 FREQUENT_SHARE = 1 / 32  # of the examples, from which a term is one of them
 FLOOR = 0.003  # weight of a word that says nothing about the label; one that decides it has 1 more
 BATCH = 64  # texts whose cosines are taken together
 BLOCK = 64  # examples in a block of the index
+FIRST_BLOCKS = 4  # read before any is skipped
+SLACK = 1e-9  # by which rounding may falsify a bound
 PREDICT_AT = 0.7
 _WORD = regex.compile(r"\p{L}+")
 
@@ -44,9 +48,12 @@ class Index(NamedTuple):
     unseen: float  # that of a term that no example has
     ids: np.ndarray  # the examples' numbers, one row each below
     labels: np.ndarray
-    starts: np.ndarray  # where each term's postings begin, and their number
     places: np.ndarray  # postings of all terms but the frequent ones
     weights: np.ndarray
+    spans: np.ndarray  # where each term's blocks begin, and their number
+    blocks: np.ndarray  # each term's blocks, one after another: number, first posting, largest weight
+    firsts: np.ndarray
+    largest: np.ndarray
     row: np.ndarray  # a frequent term's row below, -1 for others
     dense: np.ndarray  # frequent terms x examples, filled up to whole blocks
     block: int
@@ -89,7 +96,7 @@ def term_weights(examples: list[tuple[int, Counter, int]], share: tuple[float, f
 def build(terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, Counter, int]], prior: float, block: int = BLOCK, share: tuple[float, float] = (1.0, 1.0), unseen: float = 0.0) -> Index:
     """The index of ``(number, term counts, label)`` examples; those without a known term are left out."""
     none, no = np.zeros(0, np.int64), np.zeros(0)
-    index = Index(terms, idf, unseen, none, no, none, none, no, none, np.zeros((0, 0)), block, prior, np.array(share, float), (no, no))
+    index = Index(terms, idf, unseen, none, no, none, no, none, none, none, no, none, np.zeros((0, 0)), block, prior, np.array(share, float), (no, no))
     vectors = [(n, label, *_vector(index, counts)) for n, counts, label in examples]
     vectors = [v for v in vectors if len(v[2])]
     vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), v[0]))  # alike vectors share a block
@@ -107,13 +114,19 @@ def build(terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, Coun
     mine = row[at] >= 0
     dense[row[at[mine]], place[mine]] = weight[mine]
     at, place, weight = at[~mine], place[~mine], weight[~mine]
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at, kind="stable")  # by term, then by place
+    at, place, weight = at[order], place[order], weight[order]
+    of = at * (size // block + 1) + place // block
+    firsts = np.flatnonzero(np.diff(of, prepend=-1))
     return index._replace(
         ids=np.array([v[0] for v in vectors], np.int64),
         labels=np.array([v[1] for v in vectors], float),
-        starts=np.r_[0, np.cumsum(np.bincount(at, minlength=len(terms)))],
-        places=place[order].astype(np.int32),
-        weights=weight[order],
+        places=place.astype(np.int32),
+        weights=weight,
+        spans=np.r_[0, np.cumsum(np.bincount(at[firsts], minlength=len(terms)))],
+        blocks=place[firsts] // block,
+        firsts=np.r_[firsts, len(at)],
+        largest=np.maximum.reduceat(weight, firsts) if len(firsts) else weight,
         row=row,
         dense=dense,
     )
@@ -135,19 +148,47 @@ def nearest_all(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]], k: i
         for q, (at, weight) in enumerate(part):
             frequent = index.row[at] >= 0
             heavy[q, index.row[at[frequent]]] = weight[frequent]
-        for (at, weight), score in zip(part, heavy @ index.dense, strict=True):
-            rare = index.row[at] < 0
-            start, n = index.starts[at[rare]], index.starts[at[rare] + 1] - index.starts[at[rare]]
-            postings = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
-            score = np.round(score + np.bincount(index.places[postings], index.weights[postings] * np.repeat(weight[rare], n), minlength=len(score)), 12)
-            best = score.reshape(-1, index.block).max(axis=1)
-            least = np.partition(best, -k)[-k] if len(best) > k else 0.0  # so many blocks hold one as good: the k-th best is no worse
-            place = np.flatnonzero((score >= least) & (score > 0))
-            place = place[np.lexsort((place, -score[place]))[:k]]
-            out.append((place, score[place]))
+        for (at, weight), frequent in zip(part, heavy @ index.dense, strict=True):
+            out.append(_best(index, at, weight, frequent, k)[:2])
     return out
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``first[i] .. first[i] + n[i] - 1`` for each i, one after another."""
+    return np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def _best(index: Index, at: np.ndarray, weight: np.ndarray, frequent: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places and cosines of the k nearest, and how many blocks were read; ``frequent`` is the frequent terms' part."""
+    rare = index.row[at] < 0
+    n = index.spans[at[rare] + 1] - index.spans[at[rare]]
+    entries, times = _ranges(index.spans[at[rare]], n), np.repeat(weight[rare], n)
+    parts = frequent.reshape(-1, index.block)
+    bound = parts.max(axis=1) + np.bincount(index.blocks[entries], index.largest[entries] * times, minlength=len(parts)) + SLACK
+    order = np.argsort(-bound, kind="stable")
+    scores = np.full(parts.shape, -1.0)
+    for chosen in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
+        known = scores[scores > 0]
+        least = np.partition(known, -k)[-k] if len(known) >= k else SLACK
+        chosen = chosen[bound[chosen] > least]
+        if not len(chosen):
+            continue
+        read = np.zeros(len(parts), bool)
+        read[chosen] = True
+        mine = read[index.blocks[entries]]
+        some = entries[mine]
+        length = index.firsts[some + 1] - index.firsts[some]
+        postings = _ranges(index.firsts[some], length)
+        found = np.bincount(index.places[postings], index.weights[postings] * np.repeat(times[mine], length), minlength=parts.size).reshape(parts.shape)
+        scores[chosen] = np.round(parts[chosen] + found[chosen], 12)
+    flat = scores.ravel()
+    known = np.flatnonzero(flat > 0)
+    if len(known) > k:
+        known = known[flat[known] >= np.partition(flat[known], -k)[-k]]
+    place = known[np.lexsort((known, -flat[known]))[:k]]
+    return place, flat[place], int((scores[:, 0] >= 0).sum())
+
+
 def _votes(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[float | None, np.ndarray, np.ndarray]]:
     for place, score in nearest_all(index, vectors, k):
         each = score * index.share[index.labels[place].astype(int)]  # labels are sampled at rates of their own
@@ -184,53 +225,59 @@ def score_all(index: Index, texts: list[Counter], k: int = NEIGHBOURS) -> list[t
         if vote is None:
             out.append((index.prior, [], []))
             continue
-        # The vote itself breaks ties inside a calibrated step.
         p = float(np.interp(vote, *index.steps)) if len(index.steps[0]) else vote
-        out.append((min(1.0, max(0.0, 0.98 * p + 0.02 * vote)), index.ids[place].tolist(), cosine.tolist()))
+        out.append((min(1.0, max(0.0, p)), index.ids[place].tolist(), cosine.tolist()))
     return out
 
 
-def fit(labelled: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Index:
-    """Learn from ``doc_id, text, toxic`` rows; null labels are left out.
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Index:
+    """Learn from the rows of ``docs`` that ``labels`` (id and 0 or 1) names; other labels and null ids are left out.
 
-    All given rows decide how often each label occurs. The index and the
-    calibration come from at most about ``examples`` documents of each
-    label, all words of their whole texts, chosen by a hash of the text; in
-    frequencies, votes and calibration each stands for as many rows as its
-    label's rate says.
+    All labelled rows decide which texts there are; copies of a text with the
+    same label count once. The index and the calibration come from at most
+    ``examples`` different texts of each label, all words of each, the first
+    by a hash of the text; in frequencies, votes and calibration each stands
+    for as many texts as its label's rate says. Texts meet the labels as
+    hashes alone; only the chosen ones are fetched, by one more scan.
     """
-    rows = labelled.where("toxic IN (0, 1)").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    unit = lambda seed: F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rate = F.when(F.col("toxic") == 1, min(1.0, examples / max(1, totals.get(1, 0)))).otherwise(min(1.0, examples / max(1, totals.get(0, 0))))
-    sample = rows.where(unit(11) < rate).withColumn("aside", unit(12) < ASIDE)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"))
+    marks = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where("toxic IN (0, 1)")
+    texts = stored(rows.join(marks, "doc_id").groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id")))
+    totals = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    order = lambda seed: F.xxhash64("key", F.lit(seed))
+    chosen = [r for label in (0, 1) for r in texts.where(F.col("toxic") == label).orderBy(order(11), "key").limit(examples).select("key", "toxic", "doc_id", (F.pmod(order(12), F.lit(1000)) < 1000 * ASIDE).alias("aside")).collect()]
+    wanted = docs.sparkSession.createDataFrame(chosen, "key bigint, toxic int, doc_id bigint, aside boolean")  # twice ``examples`` at most
+    whole = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches):
             found = [sorted(terms_of(t).items()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "toxic", "aside")), pa.array([[w for w, _ in x] for x in found], pa.list_(pa.string())), pa.array([[n for _, n in x] for x in found], pa.list_(pa.int64()))],
-                ["doc_id", "toxic", "aside", "terms", "n"],
+                [*(batch.column(c) for c in ("doc_id", "key", "toxic", "aside")), pa.array([[w for w, _ in x] for x in found], pa.list_(pa.string())), pa.array([[n for _, n in x] for x in found], pa.list_(pa.int64()))],
+                ["doc_id", "key", "toxic", "aside", "terms", "n"],
             )
 
-    counted = sample.mapInArrow(count, "doc_id bigint, toxic int, aside boolean, terms array<string>, n array<bigint>")
-    learned, kept = [], []  # bounded by the examples
-    for r in counted.orderBy("doc_id", "toxic", F.xxhash64("terms", "n")).toArrow().to_batches(max_chunksize=256):
-        for doc, label, aside, words, n in zip(*(c.to_pylist() for c in r.columns), strict=True):
-            (kept if aside else learned).append((doc if doc is not None else -1, Counter(dict(zip(map(sys.intern, words), n, strict=True))), label))
+    counted = whole.join(F.broadcast(wanted), ["doc_id", "key"]).mapInArrow(count, "doc_id bigint, key bigint, toxic int, aside boolean, terms array<string>, n array<bigint>")
+    found: dict[tuple[int, int], tuple] = {}  # bounded by the examples; rows alike in id and text come once
+    for r in counted.toArrow().to_batches(max_chunksize=256):
+        for doc, key, label, aside, words, n in zip(*(c.to_pylist() for c in r.columns), strict=True):
+            found.setdefault((key, label), (doc, Counter(dict(zip(map(sys.intern, words), n, strict=True))), label, aside))
+    examples_ = [found[x] for x in sorted(found)]
+    learned, kept = ([(doc, counts, label) for doc, counts, label, aside in examples_ if aside == kind] for kind in (False, True))
     sampled = Counter(label for _, _, label in learned + kept)
     share = tuple(totals.get(label, 0) / max(1, sampled[label]) for label in (0, 1))
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
     terms, weight, unseen = term_weights(learned, share)
     index = build(terms, weight, learned, prior, share=share, unseen=unseen)
-    votes, labels, blank = [], [], [1.0, prior]
+    votes, truth, blank = [], [], [1.0, prior]
     for (_, _, label), (vote, _, _) in zip(kept, _votes(index, [_vector(index, counts) for _, counts, _ in kept], k), strict=True):
         if vote is None:  # no known term: the share of label 1 among such rows, weighted back to all rows
             blank = [blank[0] + share[label], blank[1] + share[label] * label]
         else:
             votes.append(vote)
-            labels.append(label)
-    return index._replace(prior=blank[1] / blank[0], steps=calibrate(np.array(votes), np.array(labels), np.array([share[label] for label in labels])))
+            truth.append(label)
+    return index._replace(prior=blank[1] / blank[0], steps=calibrate(np.array(votes), np.array(truth), np.array([share[label] for label in truth])))
 
 
 def classify(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS) -> DataFrame:
