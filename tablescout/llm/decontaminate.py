@@ -324,5 +324,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 def _kept(docs: DataFrame, benchmark: DataFrame, text_col: str, **parameters) -> DataFrame:
     """The scan's clean rows with all their columns: the text travels once more, inside ``row``."""
-    held = docs.withColumn("_scanned_text", F.col(f"`{text_col}`"))
-    return scan(held, benchmark, "_scanned_text", **parameters).where(F.size("spans") == 0)
+    name = "_scanned_text"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    return scan(docs.withColumn(name, F.col(f"`{text_col}`")), benchmark, name, **parameters).where(F.size("spans") == 0)

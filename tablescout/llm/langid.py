@@ -29,6 +29,7 @@ ASIDE = 0.2  # share of the sample kept for calibration
 MARGIN = 3.0  # a text is rejected beyond this multiple of the worst deviation seen on the rows kept aside
 UNDETERMINED = "und"
 _SPACE, _EDGE = 32, 0
+_SLICE = 1 << 19  # bytes of text at a time: a task's arrays are many times as large
 
 
 class Model(NamedTuple):
@@ -246,7 +247,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER, mar
     sample = _sample(docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")), sample_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_slices(batches):
+        for batch in arrow_slices(batches, limit=_SLICE):
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for name in sorted(set(langs)):
                 columns, _ = _windows(_letters([t for t, x in zip(texts, langs, strict=True) if x == name])[0], order)
@@ -263,7 +264,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER, mar
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_slices(batches):
+        for batch in arrow_slices(batches, limit=_SLICE):
             entropies, lengths = cross_entropies(shared.value, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(lengths, pa.int64()), pa.array(entropies.tolist(), pa.list_(pa.float64()))], ["lang", "n", "bits"])
 
@@ -291,7 +292,7 @@ def _predicted(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was learned from
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_slices(batches):
+        for batch in arrow_slices(batches, limit=_SLICE):
             found = predict(shared.value, [t or "" for t in batch.column("text").to_pylist()])
             lang, score, bits, accepted = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(

@@ -79,3 +79,9 @@ def test_empty_tables(spark, cases):
     assert len(clean) == len(cases[0]) and not any(r.contaminated or r.n_items for r in clean)
 
 
+
+
+def test_documents_may_have_any_column_names(spark):
+    df = spark.createDataFrame([(1, "one two three", "kept", 3), (2, "clean", None, 4)], "doc_id bigint, text string, _scanned_text string, _Scanned_Text_ int")
+    items = spark.createDataFrame([(1, "two three")], "item_id bigint, text string")
+    assert [tuple(r) for r in dc.decontaminate(df, items).collect()] == [(2, "clean", None, 4)]
