@@ -11,7 +11,6 @@ Floating results whose value depends on summation order are rounded to
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import uuid
 from collections.abc import Callable
@@ -20,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablescout.functions.hashing import PRIME, hash_coefficients
-from tablescout.operators import aggregates, histogram, joinpaths, outliers, passthrough, profile
+from tablescout.operators import aggregates, discovery, histogram, joinpaths, outliers, passthrough, profile, ranks
 from tablescout.operators import signature as sig_ops
+from tablescout.plans.tableset import TableProfiler
 from tablescout.session import checkpoint_dir
-from tablescout.sources.readers import cast_categorical, read_table
+from tablescout.sources.readers import cast_categorical, handle_input, read_table
 
 SEED = 42
 HASHNUM = 100
@@ -118,12 +118,40 @@ def _derived_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _has(module: str) -> bool:
-    """Whether an optional part of the library is there."""
-    return importlib.util.find_spec(module) is not None
+try:  # optional parts of the library, and what they need
+    from tablescout.llm.queries import ORACLE_SQL as _LLM_SQL
+    from tablescout.llm.queries import QUERIES as _LLM_QUERIES
+except ImportError:
+    _LLM_SQL, _LLM_QUERIES = {}, {}
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    _pipeline = None
 
 
 CENTERS = [[10.0, 910.0], [40.0, 990.0]]
+MANY_CENTERS = [[float(5 * i % 53), 900.0 + 3.5 * i] for i in range(300)]
+UNEVEN = [1000.0 + 7.5 * i * i for i in range(200)]
+
+
+def _rank_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each sketched quantile is within the error it was asked for."""
+    names, table = ["l_extendedprice", "l_quantity"], _read(spark, sf_dir, "lineitem")
+    found = ranks.approximate_quantiles(table, names, [0.1, 0.5, 0.9], 0.01)
+    return ranks.rank_errors(table, found, names).select("column", "prob", (F.col("error") <= 0.01).alias("within"))
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables read as a set, one column of the first cast to text."""
+    nation, region = handle_input(spark, [f"{sf_dir}/nation.parquet", f"{sf_dir}/region.parquet"], {0: ["n_nationkey"]})
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+
+
+def _dispatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One function by name over two tables of a set, one column list each."""
+    tables = TableProfiler(spark, [f"{sf_dir}/{t}.parquet" for t in ("customer", "supplier")])
+    customer, supplier = tables.single_column_evaluation("distinct_count", [0, 1], [["c_nationkey"], ["s_nationkey"]])
+    return customer.crossJoin(supplier)  # one row each
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -136,7 +164,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "txt_roundtrip": lambda s, d: _roundtrip(s, d, "txt"),
         # MinHash join discovery
         "minhash_signature": lambda s, d: sig_ops.multiple_table_signature(
-            _tables(s, d, TPCH), hash_coefficients(HASHNUM, SEED)
+            _tables(s, d), hash_coefficients(HASHNUM, SEED)
         ),
         "joining_path_hash": lambda s, d: jp.joining_path_hash(_tables(s, d), seed=SEED),
         "joining_path_hash_tpch": lambda s, d: jp.joining_path_hash(_tables(s, d, TPCH), threshold=0.05, seed=SEED),
@@ -151,7 +179,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "multi_set_resemble": lambda s, d: jp.multi_set_resemble(_tables(s, d), threshold=0, seed=SEED),
         "multi_set_resemble_containing": lambda s, d: jp.multi_set_resemble(
-            _tables(s, d, TPCH), threshold=0.5, containing_check=True, seed=SEED
+            _tables(s, d), threshold=0.5, containing_check=True, seed=SEED
         ),
         "multi_set_resemble_specific": lambda s, d: jp.multi_set_resemble_specific(
             _tables(s, d), 6, "l_orderkey", seed=SEED
@@ -188,6 +216,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _read(s, d, "orders"), "o_totalprice", [0, 50000, 100000, 200000, 400000, 600000]
         ),
         "histogram_single_bin": lambda s, d: histogram.histogram(_read(s, d, "lineitem"), "l_discount", 1),
+        "histogram_bigint": lambda s, d: histogram.histogram(
+            _read(s, d, "orders").select((F.col("o_orderkey") + F.lit(2**53)).alias("big")), "big", [2**53, 2**53 + 1, 2**53 + 2, 2**53 + 1001, 2**60]
+        ),
+        "histogram_many_edges": lambda s, d: histogram.histogram(_read(s, d, "orders"), "o_totalprice", UNEVEN),
         # one-argument aggregates and pass-through methods
         "agg_numeric": lambda s, d: _round(
             aggregates.aggregate(_read(s, d, "lineitem"), "avg", ["l_quantity", "l_extendedprice", "l_discount"]),
@@ -239,11 +271,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _read(s, d, "lineitem"), ["l_extendedprice", "l_quantity"], probabilities=[0.1, 0.25, 0.5, 0.9],
             relativeError=0.0,
         ),
-        "freq_items": lambda s, d: passthrough.PASS_THROUGH["freqItems"](_read(s, d, "orders"), ["o_orderpriority"]),
+        "quantiles_exact": lambda s, d: _round(passthrough.PASS_THROUGH["percentile"](
+            _read(s, d, "lineitem"), ["l_extendedprice", "l_quantity", "l_orderkey"], probabilities=[0.0, 0.1, 0.5, 0.99, 1.0]
+        ), ["value"]),
+        "quantile_rank_check": lambda s, d: _rank_check(s, d),
+        "agg_median": lambda s, d: aggregates.aggregate(_read(s, d, "orders"), "median", ["o_totalprice", "o_orderkey"]),
+        "freq_items": lambda s, d: passthrough.PASS_THROUGH["frequentItems"](
+            _read(s, d, "orders"), ["o_orderpriority", "o_orderstatus", "o_custkey"], 0.003
+        ),
+        # discovery beyond similarity
+        "containment_paths": lambda s, d: discovery.containment_paths(_tables(s, d), threshold=0.5, sample=1 << 16).drop("sampled", "error"),
+        "containment_error_check": lambda s, d: discovery.containment_errors(_tables(s, d), sample=512, confidence=0.999999),
+        "join_size_sketch": lambda s, d: discovery.join_sizes(_tables(s, d)),
+        "join_size_error_check": lambda s, d: discovery.join_size_errors(_tables(s, d)),
+        # entry points: reading a table set, dispatch by name, the facade
+        "load_table_set": lambda s, d: _loaded(s, d),
+        "single_column_dispatch": lambda s, d: _dispatched(s, d),
+        "profiler_paths": lambda s, d: TableProfiler(
+            s, [f"{d}/{t}.parquet" for t in ("customer", "orders")], {0: ["c_custkey"], 1: ["o_custkey"]}
+        ).joining_path_naive(),
         # outliers
         "outliers_given_centers": lambda s, d: outliers.outliers_given_centers(
             _read(s, d, "part"), ["p_size", "p_retailprice"], CENTERS, 30.0
         ),
+        "outliers_many_centers": lambda s, d: outliers.outliers_given_centers(
+            _read(s, d, "part"), ["p_size", "p_retailprice"], MANY_CENTERS, 2.0
+        ),
         "sum_distance": lambda s, d: _round(
             outliers.sum_distance(_read(s, d, "part"), ["p_size", "p_retailprice"], CENTERS),
             ["sum_distance", "sum_squared_distance"],
@@ -252,14 +305,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _read(s, d, "part"), ["p_size", "p_retailprice"], 4, 20.0, seed=SEED
         ),
     }
-    if _has("tablescout.llm"):
-        from tablescout.llm.queries import QUERIES
-
-        q.update(QUERIES)
-    if _has("tablescout.llm") and _has("corpus_pipeline"):
-        import corpus_pipeline
-
-        q["pipeline"] = corpus_pipeline.run
+    q.update(_LLM_QUERIES)
+    if _pipeline:
+        q["pipeline"] = _pipeline.run
     return q
 
 
@@ -463,6 +511,15 @@ def _value_count_long_sql(table: str, cols: list[tuple[str, str]]) -> str:
     )
 
 
+def _distinct_ctes(tables: list[int]) -> str:
+    """Distinct values with row counts, their number per column, and how many columns of different tables share."""
+    return f"""long AS ({_long_sql(tables)}),
+d AS MATERIALIZED (SELECT CAST(table_index AS INTEGER) AS table_index, col_name, value, count(*) AS cnt FROM long WHERE value IS NOT NULL GROUP BY ALL),
+sizes AS (SELECT table_index, col_name, count(*)::DOUBLE AS n FROM d GROUP BY ALL),
+shared AS (SELECT a.table_index AS at_ind, a.col_name AS ac_name, b.table_index AS bt_ind, b.col_name AS bc_name, count(*) AS shared
+  FROM d a JOIN d b ON a.value = b.value AND a.table_index <> b.table_index GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     all_idx = list(range(len(TABLE_SET)))
     tpch = list(range(TPCH))
@@ -472,14 +529,14 @@ def oracle_sql() -> dict[str, str]:
         "csv_roundtrip": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
         "txt_roundtrip": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
         "json_roundtrip": """SELECT p_brand, p_name, p_partkey, p_retailprice, CAST(p_size AS BIGINT) AS p_size, p_type FROM part""",
-        "minhash_signature": f"WITH {_sig_ctes(_long_sql(tpch))}\nSELECT table_index, col_name, hash_index, hash_value, min_hash_count FROM sig",
+        "minhash_signature": f"WITH {_sig_ctes(_long_sql(all_idx))}\nSELECT table_index, col_name, hash_index, hash_value, min_hash_count FROM sig",
         "joining_path_hash": _paths_sql(all_idx),
         "joining_path_hash_tpch": _paths_sql(tpch, threshold=0.05),
         "joining_path_hash_containing": _paths_sql(all_idx, containing=True),
         "joining_path_hash_specific": _paths_sql(specific=(5, "o_custkey")),
         "joining_path_hash_specific_containing": _paths_sql(specific=(6, "l_suppkey"), containing=True),
         "multi_set_resemble": _paths_sql(all_idx, with_size=True),
-        "multi_set_resemble_containing": _paths_sql(tpch, threshold=0.5, containing=True, with_size=True),
+        "multi_set_resemble_containing": _paths_sql(all_idx, threshold=0.5, containing=True, with_size=True),
         "multi_set_resemble_specific": _paths_sql(specific=(6, "l_orderkey"), with_size=True),
         "jaccard_minhash": f"""WITH {_sig_ctes(
             "SELECT 0 AS table_index, 'a' AS col_name, text AS value FROM documents UNION ALL "
@@ -541,6 +598,49 @@ SELECT round(m3 / power(m2, 1.5), 6) AS "skewness(o_totalprice)" FROM c""",
 SELECT round(m4 / (m2 * m2) - 3.0, 6) AS "kurtosis(o_totalprice)" FROM c""",
         "agg_integral_bits": 'SELECT bit_xor(l_orderkey) AS "bit_xor(l_orderkey)", bit_xor(l_linenumber) AS "bit_xor(l_linenumber)" FROM lineitem',
         "agg_boolean": 'SELECT bool_and(l_quantity > 49) AS "bool_and(big)", bool_and(l_discount >= 0) AS "bool_and(nonneg)" FROM lineitem',
+        "quantiles_exact": "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS "column", {p} AS prob, round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM lineitem"""
+            for c in ["l_extendedprice", "l_quantity", "l_orderkey"] for p in ["0.0::DOUBLE", "0.1::DOUBLE", "0.5::DOUBLE", "0.99::DOUBLE", "1.0::DOUBLE"]
+        ),
+        "quantiles_fine": "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS "column", {p}::DOUBLE AS prob, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value FROM lineitem"""
+            for c in ["l_extendedprice", "l_quantity"] for p in [0.1, 0.25, 0.5, 0.9]
+        ),
+        "quantile_rank_check": "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS "column", {p}::DOUBLE AS prob, TRUE AS within"""
+            for c in ["l_extendedprice", "l_quantity"] for p in [0.1, 0.5, 0.9]
+        ),
+        "agg_median": """SELECT median(o_totalprice) AS "median(o_totalprice)", CAST(median(o_orderkey) AS DOUBLE) AS "median(o_orderkey)" FROM orders""",
+        "freq_items": "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM orders WHERE {c} IS NOT NULL
+GROUP BY {c} HAVING count(*) > 0.003 * (SELECT count(*) FROM orders)""" for c in ["o_orderpriority", "o_orderstatus", "o_custkey"]
+        ),
+        "containment_paths": f"""WITH {_distinct_ctes(all_idx)}
+SELECT at_ind, ac_name, bt_ind, bc_name, shared / n AS containment FROM shared JOIN sizes ON at_ind = table_index AND ac_name = col_name
+WHERE shared / n >= 0.5""",
+        "containment_error_check": f"""WITH {_distinct_ctes(all_idx)}
+SELECT at_ind, ac_name, bt_ind, bc_name, shared / n AS exact, TRUE AS within FROM shared JOIN sizes ON at_ind = table_index AND ac_name = col_name""",
+        "join_size_error_check": f"""WITH {_distinct_ctes(all_idx)}
+SELECT a.table_index AS at_ind, a.col_name AS ac_name, b.table_index AS bt_ind, b.col_name AS bc_name, CAST(sum(a.cnt * b.cnt) AS BIGINT) AS exact, TRUE AS within
+FROM d a JOIN d b ON a.value = b.value AND a.table_index < b.table_index GROUP BY ALL""",
+        "load_table_set": """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        "single_column_dispatch": """SELECT (SELECT count(DISTINCT c_nationkey) FROM customer) AS c_nationkey, (SELECT count(DISTINCT s_nationkey) FROM supplier) AS s_nationkey""",
+        "profiler_paths": f"""WITH d AS (
+  SELECT DISTINCT 0::INTEGER AS t, c, v FROM (SELECT 'c_custkey' AS c, CAST(c_custkey AS VARCHAR) AS v FROM customer
+    UNION ALL SELECT 'c_name', c_name FROM customer UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM customer)
+  UNION SELECT DISTINCT 1::INTEGER, c, v FROM (SELECT 'o_custkey' AS c, CAST(o_custkey AS VARCHAR) AS v FROM orders
+    UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders)),
+n AS (SELECT t, c, count(*) AS n FROM d GROUP BY ALL),
+s AS (SELECT a.c AS ac, b.c AS bc, count(*) AS common FROM d a JOIN d b ON a.t = 0 AND b.t = 1 AND a.v = b.v GROUP BY ALL)
+SELECT 0::INTEGER AS at_ind, ac AS ac_name, 1::INTEGER AS bt_ind, bc AS bc_name, common / (x.n + y.n - common) AS similarity
+FROM s JOIN n x ON x.t = 0 AND x.c = ac JOIN n y ON y.t = 1 AND y.c = bc""",
+        "histogram_bigint": """WITH e AS (SELECT * FROM (VALUES (0, 0, 1), (1, 1, 2), (2, 2, 1001), (3, 1001, 1152921504606846976 - 9007199254740992)) t(i, lo, hi))
+SELECT CAST(9007199254740992 + lo AS DOUBLE) AS bin_start_value, CAST(9007199254740992 + hi AS DOUBLE) AS bin_end_value,
+       (SELECT count(*) FROM orders WHERE o_orderkey >= lo AND (o_orderkey < hi OR (i = 3 AND o_orderkey = hi))) AS count FROM e""",
+        "histogram_many_edges": _hist_edges_sql("orders", "o_totalprice", UNEVEN),
+        "outliers_many_centers": f"""SELECT p.* FROM part p JOIN (
+  SELECT p_partkey, min(power(p_size - x, 2) + power(p_retailprice - y, 2)) AS d2
+  FROM part, (VALUES {", ".join(f"({x}, {y})" for x, y in MANY_CENTERS)}) c(x, y) GROUP BY p_partkey) USING (p_partkey) WHERE sqrt(d2) > 2.0""",
         "agg_mode": """WITH p AS (SELECT o_orderpriority AS v, count(*) AS n FROM orders GROUP BY 1),
 s AS (SELECT o_orderstatus AS v, count(*) AS n FROM orders GROUP BY 1),
 c AS (SELECT o_custkey AS v, count(*) AS n FROM orders GROUP BY 1)
@@ -561,13 +661,7 @@ UNION ALL SELECT p_partkey, 'p_retailprice' AS variable, p_retailprice AS value
         "sum_distance": f"""SELECT round(sum(d), 6) AS sum_distance, round(sum(d * d), 6) AS sum_squared_distance
 FROM (SELECT {_dist_sql(['p_size', 'p_retailprice'])} AS d FROM part) t WHERE d IS NOT NULL AND NOT isnan(d)""",
     }
-    if _has("tablescout.llm"):
-        from tablescout.llm.queries import ORACLE_SQL
-
-        sql.update(ORACLE_SQL)
-    if _has("tablescout.llm") and _has("corpus_pipeline"):
-        import corpus_pipeline
-
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    sql.update(_LLM_SQL)
+    if _pipeline and _pipeline.ORACLE_SQL:
+        sql["pipeline"] = _pipeline.ORACLE_SQL
     return sql

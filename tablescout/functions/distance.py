@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tablescout.functions.schema import col
 
-# Beyond this many centre-coordinates the unrolled ``least`` expression
-# grows too large for codegen; switch to an array expression.
-_UNROLL_LIMIT = 512
-
 
 def nearest_center_distance(features: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
     """``sqrt(min_k sum_j (x_j - c_kj)^2)``; NULL if any feature is NULL, NaN if any is NaN."""
@@ -23,19 +19,9 @@ def nearest_center_distance(features: Sequence[str], centers: Sequence[Sequence[
         if len(c) != dims:
             raise ValueError(f"centre {list(c)} has {len(c)} coordinates, expected {dims}")
     xs = [col(f).cast("double") for f in features]
-    if len(centers) * dims <= _UNROLL_LIMIT:
-        sq = [
-            sum(((x - F.lit(float(cj))) * (x - F.lit(float(cj))) for x, cj in zip(xs, c)), F.lit(0.0))
-            for c in centers
-        ]
-        # A NULL feature makes every per-centre sum NULL, so least() is NULL too.
-        return F.sqrt(sq[0] if len(sq) == 1 else F.least(*sq))
-    point = F.array(*xs)
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
-    per_center = F.transform(
-        table,
-        lambda c: F.aggregate(
-            F.zip_with(point, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v
-        ),
-    )
+    table = F.expr("array(" + ", ".join("array(" + ", ".join(f"CAST('{float(v)!r}' AS DOUBLE)" for v in c) + ")" for c in centers) + ")")
+    # One short sum per centre, whatever their number. A NULL coordinate makes
+    # every sum NULL, and with it the least.
+    square = lambda x, c: (x - c) * (x - c)
+    per_center = F.transform(table, lambda c: sum((square(x, F.get(c, F.lit(j))) for j, x in enumerate(xs)), F.lit(0.0)))
     return F.sqrt(F.array_min(per_center))

@@ -5,10 +5,10 @@ are checked before Spark sees them, so a bad pairing fails with the
 column named instead of an analysis error deep in a plan.
 
 Left out on purpose: aggregates whose buffer holds every value of the
-column (``collect_list``, ``collect_set``, ``array_agg``, ``listagg``,
-exact ``median``/``percentile``), since a global aggregate would gather
-the whole column into one task. ``mode`` is computed as a distributed
-value count followed by a max, not with Spark's per-group value map.
+column (``collect_list``, ``collect_set``, ``array_agg``, ``listagg``),
+since a global aggregate would gather the whole column into one task.
+``median`` is found by distributed rank selection, and ``mode`` by a
+distributed value count followed by a max, not with Spark's per-group maps.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablescout.functions.schema import INTEGRAL_TYPES, col, field_type, is_numeric
+from tablescout.functions.longform import one_row, present, typed_long_form
+from tablescout.functions.schema import INTEGRAL_TYPES, field_type, is_numeric
+from tablescout.operators import ranks
 
 ANY_TYPE = {
     "count", "min", "max", "first", "last", "first_value", "last_value", "any_value",
@@ -32,7 +34,7 @@ NUMERIC = {
 }
 INTEGRAL = {"bit_and", "bit_or", "bit_xor"}
 BOOLEAN = {"count_if", "bool_and", "every", "bool_or", "some", "any"}
-AGGREGATES = ANY_TYPE | NUMERIC | INTEGRAL | BOOLEAN | {"mode"}
+AGGREGATES = ANY_TYPE | NUMERIC | INTEGRAL | BOOLEAN | {"mode", "median"}
 
 
 def _check(table: DataFrame, func: str, name: str) -> None:
@@ -54,6 +56,8 @@ def aggregate(table: DataFrame, func: str, col_names: Sequence[str] | str | None
         _check(table, func, n)
     if func == "mode":
         return mode(table, names)
+    if func == "median":
+        return ranks.median(table, names)
     # Quoted keys resolve names with dots; Spark still names the output ``func(name)``.
     return table.agg({"`" + n.replace("`", "``") + "`": func for n in names})
 
@@ -61,33 +65,19 @@ def aggregate(table: DataFrame, func: str, col_names: Sequence[str] | str | None
 def mode(table: DataFrame, col_names: Sequence[str]) -> DataFrame:
     """One row, column ``mode(col)``: most frequent non-NULL value, ties to the lowest.
 
-    All columns share one plan: a typed long form (row i carries column i
-    in field ``v{i}``), one map-side-combined value count, the top count per
-    column, and the lowest value among the tied rows. No task holds a whole column.
+    All columns share one plan: a long form with one field per data type, one
+    map-side-combined value count, the top count per column, and the lowest
+    value among the tied rows. No task holds a whole column, and a row costs
+    as much per column for 300 columns as for three.
     """
     names = list(col_names)
     if not names:
         raise ValueError("mode needs at least one column")
-    types = [field_type(table, n) for n in names]
-    items = [
-        F.struct(
-            F.lit(i).alias("k"),
-            *[(col(n) if j == i else F.lit(None).cast(types[j])).alias(f"v{j}") for j, n in enumerate(names)],
-        )
-        for i in range(len(names))
-    ]
-    present = F.lit(False)
-    for j in range(len(names)):
-        present = present | F.col(f"v{j}").isNotNull()
-    counts = (
-        table.select(F.inline(F.array(*items)))
-        .where(present)
-        .groupBy("k", *[f"v{j}" for j in range(len(names))])
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    long, fields, lane_of = typed_long_form(table, names)
+    counts = long.where(present(fields)).groupBy("k", *fields).agg(F.count(F.lit(1)).alias("n"))
     # Highest count per column (fixed-width HashAggregate), then only the tied rows
     # (a broadcast of one row per column) feed the lowest-value pick.
     top = counts.groupBy("k").agg(F.max("n").alias("n"))
     ties = counts.join(F.broadcast(top), ["k", "n"])
-    best = ties.agg(*[F.min(F.when(F.col("k") == i, F.col(f"v{i}"))).alias(f"mode({n})") for i, n in enumerate(names)])
-    return best
+    least = ties.groupBy("k").agg(*[F.min(f).alias(f) for f in fields])  # one row per column
+    return one_row(least, [f"mode({n})" for n in names], lambda k: F.first(F.when(F.col("k") == k, F.col(fields[lane_of[k]])), ignorenulls=True))

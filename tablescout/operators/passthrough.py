@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.functions.schema import col
+from tablescout.operators import ranks
 
 
 def _names(table: DataFrame, col_names) -> list[str]:
@@ -28,28 +29,37 @@ def _cols(table: DataFrame, col_names):
 def quantiles(
     table: DataFrame, col_names, probabilities: Sequence[float] = (0.25, 0.5, 0.75), relative_error: float = 0.01
 ) -> DataFrame:
-    """``(column, prob, value)`` from the Greenwald-Khanna sketch of ``percentile_approx``.
+    """``(column, prob, value)``, off by ``relative_error`` of the rows in rank at most; 0 is exact at any size."""
+    return ranks.approximate_quantiles(table, _names(table, col_names), probabilities, relative_error)
 
-    Accuracy is ``1 / relative_error`` (0 means the sketch's finest setting);
-    one aggregation pass with bounded per-task memory.
+
+def frequent_items(table: DataFrame, col_names, support: float = 0.01) -> DataFrame:
+    """``(column, value, count)``: exactly the values of more than ``support`` of a column's rows, as text.
+
+    A bounded set of counters per task names the candidates and misses none;
+    the candidates alone are then counted, so no other value is shuffled.
+    NULL counts as a row but not as a value.
     """
     names = _names(table, col_names)
-    probs = [float(p) for p in probabilities]
-    for p in probs:
-        if not 0.0 <= p <= 1.0:
-            raise ValueError(f"probability {p} not in [0, 1]")
-    aggs = []
-    for i, n in enumerate(names):
-        x = col(n).cast("double")
-        accuracy = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
-        aggs.append(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), accuracy).alias(f"q{i}"))
-    wide = table.agg(*aggs)
-    rows = [
-        F.struct(F.lit(n).alias("column"), F.lit(p).alias("prob"), F.col(f"q{i}")[j].cast("double").alias("value"))
-        for i, n in enumerate(names)
-        for j, p in enumerate(probs)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    if not 0 < support <= 1:
+        raise ValueError(f"support {support} is not above 0 and at most 1")
+    plain = table.select(*[col(n).cast("string").alias(f"c{k}") for k, n in enumerate(names)])
+    found = plain.freqItems(plain.columns, support)
+    listed = found.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"c{k}_freqItems").alias("values")) for k in range(len(names))])).alias("x"))
+    candidates = F.broadcast(listed.select("x.k", F.explode("x.values").alias("value")).where("value IS NOT NULL"))  # 1 / support a column at most
+    pairs = [F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("value")) for k in range(len(names))]
+    counts = plain.select(F.inline(F.array(*pairs))).join(candidates, ["k", "value"]).groupBy("k", "value").agg(F.count(F.lit(1)).alias("count"))
+    rows = F.broadcast(plain.agg(F.count(F.lit(1)).alias("rows")))  # one row
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)
+    return counts.crossJoin(rows).where(F.col("count") > F.lit(support) * F.col("rows")).select(name.alias("column"), "value", "count")
+
+
+def _plain(table: DataFrame, col_names, method, suffix: str = "") -> DataFrame:
+    """A method that reads names as paths, called on plain aliases; its result has the exact names again."""
+    names = _names(table, col_names)
+    found = method(table.select(*[col(n).alias(f"_c{i}") for i, n in enumerate(names)]))
+    back = {f"_c{i}{suffix}": n + suffix for i, n in enumerate(names)}
+    return found.toDF(*[back.get(c, c) for c in found.columns])
 
 
 def _grouping_sets(table: DataFrame, sets, cols=None) -> DataFrame:
@@ -60,8 +70,8 @@ def _grouping_sets(table: DataFrame, sets, cols=None) -> DataFrame:
 PASS_THROUGH = {
     "select": lambda t, c: t.select(*_cols(t, c)),
     "selectExpr": lambda t, c: t.selectExpr(*_names(t, c)),
-    "describe": lambda t, c: t.describe(*_names(t, c)),
-    "summary": lambda t, c, *stats: t.select(*_names(t, c)).summary(*stats),
+    "describe": lambda t, c: _plain(t, c, lambda p: p.describe()),
+    "summary": lambda t, c, *stats: _plain(t, c, lambda p: p.summary(*stats)),
     "dropDuplicates": lambda t, c: t.dropDuplicates(_names(t, c)),
     "drop_duplicates": lambda t, c: t.dropDuplicates(_names(t, c)),
     "orderBy": lambda t, c, ascending=True: t.orderBy(*_cols(t, c), ascending=ascending),
@@ -72,7 +82,9 @@ PASS_THROUGH = {
     "cube": lambda t, c: t.cube(*_cols(t, c)).count(),
     "rollup": lambda t, c: t.rollup(*_cols(t, c)).count(),
     "groupingSets": _grouping_sets,
-    "freqItems": lambda t, c, support=None: t.freqItems(_names(t, c), support),
+    "freqItems": lambda t, c, support=None: _plain(t, c, lambda p: p.freqItems(p.columns, support), "_freqItems"),
+    "frequentItems": lambda t, c, support=0.01: frequent_items(t, c, support),
+    "percentile": lambda t, c, probabilities=(0.25, 0.5, 0.75): ranks.quantiles(t, _names(t, c), probabilities, interpolate=True),
     "approxQuantile": lambda t, c, probabilities=(0.25, 0.5, 0.75), relativeError=0.01: quantiles(
         t, c, probabilities, relativeError
     ),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablescout.functions.longform import one_row, present, typed_long_form
 from tablescout.functions.schema import (
     FLOATING_TYPES,
     categorical_columns,
@@ -182,7 +183,11 @@ def distinct_count(table: DataFrame, col_names: Sequence[str] | str | None, meth
     names = _columns(table, col_names)
     require_columns(table, names)
     if method in ("exact", None):
-        return table.agg(*[F.count_distinct(col(c)).alias(c) for c in names])
+        # One short row per column and distinct value; the counts then meet in one row.
+        long, fields, _ = typed_long_form(table, names)
+        values = long.where(present(fields)).groupBy("k", *fields).agg(F.lit(1).alias("one"))
+        per_column = values.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        return one_row(per_column, names, lambda k: F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).cast("bigint"))
     if method == "approx":
         return table.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in names])
     raise ValueError(f"Unknown method {method}, choose between ['exact', 'approx']")

@@ -186,3 +186,23 @@ def test_dotted_and_spaced_column_names(spark, tmp_path):
     assert joinpaths.multi_set_resemble([t, other], seed=1).count() == 1
     far = outliers.outliers_given_centers(t, ["amount.usd"], [[0.0]], 2.0).collect()
     assert len(far) == 1
+
+
+def test_histogram_of_whole_numbers_and_decimals_is_exact(spark):
+    from decimal import Decimal
+    from fractions import Fraction
+
+    big = 2**53
+    df = spark.createDataFrame([(big,), (big + 1,), (big + 1,), (big + 2,), (-big,), (None,)], "x bigint")
+    assert [n for _, _, n in hist(df, "x", [big, big + 1, big + 2, 2**60])] == [1, 2, 1]
+    near = df.where("x > 0")
+    assert [n for _, _, n in hist(near, "x", 2)] == [1, 3]
+    assert [n for _, _, n in hist(df, "x", [float("-inf"), 0, Fraction(2 * big + 1, 2), float("inf")])] == [1, 1, 3]
+    wide = spark.createDataFrame([(Decimal("0.1"),), (Decimal("0.3"),), (Decimal("99999999999999999999.9"),), (None,)], "x decimal(38,1)")
+    assert [n for _, _, n in hist(wide, "x", [Decimal("0.1"), Decimal("0.3"), Decimal("99999999999999999999.9")])] == [1, 2]
+    small = spark.createDataFrame([(Decimal(i) / 100,) for i in range(-50, 51)], "x decimal(9,2)")
+    assert [n for _, _, n in hist(small, "x", 10)] == [10] * 9 + [11]
+    assert [n for _, _, n in hist(small, "x", [-1, Decimal("-0.005"), Decimal("0.005"), 1])] == [50, 1, 50]
+    for edges in ([1], [1, 1], [1, float("nan")], [1, None], [1, "2"]):
+        with pytest.raises(ValueError):
+            hist(small, "x", edges)
