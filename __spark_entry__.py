@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.functions.hashing import PRIME, hash_coefficients
+from tablescout.functions.hashing import PRIME, WIDE_PRIME, hash_coefficients
 from tablescout.operators import aggregates, discovery, histogram, joinpaths, outliers, passthrough, profile, ranks
 from tablescout.operators import signature as sig_ops
 from tablescout.plans.tableset import TableProfiler
@@ -151,7 +151,8 @@ def _dispatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One function by name over two tables of a set, one column list each."""
     tables = TableProfiler(spark, [f"{sf_dir}/{t}.parquet" for t in ("customer", "supplier")])
     customer, supplier = tables.single_column_evaluation("distinct_count", [0, 1], [["c_nationkey"], ["s_nationkey"]])
-    return customer.crossJoin(supplier)  # one row each
+    value = lambda df: df.select(F.lit(df.columns[0]).alias("column"), F.col(df.columns[0]).alias("distinct"))
+    return value(customer).union(value(supplier))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -166,6 +167,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "minhash_signature": lambda s, d: sig_ops.multiple_table_signature(
             _tables(s, d), hash_coefficients(HASHNUM, SEED)
         ),
+        "minhash_signature_wide": lambda s, d: sig_ops.multiple_table_signature(
+            _tables(s, d), hash_coefficients(HASHNUM, SEED, wide=True)
+        ),
+        "multi_set_resemble_wide": lambda s, d: jp.multi_set_resemble(
+            _tables(s, d), threshold=0, coeffs=hash_coefficients(HASHNUM, SEED, wide=True)
+        ),
         "joining_path_hash": lambda s, d: jp.joining_path_hash(_tables(s, d), seed=SEED),
         "joining_path_hash_tpch": lambda s, d: jp.joining_path_hash(_tables(s, d, TPCH), threshold=0.05, seed=SEED),
         "joining_path_hash_containing": lambda s, d: jp.joining_path_hash(
@@ -342,27 +349,28 @@ def _long_sql(tables: list[int] | None = None, only: tuple[int, str] | None = No
     return "\n  UNION ALL ".join(parts)
 
 
-def _coef_sql(hashnum: int = HASHNUM, seed: int = SEED) -> str:
+def _coef_sql(hashnum: int = HASHNUM, seed: int = SEED, wide: bool = False) -> str:
     """The hash family as one list literal of (i, a, b) structs."""
-    co = hash_coefficients(hashnum, seed)
+    co = hash_coefficients(hashnum, seed, wide)
     return "[" + ", ".join(f"{{'i': {i}, 'a': {a}::HUGEINT, 'b': {b}::HUGEINT}}" for i, a, b in co.rows()) + "]"
 
 
-def _sig_ctes(long_sql: str) -> str:
+def _sig_ctes(long_sql: str, wide: bool = False) -> str:
+    key = "CAST('0x' || left(md5(value), 15) AS BIGINT)" if wide else _crc_sql("value")
     return f"""long AS (
   {long_sql}
 ),
 vals AS (SELECT table_index, col_name, value, count(*) AS cnt FROM long WHERE value IS NOT NULL GROUP BY table_index, col_name, value),
 crcs AS (
   SELECT table_index, col_name, crc, sum(cnt) AS cnt, count(*) AS n_values
-  FROM (SELECT table_index, col_name, {_crc_sql('value')} AS crc, cnt FROM vals) t
+  FROM (SELECT table_index, col_name, {key} AS crc, cnt FROM vals) t
   GROUP BY table_index, col_name, crc
 ),
 hashed AS (
   SELECT table_index, col_name, cnt, n_values, x.i AS hash_index, CAST(x.h AS BIGINT) AS h
   FROM (
     SELECT table_index, col_name, cnt, n_values,
-           unnest(list_transform({_coef_sql()}, lambda c: {{'i': c.i, 'h': (c.a * crc + c.b) % {PRIME}}})) AS x
+           unnest(list_transform({_coef_sql(wide=wide)}, lambda c: {{'i': c.i, 'h': (c.a * crc + c.b) % {WIDE_PRIME if wide else PRIME}}})) AS x
     FROM crcs
   ) t
 ),
@@ -396,10 +404,10 @@ def _contain_sql(a: str, b: str, cross: bool, op: str, name: str) -> str:
 
 
 def _paths_sql(
-    tables=None, threshold=0.0, containing=False, with_size=False, specific: tuple[int, str] | None = None
+    tables=None, threshold=0.0, containing=False, with_size=False, specific: tuple[int, str] | None = None, wide=False
 ) -> str:
     if specific is None:
-        ctes = _sig_ctes(_long_sql(tables))
+        ctes = _sig_ctes(_long_sql(tables), wide)
         a, b, cross = "sig", "sig", True
     else:
         t, c = specific
@@ -530,6 +538,8 @@ def oracle_sql() -> dict[str, str]:
         "txt_roundtrip": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
         "json_roundtrip": """SELECT p_brand, p_name, p_partkey, p_retailprice, CAST(p_size AS BIGINT) AS p_size, p_type FROM part""",
         "minhash_signature": f"WITH {_sig_ctes(_long_sql(all_idx))}\nSELECT table_index, col_name, hash_index, hash_value, min_hash_count FROM sig",
+        "minhash_signature_wide": f"WITH {_sig_ctes(_long_sql(all_idx), wide=True)}\nSELECT table_index, col_name, hash_index, hash_value, min_hash_count FROM sig",
+        "multi_set_resemble_wide": _paths_sql(all_idx, with_size=True, wide=True),
         "joining_path_hash": _paths_sql(all_idx),
         "joining_path_hash_tpch": _paths_sql(tpch, threshold=0.05),
         "joining_path_hash_containing": _paths_sql(all_idx, containing=True),
@@ -624,7 +634,8 @@ SELECT at_ind, ac_name, bt_ind, bc_name, shared / n AS exact, TRUE AS within FRO
 SELECT a.table_index AS at_ind, a.col_name AS ac_name, b.table_index AS bt_ind, b.col_name AS bc_name, CAST(sum(a.cnt * b.cnt) AS BIGINT) AS exact, TRUE AS within
 FROM d a JOIN d b ON a.value = b.value AND a.table_index < b.table_index GROUP BY ALL""",
         "load_table_set": """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""",
-        "single_column_dispatch": """SELECT (SELECT count(DISTINCT c_nationkey) FROM customer) AS c_nationkey, (SELECT count(DISTINCT s_nationkey) FROM supplier) AS s_nationkey""",
+        "single_column_dispatch": """SELECT 'c_nationkey' AS "column", count(DISTINCT c_nationkey) AS "distinct" FROM customer
+UNION ALL SELECT 's_nationkey', count(DISTINCT s_nationkey) FROM supplier""",
         "profiler_paths": f"""WITH d AS (
   SELECT DISTINCT 0::INTEGER AS t, c, v FROM (SELECT 'c_custkey' AS c, CAST(c_custkey AS VARCHAR) AS v FROM customer
     UNION ALL SELECT 'c_name', c_name FROM customer UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM customer)

@@ -40,7 +40,7 @@ def value_table(tables: Sequence[DataFrame], table_ind: Sequence[int] | None = N
     """``col_id, h, cnt``: the distinct values of all string columns and their row counts, materialised."""
     long = string_long_form(tables, table_ind)
     if long is None:
-        raise ValueError("no table has a string column")
+        raise ValueError("no table has a categorical column, that is one of strings")
     keyed = long.df.where(F.col("value").isNotNull()).select("col_id", F.xxhash64("value").alias("h"))
     return materialize(keyed.groupBy("col_id", "h").agg(F.count(F.lit(1)).alias("cnt"))), long
 

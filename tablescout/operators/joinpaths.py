@@ -26,7 +26,6 @@ from tablescout.functions.hashing import (
 from tablescout.functions.schema import col, field_type, string_columns
 from tablescout.operators.signature import (
     column_digest,
-    hashed_digest,
     LongForm,
     long_form,
     materialize,
@@ -167,6 +166,9 @@ def joining_path_hash(
 ) -> DataFrame:
     """All cross-table string-column pairs ranked by MinHash Jaccard similarity.
 
+    At threshold 0 that is every pair that shares a minimum: the result itself
+    can hold as many rows as there are pairs of columns.
+
     ``signature`` may be a precomputed ``table_set_signature`` of the same
     tables and hash family (with ``n_distinct`` when sizes are wanted).
     """
@@ -174,12 +176,12 @@ def joining_path_hash(
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
     chosen = [i for i in chosen if string_columns(tables[i])]
     if not chosen:
-        raise ValueError("None of the tables provided contains categorical (string) fields.")
+        raise ValueError("no table has a categorical column, that is one of strings")
     if signature is not None:
         sig = signature.where(F.col("table_index").isin(chosen)) if table_ind is not None else signature
     else:
         long = string_long_form(tables, chosen)
-        sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
+        sig = signature_from_digest(column_digest(long, with_values=with_size, wide=coeffs.wide), coeffs, long)
         if materialized:
             sig = materialize(sig)
     result = match_pairs(sig, sig, coeffs.hashnum, threshold, True, containing_check)
@@ -203,7 +205,7 @@ def joining_path_hash_specific(
 ) -> DataFrame:
     """Candidates in every other table for one string column ``tables[table_ind][col_name]``."""
     if not isinstance(field_type(tables[table_ind], col_name), T.StringType):
-        raise ValueError(f"please select a categorical (string) column to check its joining path: {col_name!r}")
+        raise ValueError(f"join paths start from a string column; {col_name!r} is none")
     coeffs = coeffs or hash_coefficients(hashnum, seed)
     others = [i for i in range(len(tables)) if i != table_ind and string_columns(tables[i])]
     spark = tables[table_ind].sparkSession
@@ -216,7 +218,7 @@ def joining_path_hash_specific(
             (i, tables[i], string_columns(tables[i])) for i in others
         ]
         long = long_form(spec)
-        sig = signature_from_digest(column_digest(long, with_values=with_size), coeffs, long)
+        sig = signature_from_digest(column_digest(long, with_values=with_size, wide=coeffs.wide), coeffs, long)
         if materialized:
             sig = materialize(sig)
     is_a = (F.col("table_index") == F.lit(table_ind)) & (F.col("col_name") == F.lit(col_name))
@@ -276,8 +278,8 @@ def table_set_signature(
     coeffs = coeffs or hash_coefficients(hashnum, seed)
     long = string_long_form(tables)
     if long is None:
-        raise ValueError("None of the tables provided contains categorical (string) fields.")
-    sig = signature_from_digest(column_digest(long, with_values=True), coeffs, long)
+        raise ValueError("no table has a categorical column, that is one of strings")
+    sig = signature_from_digest(column_digest(long, with_values=True, wide=coeffs.wide), coeffs, long)
     return materialize(sig) if materialized else sig
 
 
@@ -387,7 +389,7 @@ def joining_path_naive(
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
     chosen = [i for i in chosen if string_columns(tables[i])]
     if not chosen:
-        raise ValueError("None of the tables provided contains categorical (string) fields.")
+        raise ValueError("no table has a categorical column, that is one of strings")
     if pair_counts_of is not None:
         long, counts = pair_counts_of
         scored = exact_jaccard(long, null_as_value, counts=counts)
@@ -482,14 +484,13 @@ def hash_collision_check(
     chosen = list(range(len(tables)) if table_ind is None else table_ind)
     long = string_long_form(tables, [i for i in chosen if string_columns(tables[i])])
     if long is None:
-        raise ValueError("None of the tables provided contains categorical (string) fields.")
-    # One branch: each hashed row carries its crc's distinct-value count.
-    hashed = hashed_digest(column_digest(long, with_values=True), coeffs)
-    per_hash = hashed.groupBy("col_id", "hash_index", "h").agg(F.sum("n_values").alias("nv"))
-    counted = per_hash.groupBy("col_id", "hash_index").agg(
-        F.sum("nv").cast("bigint").alias("n_values"),
-        F.count(F.lit(1)).alias("n_hashes"),
+        raise ValueError("no table has a categorical column, that is one of strings")
+    # A hash function maps different crcs to different values, so each one has as many as there are crcs:
+    # they are counted once, and the hash index is attached to the one row per column.
+    per_column = column_digest(long, with_values=True).groupBy("col_id").agg(
+        F.sum("n_values").cast("bigint").alias("n_values"), F.count(F.lit(1)).alias("n_hashes")
     )
+    counted = per_column.select("*", F.explode(F.sequence(F.lit(0), F.lit(coeffs.hashnum - 1))).alias("hash_index"))
     return counted.select(
         *long.named(), "hash_index", "n_values", "n_hashes", (F.col("n_values") - F.col("n_hashes")).alias("collisions")
     )

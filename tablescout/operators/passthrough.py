@@ -49,9 +49,9 @@ def frequent_items(table: DataFrame, col_names, support: float = 0.01) -> DataFr
     candidates = F.broadcast(listed.select("x.k", F.explode("x.values").alias("value")).where("value IS NOT NULL"))  # 1 / support a column at most
     pairs = [F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("value")) for k in range(len(names))]
     counts = plain.select(F.inline(F.array(*pairs))).join(candidates, ["k", "value"]).groupBy("k", "value").agg(F.count(F.lit(1)).alias("count"))
-    rows = F.broadcast(plain.agg(F.count(F.lit(1)).alias("rows")))  # one row
+    rows = plain.agg(F.count(F.lit(1)).alias("rows")).select(F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("k"), "rows")
     name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)
-    return counts.crossJoin(rows).where(F.col("count") > F.lit(support) * F.col("rows")).select(name.alias("column"), "value", "count")
+    return counts.join(F.broadcast(rows), "k").where(F.col("count") > F.lit(support) * F.col("rows")).select(name.alias("column"), "value", "count")
 
 
 def _plain(table: DataFrame, col_names, method, suffix: str = "") -> DataFrame:

@@ -123,7 +123,7 @@ def value_count(table: DataFrame, col_names: Sequence[str] | str | None, arg_str
     out = []
     for c in _columns(table, col_names):
         if c not in table.columns:
-            warnings.warn(f"Cannot resolve column: {c}", stacklevel=2)
+            warnings.warn(f"the table has no column {c!r}; it is left out", stacklevel=2)
             continue
         out.append(table.groupBy(col(c)).count())
     return out
@@ -148,20 +148,28 @@ def cat_describe(table: DataFrame, col_names: Sequence[str] | str | None = None,
     names = categorical_columns(table, requested)
     if not names:
         warnings.warn(
-            "cannot perform categorical analysis on the tables and columns provided, "
-            "please check the column names and types.",
+            "none of the columns holds text, binary or boolean values, so there is nothing to describe",
             stacklevel=2,
         )
         return None
-    counts = _text_long_form(table, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    # Fixed-width HashAggregate over all distinct values; only the tied top rows go further.
+    # Values are counted by a 128-bit key and their first bytes as a number, never by their text.
+    value = F.col("value")
+    first = F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+    long = _text_long_form(table, names)
+    keyed = long.select("column", F.xxhash64(value).alias("h"), F.when(value.isNotNull(), F.xxhash64(value, F.lit(1))).alias("g"), first.alias("first"))
+    counts = keyed.groupBy("column", "h", "g", "first").agg(F.count(F.lit(1)).alias("n"))
+    # Count and first bytes in one number, so that one fixed-width aggregation finds the most frequent values
+    # and among them the greatest beginning. NULL has no first bytes, so it loses ties.
+    counts = counts.select("column", "h", "g", "n", (F.col("n").cast("decimal(19,0)") * F.lit(1 << 57) + F.coalesce(F.col("first") + 1, F.lit(0))).cast("decimal(38,0)").alias("place"))
     stats = counts.groupBy("column").agg(
-        F.sum("n").alias("count"), F.count(F.lit(1)).alias("uniques"), F.max("n").alias("mode_count")
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("uniques"), F.max("n").alias("mode_count"), F.max("place").alias("place")
     )
-    # One row per column: a schema-bounded broadcast. max() skips NULL, so NULL loses ties
-    # and is the mode only when it alone is most frequent; among values the largest wins.
-    ties = counts.join(F.broadcast(stats.select("column", F.col("mode_count").alias("n"))), ["column", "n"])
-    modes = ties.groupBy("column").agg(F.max("value").alias("mode"))
+    # One row per column: a schema-bounded broadcast.
+    ties = counts.join(F.broadcast(stats.select("column", "place")), ["column", "place"]).select("column", "h", "g")
+    stats = stats.drop("place")
+    # Their texts, taken from the rows and reduced to the largest before the shuffle.
+    texts = long.where(value.isNotNull()).select("column", F.xxhash64(value).alias("h"), F.xxhash64(value, F.lit(1)).alias("g"), "value")
+    modes = texts.join(ties, ["column", "h", "g"], "left_semi").groupBy("column").agg(F.max("value").alias("mode"))
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("column"))
     listed = table.sparkSession.createDataFrame([(n,) for n in names], "column string")
     return (
@@ -190,7 +198,7 @@ def distinct_count(table: DataFrame, col_names: Sequence[str] | str | None, meth
         return one_row(per_column, names, lambda k: F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).cast("bigint"))
     if method == "approx":
         return table.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in names])
-    raise ValueError(f"Unknown method {method}, choose between ['exact', 'approx']")
+    raise ValueError(f"method is 'exact' or 'approx', not {method!r}")
 
 
 def _is_floating(table: DataFrame, name: str) -> bool:

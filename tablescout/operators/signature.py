@@ -28,8 +28,9 @@ from tablescout.functions.hashing import (
     HashCoefficients,
     coefficient_array,
     crc32_of,
+    family_hash,
     fingerprint_of,
-    universal_hash,
+    wide_key,
 )
 from tablescout.functions.schema import col, string_columns
 from tablescout.session import checkpoint_dir
@@ -102,13 +103,20 @@ def string_long_form(
     return long_form(spec)
 
 
-def column_digest(long: LongForm, with_values: bool = False) -> DataFrame:
+def column_digest(long: LongForm, with_values: bool = False, wide: bool = False) -> DataFrame:
     """Per ``(col_id, crc)``: the row count ``cnt`` of non-NULL values.
 
+    With ``wide`` the column ``crc`` holds the 60-bit key; a key is then a
+    value, and ``n_values`` costs no second grouping.
+
     With ``with_values`` also ``n_values``, the number of distinct values
     sharing that crc (values are keyed by crc and a 64-bit xxhash, so
     distinct counts cost a 12-byte key per value, never the text).
     """
+    if wide:
+        keyed = long.df.where(F.col("value").isNotNull()).select("col_id", wide_key(F.col("value")).alias("crc"))
+        counts = keyed.groupBy("col_id", "crc").agg(F.count(F.lit(1)).alias("cnt"))
+        return counts.withColumn("n_values", F.lit(1)) if with_values else counts
     keyed = long.df.where(F.col("value").isNotNull()).select(
         "col_id", crc32_of(F.col("value")).alias("crc"),
         *([fingerprint_of(F.col("value")).alias("fp")] if with_values else []),
@@ -125,7 +133,7 @@ def hashed_digest(digest: DataFrame, coeffs: HashCoefficients) -> DataFrame:
     return digest.select("col_id", "cnt", "crc", *extra, F.inline(coefficient_array(coeffs))).select(
         "col_id",
         "hash_index",
-        universal_hash(F.col("crc"), F.col("a_hi"), F.col("a_lo"), F.col("b")).alias("h"),
+        family_hash(coeffs, F.col("crc"), F.col("a_hi"), F.col("a_lo"), F.col("b")).alias("h"),
         "cnt",
         *extra,
     )
@@ -159,7 +167,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def signature(long: LongForm, coeffs: HashCoefficients) -> DataFrame:
     """Signature of every column in a long form."""
-    return signature_from_digest(column_digest(long), coeffs, long)
+    return signature_from_digest(column_digest(long, wide=coeffs.wide), coeffs, long)
 
 
 def multiple_table_signature(
@@ -168,7 +176,7 @@ def multiple_table_signature(
     """Signatures of all string columns of the chosen tables (one union, one aggregation)."""
     long = string_long_form(tables, table_ind)
     if long is None:
-        raise ValueError("None of the tables provided contains categorical (string) fields.")
+        raise ValueError("no table has a categorical column, that is one of strings")
     return signature(long, coeffs)
 
 

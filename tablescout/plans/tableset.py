@@ -121,7 +121,7 @@ class TableSet:
 
             long = string_long_form(self.tables)
             if long is None:
-                raise ValueError("None of the tables provided contains categorical (string) fields.")
+                raise ValueError("no table has a categorical column, that is one of strings")
             self._pair_counts[null_as_value] = (long, joinpaths.exact_pair_counts(long, null_as_value))
         return self._pair_counts[null_as_value]
 
@@ -152,6 +152,3 @@ class TableProfiler(TableSet):
     def __init__(self, spark: SparkSession, input_path_list: Sequence[str], categorical_dictionary=None, **read_options):
         ts = TableSet.from_paths(spark, input_path_list, categorical_dictionary, **read_options)
         super().__init__(ts.tables, ts.names)
-        self.spark = spark
-        self.input_list = list(input_path_list)
-        self.num_of_table = len(self.input_list)

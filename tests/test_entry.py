@@ -15,6 +15,10 @@ ORACLE_SUBSET = [
     "cast_categorical",
     "minhash_signature",
     "joining_path_hash_tpch",
+    "minhash_signature_wide",
+    "multi_set_resemble_wide",
+    "hash_collision_check",
+    "cat_describe_text",
     "multi_set_resemble_containing",
     "joining_path_hash_specific_containing",
     "joining_path_naive",

@@ -111,3 +111,35 @@ def test_join_sizes_are_within_their_error(spark):
         assert abs(got[pair].size - size) <= got[pair].error, pair
     errors = discovery.join_size_errors([a, b]).collect()
     assert {(r.ac_name, r.bc_name): r.exact for r in errors} == {k: v for k, v in exact.items() if v} and all(r.within for r in errors)
+
+
+def test_wide_family_against_big_integers(spark):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from tablescout.functions import hashing
+
+    co = hashing.hash_coefficients(40, 5, wide=True)
+    words = ["", "a", "é", "x" * 1000] + [f"v{i}" for i in range(60)]
+    df = spark.createDataFrame([(w,) for w in words], "v string").select("v", hashing.wide_key(F.col("v")).alias("x"), F.inline(hashing.coefficient_array(co)))
+    extreme = spark.createDataFrame([(f"edge{x}", x) for x in (0, 1, 2**31 - 1, 2**31, 2**60 - 1)], "v string, x bigint").select("v", "x", F.inline(hashing.coefficient_array(co)))
+    got = df.union(extreme).select("v", "x", "hash_index", hashing.wide_hash(F.col("x"), F.col("a_hi"), F.col("a_lo"), F.col("b")).alias("h")).collect()
+    for r in got:
+        if not r.v.startswith("edge"):
+            assert r.x == int(hashlib.md5(r.v.encode()).hexdigest()[:15], 16)
+        assert r.h == (co.a[r.hash_index] * r.x + co.b[r.hash_index]) % (2**61 - 1)
+    top = hashing.HashCoefficients((2**61 - 2, 1), (2**61 - 2, 0), 0, True)
+    rows = spark.createDataFrame([(2**60 - 1,), (0,)], "x bigint").select("x", F.inline(hashing.coefficient_array(top)))
+    for r in rows.select("x", "hash_index", hashing.wide_hash(F.col("x"), F.col("a_hi"), F.col("a_lo"), F.col("b")).alias("h")).collect():
+        assert r.h == (top.a[r.hash_index] * r.x + top.b[r.hash_index]) % (2**61 - 1)
+
+
+def test_modes_of_long_texts_with_equal_beginnings(spark):
+    from tablescout.operators import profile
+
+    rows = [("same beginning " + c * 3, None if c == "b" else c) for c in "abcz"] + [("same beginning z", "zz"), ("", "zz"), (None, None)]
+    df = spark.createDataFrame(rows, "s string, t string").repartition(3)
+    got = {r.column: tuple(r)[1:] for r in profile.cat_describe(df).collect()}
+    assert got["s"] == (7, 7, "same beginning zzz", 1) and got["t"] == (7, 5, "zz", 2)
+    assert tuple(profile.cat_describe(df.where("t IS NULL"), ["t"]).first()) == ("t", 2, 1, None, 2)
