@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablescout.llm.common import stored
+from tablescout.llm.common import discard, stored
 
 MAX_ROUNDS = 60
 
@@ -75,7 +75,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = stored(pairs.mapInArrow(_local_forest, "a bigint, b bigint").where("a > b"))
     known = None
     for _ in range(MAX_ROUNDS):
-        edges = stored(_small_star(_large_star(edges)))
+        last, edges = edges, stored(_small_star(_large_star(edges)))
+        discard(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == known or not now[0]:
             return edges.toDF("node", "component")

@@ -8,8 +8,8 @@ pairs of Jaccard similarity ``threshold`` or more link, and a distributed
 union-find keeps the first line of each component in the order of document
 id, text hash and line number.
 
-With 10 bands of 4 rows a pair of similarity 0.8 meets with probability
-0.995. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
+With 7 bands of 4 rows a pair of similarity 0.8 meets with probability 0.975,
+one of 0.85 with 0.995. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
 larger one first compares each line with two leaders, its least and its
 greatest line, which joins a large group of near copies without its pairs.
 Where a bucket is still in several components after that, an exact search
@@ -24,19 +24,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablescout.llm.common import arrow_slices, field_type, stored
+from tablescout.llm.collocations import Bits, bit_table
+from tablescout.llm.common import arrow_slices, discard, field_type, stored
 from tablescout.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 7, 4
 SMALL_BUCKET = 64
 BINS = 128  # of a line's sketch
 _BLOCK = 1 << 16  # shingles hashed at a time
+_SLICE = 1 << 21  # bytes of text in which a line is signed once
 
 
 def normal(line: str) -> bytes:
@@ -98,56 +101,82 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def occurrences(rows: DataFrame) -> DataFrame:
-    """``doc_id, text_key, line_no, node`` of every line that is not blank."""
+def signed_lines(rows: DataFrame, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
+    """``doc_id, text_key, line_no, node, keys`` of every line that is not blank.
+
+    ``keys`` are the bucket keys where a line first occurs in a slice of the
+    table, and empty where it occurs again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_slices(batches):
-            of, number, nodes = [], [], []
+        for batch in arrow_slices(batches, limit=_SLICE):
+            of, number, nodes, new, found = [], [], [], [], {}
             for row, text in enumerate(batch.column("text").to_pylist()):
                 for n, line in enumerate(map(normal, _lines(text))):
                     if line:
-                        of.append(row), number.append(n), nodes.append(node(line))
+                        key = node(line)
+                        new.append(key not in found)
+                        found.setdefault(key, line)
+                        of.append(row), number.append(n), nodes.append(key)
+            if not of:
+                continue
+            keys = band_keys(list(found.values()), size, bands, band_rows)
+            ends = np.r_[0, np.cumsum(new)] * bands
             at = pa.array(of, pa.int64())
+            flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(number, pa.int32()), pa.array(nodes, pa.int64())],
-                ["doc_id", "text_key", "line_no", "node"],
+                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(number, pa.int32()), pa.array(nodes, pa.int64()), flat],
+                ["doc_id", "text_key", "line_no", "node", "keys"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {field_type(rows, 'doc_id')}, text_key bigint, line_no int, node bigint")
+    return rows.mapInArrow(run, f"doc_id {field_type(rows, 'doc_id')}, text_key bigint, line_no int, node bigint, keys array<bigint>")
 
 
-def _distinct_lines(batch: pa.RecordBatch) -> dict[int, bytes]:
-    found = {}
-    for text in batch.column("text").to_pylist():
-        for line in map(normal, _lines(text)):
-            if line:
-                found[node(line)] = line
-    return found
+def buckets(rows: DataFrame, signed: DataFrame) -> DataFrame:
+    """``node, keys``: the bucket keys of the lines of ``rows``, each at least once."""
+    return signed.where(F.size("keys") > 0).select("node", "keys")
 
 
-def buckets(rows: DataFrame, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
-    """``node, keys``: the bucket keys of the lines, each at least once."""
+def shared_buckets(signed: DataFrame) -> DataFrame:
+    """``key, node`` of the buckets that two different lines share (and few others), each pair once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_slices(batches):
-            found = _distinct_lines(batch)
-            if found:
-                keys = band_keys(list(found.values()), size, bands, band_rows)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), flat], ["node", "keys"])
+    Most buckets hold one line. Those that do not are found by the least and
+    greatest line of each; a bit table of their keys, of a fixed size whatever
+    the input, then lets the other lines' keys stay where they are.
+    """
+    rows = signed.select(F.explode("keys").alias("key"), "node")
+    both = stored(rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select(F.col("key").alias("mark")))
+    shared = signed.sparkSession.sparkContext.broadcast(bit_table(both))
 
-    return rows.mapInArrow(run, "node bigint, keys array<bigint>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("keys")
+            flat = keys.flatten()
+            keep = pa.array(shared.value.has(flat.to_numpy(zero_copy_only=False).view(np.uint64)))
+            nodes = batch.column("node").take(pc.list_parent_indices(keys))
+            yield pa.RecordBatch.from_arrays([flat.filter(keep), nodes.filter(keep)], ["key", "node"])
+
+    out = stored(signed.mapInArrow(run, "key bigint, node bigint").distinct())
+    shared.unpersist()
+    discard(both)
+    return out
 
 
-def _lines_of(rows: DataFrame) -> DataFrame:
-    """``node, line``: the normalised lines, each at least once."""
+def _lines_of(rows: DataFrame, wanted: Bits = Bits(None)) -> DataFrame:
+    """``node, line``: the normalised lines that pass the bit table, each at least once."""
+    shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches):
-            found = _distinct_lines(batch)
-            text = pa.array([x.decode("utf-8", "surrogatepass") for x in found.values()], pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), text], ["node", "line"])
+            found = {}
+            for text in batch.column("text").to_pylist():
+                for line in map(normal, _lines(text)):
+                    if line:
+                        found[node(line)] = line
+            nodes = np.fromiter(found, np.int64, len(found))
+            keep = shared.value.has(nodes.view(np.uint64))
+            text = pa.array([x.decode("utf-8", "surrogatepass") for x, k in zip(found.values(), keep.tolist(), strict=True) if k], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), text], ["node", "line"])
 
     return rows.mapInArrow(run, "node bigint, line string")
 
@@ -266,20 +295,23 @@ def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: i
 
 
 def line_components(
-    rows: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS, small: int = SMALL_BUCKET
+    rows: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, small: int = SMALL_BUCKET
 ) -> DataFrame:
-    """``node, component`` of every line linked to a different one."""
-    entries = stored(buckets(rows, size, bands, band_rows).select(F.explode("keys").alias("key"), "node").distinct())
+    """``node, component`` of every line linked to a different one; ``signed`` is what ``signed_lines`` says of ``rows``."""
+    entries = shared_buckets(buckets(rows, signed))
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("n > 1")
     members = stored(entries.join(shared, "key"))
+    discard(entries)
     few = members.where(F.col("n") <= small)
     pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
     many = members.where(F.col("n") > small)
     for end in ("low", "high"):
         pairs = pairs.union(many.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
     pairs = stored(pairs.distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    lines = stored(_sketched(_lines_of(rows).join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    found = _lines_of(rows, bit_table(wanted.select(F.col("node").alias("mark"))))
+    lines = stored(_sketched(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
+    discard(wanted)
     labels = connected_components(verified(pairs, lines, threshold, size))
 
     placed = many.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -291,7 +323,9 @@ def line_components(
     return connected_components(labels.union(verified(rest, lines, threshold, size)))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS, small: int = SMALL_BUCKET
+) -> DataFrame:
     """One row per distinct (id, text) of ``docs``: ``doc_id, text_key, n_lines, dropped``.
 
     ``n_lines`` counts the lines that are not blank, ``dropped`` lists the
@@ -299,8 +333,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Blank lines never go. Rows alike in id and text count as one document.
     """
     rows = _keyed(docs, id_col, text_col)
-    lines = stored(occurrences(rows).distinct())
-    labels = line_components(rows, **parameters)
+    signed = stored(signed_lines(rows, size, bands, band_rows))
+    labels = line_components(rows, signed, threshold, size, small)
+    lines = stored(signed.select("doc_id", "text_key", "line_no", "node").distinct())
+    discard(signed)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line_no")
     by_node = lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     by_node = by_node.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))

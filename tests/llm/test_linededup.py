@@ -125,3 +125,22 @@ def test_sketch_bounds_the_overlap():
     (n, a), (m, b) = linededup.sketch(x), linededup.sketch(x[5_000:])
     a, b = (np.frombuffer(v, np.uint8)[None] for v in (a, b))
     assert a.max() == 255 and linededup.most_shared(a, b, np.array([n]))[0] >= m
+
+
+def test_recall_against_all_pairs(spark):
+    """Lines of similarity just above the bound: the share of pairs whose lines end in one component."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    rows, pairs = [], []
+    while len(pairs) < 300:
+        base = " ".join(word() for _ in range(18))
+        at = rng.randrange(5, len(base) - 10)
+        other = base[:at] + "".join(rng.choice("0123456789") for _ in range(rng.choice([5, 7, 9]))) + base[at + 6 :]
+        x, y = linededup.shingles(base), linededup.shingles(other)
+        if 0.8 <= len(x & y) / len(x | y) < 0.86:
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows), base), (len(rows) + 1, other)]
+    df = spark.createDataFrame([(k, t, "x", 1, 0.5) for k, t in rows], SCHEMA).repartition(4)
+    gone = {r.doc_id for r in linededup.dropped_lines(df).collect() if r.dropped}
+    found = sum(b in gone for _, b in pairs)
+    assert gone <= {b for _, b in pairs} and found >= 0.95 * len(pairs), found
