@@ -8,8 +8,8 @@ pairs of Jaccard similarity ``threshold`` or more link, and a distributed
 union-find keeps the first line of each component in the order of document
 id, text hash and line number.
 
-With 7 bands of 4 rows a pair of similarity 0.8 meets with probability 0.975,
-one of 0.85 with 0.995. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
+With 9 bands of 5 rows a pair of similarity 0.8 meets with probability 0.972,
+one of 0.85 with 0.995; chance meetings of unlike lines stay rare. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
 larger one first compares each line with two leaders, its least and its
 greatest line, which joins a large group of near copies without its pairs.
 Where a bucket is still in several components after that, an exact search
@@ -35,7 +35,7 @@ from tablescout.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 7, 4
+BANDS, ROWS = 9, 5
 SMALL_BUCKET = 64
 BINS = 128  # of a line's sketch
 _BLOCK = 1 << 16  # shingles hashed at a time
