@@ -105,12 +105,12 @@ QUERIES = {
 
 def _topk_sql() -> str:
     return """WITH v AS (
-  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS cid,
-         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), p -> coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.rid <> c.rid)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id ASC NULLS LAST, cid) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
@@ -124,14 +124,14 @@ def _license_sql() -> str:
     cases = " ".join(f"WHEN regexp_matches(m, '{p}') THEN '{name}'" for name, p in licenses.rule_patterns())
     return f"""WITH known(sentence, identifier, code) AS (VALUES {values}),
 d AS (SELECT DISTINCT doc_id, text, string_split_regex(text, '{end}') AS parts FROM documents WHERE text IS NOT NULL),
-s AS (SELECT doc_id, text, unnest(list_transform(parts, (x, i) -> {{'raw': x, 'no': i - 1}})) AS p FROM d),
+s AS (SELECT doc_id, text, unnest(list_transform(parts, lambda x, i: {{'raw': x, 'no': i - 1}})) AS p FROM d),
 n AS (SELECT doc_id, text, p.no AS no, regexp_replace(regexp_replace(
         trim(regexp_replace(lower(p.raw), '{licenses.OTHER}', ' ', 'g'), ' '), '{licenses.LEAD_IN}', 'under '), '{licenses.LIST_MARK}', '') AS sentence FROM s),
 k AS (SELECT n.*, identifier, code, no - lag(no) OVER (PARTITION BY doc_id, text ORDER BY no) AS step FROM n JOIN known USING (sentence)),
 g AS (SELECT doc_id, string_agg(CASE WHEN step > {licenses.MAX_GAP + 1} THEN '|' ELSE '' END || code, '' ORDER BY no) AS codes,
         string_agg(identifier, ',' ORDER BY no) AS sentence_ids, string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS sentence_nos
       FROM k GROUP BY doc_id, text)
-SELECT doc_id, array_to_string(list_transform(regexp_extract_all(codes, '{licenses.rule_pattern()}'), m -> CASE {cases} END), ',') AS licenses,
+SELECT doc_id, array_to_string(list_transform(regexp_extract_all(codes, '{licenses.rule_pattern()}'), lambda m: CASE {cases} END), ',') AS licenses,
        sentence_ids, sentence_nos
 FROM g WHERE len(regexp_extract_all(codes, '{licenses.rule_pattern()}')) > 0"""
 
@@ -143,10 +143,10 @@ def _decontaminate_sql() -> str:
     )
     return f"""WITH b AS (SELECT item_id, {words} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n,
-         unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), i -> array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS win
+         unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS win
        FROM b WHERE len(w) > 0),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
-dw AS (SELECT rid, n, unnest(list_transform(range(1, len(w) - n + 2), i -> {{'i': i, 'win': array_to_string(w[i:i + n - 1], ' ')}})) AS x
+dw AS (SELECT rid, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: {{'i': i, 'win': array_to_string(w[i:i + n - 1], ' ')}})) AS x
        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
 h AS (SELECT rid, x.i AS i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND x.win = bw.win),
 p AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS q FROM h) GROUP BY rid),
