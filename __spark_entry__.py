@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablescout.functions.hashing import PRIME, WIDE_PRIME, hash_coefficients
-from tablescout.operators import aggregates, discovery, histogram, joinpaths, outliers, passthrough, profile, ranks
+from tablescout.operators import aggregates, discovery, histogram, joinpaths, outliers, passthrough, profile, ranks, sketches
 from tablescout.operators import signature as sig_ops
 from tablescout.plans.tableset import TableProfiler
 from tablescout.session import checkpoint_dir
@@ -141,6 +141,20 @@ def _rank_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.rank_errors(table, found, names).select("column", "prob", (F.col("error") <= 0.01).alias("within"))
 
 
+def _sketch_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` profiled in two parts, open ones and the rest; the merged estimates against exact counts."""
+    orders, store = _read(spark, sf_dir, "orders"), os.path.join(checkpoint_dir(spark), f"sketches-{uuid.uuid4().hex}")
+    is_open = F.col("o_orderstatus").eqNullSafe("O")
+    sketches.add_part(store, orders.where(is_open), "orders", "open")
+    sketches.add_part(store, orders.where(~is_open), "orders", "rest")
+    found = sketches.distinct_estimates(sketches.read_store(spark, store, ["orders"]))
+    names = sketches.sketched_columns(orders)
+    counted = profile.distinct_count(orders, names)
+    rows = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("exact")) for n in names])
+    both = found.join(counted.select(F.inline(rows)), "column")
+    return both.select("column", "n_rows", "n_nulls", "exact", (F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("error")).alias("within"))
+
+
 def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables read as a set, one column of the first cast to text."""
     nation, region = handle_input(spark, [f"{sf_dir}/nation.parquet", f"{sf_dir}/region.parquet"], {0: ["n_nationkey"]})
@@ -194,6 +208,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "jaccard_minhash": lambda s, d: jp.jaccard_minhash_frame(_tables(s, d), 8, 10, "text", "text", HASHNUM, SEED),
         "jaccard_exact": lambda s, d: jp.jaccard_exact_frame(_tables(s, d), 2, 5, "c_custkey", "o_custkey"),
         "joining_path_naive": lambda s, d: jp.joining_path_naive(_tables(s, d)),
+        "joining_path_hash_half": lambda s, d: jp.joining_path_hash(_tables(s, d), threshold=0.5, seed=SEED),
+        "joining_path_naive_half": lambda s, d: jp.joining_path_naive(_tables(s, d), threshold=0.5),
+        "joining_path_naive_some": lambda s, d: jp.joining_path_naive(_tables(s, d), threshold=0.01),
         "hash_collision_check": lambda s, d: jp.hash_collision_check(_tables(s, d), HASHNUM, seed=SEED),
         # profiling
         "describe_table": lambda s, d: profile.describe_table(_read(s, d, "orders")),
@@ -213,6 +230,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_count_approx": lambda s, d: profile.distinct_count(
             _read(s, d, "lineitem"), ["l_orderkey", "l_partkey"], "approx"
         ),
+        "sketch_store_check": _sketch_store,
         "nan_count": lambda s, d: profile.nan_count(_derived_missing(s, d), ["bal", "bal_nulls", "segment"]),
         "null_count": lambda s, d: profile.null_count(_derived_missing(s, d), ["bal", "bal_nulls", "segment"]),
         "missing_count": lambda s, d: profile.missing_count(_derived_missing(s, d), ["bal", "bal_nulls", "segment"]),
@@ -437,7 +455,7 @@ sigb AS (SELECT * FROM sig WHERE table_index <> {t})"""
     return f"WITH {ctes}\nSELECT {cols} FROM res{joins}"
 
 
-def _naive_sql() -> str:
+def _naive_sql(threshold: float = 0.0) -> str:
     return f"""WITH long AS (
   {_long_sql()}
 ),
@@ -451,7 +469,16 @@ inter AS (
 SELECT CAST(at_ind AS INTEGER) AS at_ind, ac_name, CAST(bt_ind AS INTEGER) AS bt_ind, bc_name,
        n_inter / CAST(na.n + nb.n - n_inter AS DOUBLE) AS similarity
 FROM inter JOIN nd na ON na.table_index = at_ind AND na.col_name = ac_name
-           JOIN nd nb ON nb.table_index = bt_ind AND nb.col_name = bc_name"""
+           JOIN nd nb ON nb.table_index = bt_ind AND nb.col_name = bc_name
+WHERE n_inter / CAST(na.n + nb.n - n_inter AS DOUBLE) > {threshold}"""
+
+
+def _sketch_store_sql() -> str:
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS column, count(*) AS n_rows, count(*) - count({n}) AS n_nulls, count(DISTINCT {n}) AS exact, true AS within FROM orders"
+        for n in names
+    )
 
 
 def _hist_even_sql(table: str, col: str, bins: int) -> str:
@@ -557,6 +584,10 @@ SELECT CAST(count(*) FILTER (WHERE ok) AS DOUBLE) / {float(HASHNUM)} AS similari
 b AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS v FROM orders)
 SELECT (SELECT count(*) FROM a JOIN b USING (v)) / CAST((SELECT count(*) FROM (SELECT v FROM a UNION SELECT v FROM b)) AS DOUBLE) AS similarity""",
         "joining_path_naive": _naive_sql(),
+        "joining_path_hash_half": _paths_sql(all_idx, threshold=0.5),
+        "joining_path_naive_half": _naive_sql(0.5),
+        "joining_path_naive_some": _naive_sql(0.01),
+        "sketch_store_check": _sketch_store_sql(),
         "hash_collision_check": f"""WITH {_sig_ctes(_long_sql(all_idx))}
 SELECT CAST(table_index AS INTEGER) AS table_index, col_name, CAST(hash_index AS INTEGER) AS hash_index,
        CAST(sum(n_values) AS BIGINT) AS n_values, count(DISTINCT h) AS n_hashes,

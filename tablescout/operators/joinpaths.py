@@ -24,6 +24,7 @@ from tablescout.functions.hashing import (
     hash_coefficients,
 )
 from tablescout.functions.schema import col, field_type, string_columns
+from tablescout.operators import similarity as similar
 from tablescout.operators.signature import (
     column_digest,
     LongForm,
@@ -167,7 +168,8 @@ def joining_path_hash(
     """All cross-table string-column pairs ranked by MinHash Jaccard similarity.
 
     At threshold 0 that is every pair that shares a minimum: the result itself
-    can hold as many rows as there are pairs of columns.
+    can hold as many rows as there are pairs of columns. Above 0 the pairs
+    below the threshold are not formed (``similarity.pairs_above``).
 
     ``signature`` may be a precomputed ``table_set_signature`` of the same
     tables and hash family (with ``n_distinct`` when sizes are wanted).
@@ -184,7 +186,10 @@ def joining_path_hash(
         sig = signature_from_digest(column_digest(long, with_values=with_size, wide=coeffs.wide), coeffs, long)
         if materialized:
             sig = materialize(sig)
-    result = match_pairs(sig, sig, coeffs.hashnum, threshold, True, containing_check)
+    if threshold > 0:
+        result = similar.pairs_above(sig, coeffs.hashnum, threshold, containing_check)
+    else:
+        result = match_pairs(sig, sig, coeffs.hashnum, threshold, True, containing_check)
     if with_size:
         result = _with_size(result, sig)
     return _finish(result, containing_check, with_size)
@@ -327,25 +332,15 @@ def column_sets(keys: DataFrame, n_columns: int) -> DataFrame:
     return per_set.select((F.concat(*ids) if len(ids) > 1 else ids[0]).alias("cols"), "n_values")
 
 
-def _pairs_of(cols):
-    """All (x, y) with x at or before y in a sorted array of column ids (the diagonal included)."""
-    return F.flatten(
-        F.transform(
-            cols,
-            lambda x, i: F.transform(
-                F.slice(cols, i + 1, F.size(cols) - i),
-                lambda y: F.struct(x.alias("a_id"), y.alias("b_id")),
-            ),
-        )
-    )
-
-
 def pair_counts(sets: DataFrame) -> DataFrame:
     """``(a_id, b_id, n)`` for a_id <= b_id: shared distinct values; the diagonal is each column's count.
 
-    Pairs are emitted once per distinct column set, never once per value.
+    Pairs are emitted once per distinct column set, never once per value, and
+    row by row: no row holds all pairs of a set.
     """
-    pairs = sets.select("n_values", F.inline(_pairs_of(F.col("cols"))))
+    firsts = sets.select("n_values", "cols", F.posexplode("cols").alias("at", "a_id"))
+    later = F.slice("cols", F.col("at") + 1, F.size("cols"))  # a_id itself included
+    pairs = firsts.select("n_values", "a_id", F.explode(later).alias("b_id"))
     return pairs.groupBy("a_id", "b_id").agg(F.sum("n_values").cast("bigint").alias("n"))
 
 
@@ -383,6 +378,7 @@ def joining_path_naive(
 ) -> DataFrame:
     """Exact Jaccard |A∩B|/|A∪B| of every cross-table string-column pair that shares a value.
 
+    Above threshold 0 the pairs below it are not formed (``similarity.exact_pairs_above``).
     ``pair_counts_of`` may hold a precomputed ``(long form, exact_pair_counts)``
     of all string columns of ``tables`` with the same ``null_as_value``.
     """
@@ -400,7 +396,13 @@ def joining_path_naive(
             scored = scored.where(F.array_contains(keep, a_t) & F.array_contains(keep, b_t))
     else:
         long = string_long_form(tables, chosen)
-        scored = exact_jaccard(long, null_as_value, materialized)
+        least = similar.smallest_kept(threshold, round_digits)
+        if least > 0:
+            counted = similar.counted_sets(similar.column_postings(_value_keys(long, null_as_value)))
+            counted = materialize(counted) if materialized else counted
+            scored = similar.exact_pairs_above(counted, least, lambda c: long.named(c)[0])
+        else:
+            scored = exact_jaccard(long, null_as_value, materialized)
     a_t, a_c = long.named(F.col("a_id"))
     b_t, b_c = long.named(F.col("b_id"))
     sim = F.col("n_inter") / (F.col("_na") + F.col("_nb") - F.col("n_inter")).cast("double")
