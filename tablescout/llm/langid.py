@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablescout.llm.common import arrow_slices, field_type
+from tablescout.llm.common import arrow_slices, field_type, give_back
 
 ORDER = 5
 SAMPLE_DOCS = 600  # labelled rows per language that the models learn from, a hash of the text decides which
@@ -269,6 +269,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER, mar
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(lengths, pa.int64()), pa.array(entropies.tolist(), pa.list_(pa.float64()))], ["lang", "n", "bits"])
 
     aside = sample.where("aside").mapInArrow(measure, "lang string, n bigint, bits array<double>").toPandas()
+    shared.unpersist()
     aside = aside[aside["lang"].isin(model.languages)]
     if aside.empty:
         return model
@@ -299,6 +300,7 @@ def _predicted(rows: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64()), pa.array(accepted, pa.bool_())],
                 [*batch.schema.names, "lang_pred", "score", "bits_per_char", "accepted"],
             )
+        give_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, f"{fields}, lang_pred string, score double, bits_per_char double, accepted boolean")
