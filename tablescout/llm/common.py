@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import uuid
 from collections.abc import Iterator
 
@@ -74,15 +72,6 @@ def arrow_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             lo = hi
 
 
-def give_back() -> None:
-    """Return memory that a task has freed to the system, as workers are kept for later tasks and stages."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
-    if trim:
-        trim(0)
-
-
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column, empty for null."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
