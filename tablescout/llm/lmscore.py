@@ -35,17 +35,19 @@ from tablescout.llm.common import arrow_slices, stored
 END = ""  # no word is empty
 SMOOTH = 0.1
 HEAD = 100_000  # words whose counts are sent to every task
-WORDS = 512  # words that the network tells apart, at least; more as the cube root of the distinct words
-PER_ROOT = 4  # so many times that root: 4000 for 10^9 distinct words, and never more than HEAD
+WORDS = 1 << 14  # words that the network tells apart, at least; more as the cube root of the distinct words
+PER_ROOT = 64  # so many times that root: 64,000 for 10^9 distinct words, and never more than HEAD
 CLASSES = 12
-HIDDEN = 12
+HIDDEN = 16
 WINDOW = 16  # tokens between truncations
 STREAMS = 32  # documents trained on side by side, at least
 MAX_STREAMS = 512
-ROUNDS = 2  # each over its own share of the training documents
+ROUNDS = 3  # each over its own share of the training documents
 TASK_TOKENS = 200_000  # a task trains on so many, at least about
-FAN = 16  # copies that one task merges
+FAN = 4  # copies that one task merges
 _SLICE = 1 << 23
+_BLOCK = 1 << 10  # rows of a softmax at a time
+_STEP = 1 << 14  # numbers updated at a time
 _LOG10 = math.log10(math.e)
 
 
@@ -106,40 +108,55 @@ def _step(net: Network, x: np.ndarray, h: np.ndarray):
     return n + z * (h - n), (z, r, a, n)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, at: np.ndarray, backward: bool) -> np.ndarray:
+    """Natural log probability of column ``at`` of each row, in place; ``backward`` leaves the gradient of the loss in ``x``."""
+    rows = np.arange(len(at))
+    x -= x.max(axis=1, keepdims=True)
+    out = x[rows, at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    out -= np.log(total)
+    if backward:
+        x *= (1 / total)[:, None]
+        x[rows, at] -= 1
+    return out
 
 
 def _output(net: Network, vocab: Vocabulary, states: np.ndarray, targets: np.ndarray, gradients: list | None = None):
     """Natural log probability of each target after its state; with ``gradients``, also the states' gradient."""
-    klass = vocab.klass[targets]
-    log_c = _log_softmax(states @ net.class_w + net.class_b)
-    rows = np.arange(len(targets))
-    out = log_c[rows, klass]
-    d_states = None
-    if gradients is not None:
-        d = np.exp(log_c)
-        d[rows, klass] -= 1
-        gradients[2] += states.T @ d
-        gradients[3] += d.sum(0)
-        d_states = d @ net.class_w.T
-    order = np.argsort(klass, kind="stable")
-    bounds = np.searchsorted(klass[order], np.arange(len(vocab.edges)))
-    for c in range(len(vocab.edges) - 1):
-        at = order[bounds[c] : bounds[c + 1]]
+    backward, klass = gradients is not None, vocab.klass[targets]
+    order = np.argsort(klass.astype(np.int16), kind="stable")  # short ones are sorted by radix
+    klass, targets, h = klass[order], targets[order], states[order]
+    logs, d_h = np.empty(len(order), states.dtype), np.empty_like(h) if backward else None
+    for lo in range(0, len(order), _BLOCK):
+        at = slice(lo, lo + _BLOCK)
+        x = h[at] @ net.class_w
+        x += net.class_b
+        logs[at] = _softmax(x, klass[at], backward)
+        if backward:
+            gradients[2] += h[at].T @ x
+            gradients[3] += x.sum(0)
+            d_h[at] = x @ net.class_w.T
+    bounds = np.searchsorted(klass, np.arange(len(vocab.edges)))
+    for c in np.flatnonzero(np.diff(bounds)):
         lo, hi = vocab.edges[c], vocab.edges[c + 1]
-        if not len(at) or hi - lo == 1:
+        if hi - lo == 1:
             continue
-        log_w = _log_softmax(states[at] @ net.word_w[lo:hi].T + net.word_b[lo:hi])
-        mine = targets[at] - lo
-        out[at] += log_w[np.arange(len(at)), mine]
-        if gradients is not None:
-            d = np.exp(log_w)
-            d[np.arange(len(at)), mine] -= 1
-            gradients[4][lo:hi] += d.T @ states[at]
-            gradients[5][lo:hi] += d.sum(0)
-            d_states[at] += d @ net.word_w[lo:hi]
+        for start in range(bounds[c], bounds[c + 1], _BLOCK):
+            at = slice(start, min(start + _BLOCK, bounds[c + 1]))
+            x = h[at] @ net.word_w[lo:hi].T
+            x += net.word_b[lo:hi]
+            logs[at] += _softmax(x, targets[at] - lo, backward)
+            if backward:
+                gradients[4][lo:hi] += x.T @ h[at]
+                gradients[5][lo:hi] += x.sum(0)
+                d_h[at] += x @ net.word_w[lo:hi]
+    out = np.empty_like(logs)
+    out[order] = logs
+    if not backward:
+        return out, None
+    d_states = np.empty_like(d_h)
+    d_states[order] = d_h
     return out, d_states
 
 
@@ -200,30 +217,55 @@ class Trainer:
             x, y = inputs[lo : lo + window], targets[lo : lo + window]
             h = np.where((x[0] == 0)[:, None], 0, h).astype(np.float32)
             _, gradients, h = loss_and_gradients(self.net, self.vocab, x, y, h)
-            norm = math.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in gradients)) / x.size
-            scale = (1.0 if norm < 1 else 1 / norm) / x.size
-            self.step += 1
-            for p, g, m, v in zip(self.net, gradients, self.first, self.second, strict=True):
-                g = g * scale
-                m += 0.1 * (g - m)
-                v += 0.005 * (g * g - v)
-                p -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.995**self.step)) + 1e-8)
+            norm = math.sqrt(sum(float(np.vdot(g, g)) for g in gradients)) / x.size
+            self._update(gradients, (1.0 if norm < 1 else 1 / norm) / x.size)
+
+    def _update(self, gradients: list[np.ndarray], scale: float) -> None:
+        """One step of Adam, by blocks that stay in the cache; the gradients are used up."""
+        self.step += 1
+        root = math.sqrt(1 - 0.995**self.step)
+        rate = self.rate * root / (1 - 0.9**self.step)
+        for arrays in zip(self.net, gradients, self.first, self.second, strict=True):
+            flat = [x.reshape(-1) for x in arrays]
+            for lo in range(0, flat[0].size, _STEP):
+                p, g, m, v = (x[lo : lo + _STEP] for x in flat)
+                g *= scale
+                change = g - m
+                change *= 0.1
+                m += change
+                g *= g
+                g -= v
+                g *= 0.005
+                v += g
+                np.sqrt(v, out=g)
+                g += 1e-8 * root
+                np.divide(m, g, out=g)
+                g *= rate
+                p -= g
 
 
 def _flat(net: Network) -> np.ndarray:
-    return np.concatenate([p.ravel() for p in net]).astype(np.float64)
+    return np.concatenate([p.ravel() for p in net])
 
 
 def _shaped(flat: np.ndarray, like: Network) -> Network:
     ends = np.cumsum([p.size for p in like])
-    return Network(*(x.reshape(p.shape).astype(np.float32) for x, p in zip(np.split(flat, ends[:-1]), like, strict=True)))
+    return Network(*(x.reshape(p.shape).copy() for x, p in zip(np.split(flat, ends[:-1]), like, strict=True)))
+
+
+def _mean(copies: list[bytes], seen: list[int]) -> np.ndarray:
+    """The mean of copies weighted by their tokens."""
+    total = np.zeros(len(copies[0]) // 4)
+    for net, n in zip(copies, seen, strict=True):
+        total += np.frombuffer(net, np.float32) * float(n)
+    return (total / sum(seen)).astype(np.float32)
 
 
 def _merged(table: pa.Table) -> pa.Table:
-    """One row a table: the sum of the copies, each already times its tokens."""
-    total = sum(np.frombuffer(x, np.float64) for x in table.column("net").to_pylist())
-    part = table.column("part")[0].as_py()
-    return pa.table({"part": pa.array([part], pa.int64()), "seen": pa.array([sum(table.column("seen").to_pylist())], pa.int64()), "net": pa.array([total.tobytes()], pa.binary())})
+    """One row a table: the mean of the copies and their tokens."""
+    seen = table.column("seen").to_pylist()
+    net = _mean(table.column("net").to_pylist(), seen).tobytes()
+    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "seen": pa.array([sum(seen)], pa.int64()), "net": pa.array([net], pa.binary())})
 
 
 def train(texts: DataFrame, vocab: Vocabulary, total: int, rounds: int = ROUNDS, hidden: int = HIDDEN) -> Network:
@@ -245,7 +287,7 @@ def train(texts: DataFrame, vocab: Vocabulary, total: int, rounds: int = ROUNDS,
                 trainer.learn([_encode(text, words) for text in batch.column("text").to_pylist()])
             if trainer.seen:
                 part = TaskContext.get().partitionId()
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([(_flat(trainer.net) * trainer.seen).tobytes()], pa.binary())], ["part", "seen", "net"])
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([_flat(trainer.net).tobytes()], pa.binary())], ["part", "seen", "net"])
 
         copies, left = texts.where(turn == n).coalesce(parts).mapInArrow(run, schema), parts
         while left > FAN:
@@ -253,7 +295,7 @@ def train(texts: DataFrame, vocab: Vocabulary, total: int, rounds: int = ROUNDS,
         # FAN rows at most, put in order here: a sort in Spark would first sample its input, that is train twice.
         rows = sorted(copies.collect(), key=lambda r: r["part"])
         if rows:
-            net = _shaped(sum(np.frombuffer(r["net"], np.float64) for r in rows) / sum(r["seen"] for r in rows), net)
+            net = _shaped(_mean([r["net"] for r in rows], [r["seen"] for r in rows]), net)
         shared.unpersist()
     return net
 

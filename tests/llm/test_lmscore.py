@@ -144,3 +144,13 @@ def test_score_against_plain_network(spark, monkeypatch):
     for i, t in rows:
         if len(t or "") < 1000:
             assert math.isclose(got[i, len(split(t))], plain_score(models[0], t), rel_tol=1e-4), (i, t)
+
+
+def test_network_tells_the_frequent_words_apart(spark):
+    """Two vocabularies of 1,500 words, one a text: a network that reads them all learns which one it is in."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{rng.randrange(1500)}" for _ in range(80)), "", 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    assert lmscore.fit(df.select(F.col("text").cast("binary").alias("text")), rounds=1).words == 3000
+    got = lmscore.score(df, F.col("doc_id") >= 300, rounds=1).where("doc_id < 300").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (got[0] - got[1]) / got[2] / math.log10(2) > 0.6  # bits a token, of at most 80/81 and what the end gives
