@@ -13,31 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablescout.llm import decontaminate, langid, linededup, packing, simhash
-from tablescout.llm.common import discard, in_fold, stored
+from tablescout.llm.common import discard, in_fold, small_arrow_batches, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go, and with them null texts and texts without a letter."""
+    small_arrow_batches(spark)
     return langid.keep_identified(docs, learn=~in_fold(F.col("doc_id"), 4, 2))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line go, and documents that have none left; blank and null texts stay."""
+    small_arrow_batches(spark)
     return linededup.remove_repeated_lines(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays; texts without words are one group."""
+    small_arrow_batches(spark)
     return simhash.keep_one(docs, words=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go; texts without words hold none."""
+    small_arrow_batches(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window_words=10)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their sequences and places; a null text is empty."""
+    small_arrow_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -15,6 +15,8 @@ from tablescout.session import checkpoint_dir
 
 #: Bytes of text that one numpy pass works on at a time.
 SLICE_BYTES = 1 << 21
+#: Bytes of an Arrow batch where memory is short.
+ARROW_BYTES = 1 << 22
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -31,6 +33,15 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the batches that tasks exchange with Python.
+
+    By default a batch holds 10,000 rows of up to 64 MB, which a task keeps on
+    both sides, and in the JVM twice while its buffers double.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by ``stored`` that nothing reads any more."""
     for df in tables:

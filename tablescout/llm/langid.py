@@ -29,7 +29,7 @@ ASIDE = 0.2  # share of the sample kept for calibration
 MARGIN = 3.0  # a text is rejected beyond this multiple of the worst deviation seen on the rows kept aside
 UNDETERMINED = "und"
 _SPACE, _EDGE = 32, 0
-_SLICE = 1 << 19  # bytes of text at a time: a task's arrays are many times as large
+_SLICE = 1 << 18  # bytes of text at a time: a task's arrays are many times as large
 
 
 class Model(NamedTuple):
@@ -310,5 +310,14 @@ def keep_identified(docs: DataFrame, learn: Column | None = None, **parameters)
     ``learn`` marks the rows that the models may learn from (default: all).
     """
     model = fit(docs if learn is None else docs.where(learn), **parameters)
-    held = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
-    return _predicted(held, model).where("accepted").select("row.*")
+    if ("text", "string") not in docs.dtypes:
+        held = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+        return _predicted(held, model).where("accepted").select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was learned from
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_slices(batches, limit=_SLICE):
+            found = predict(shared.value, [t or "" for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array([accepted for *_, accepted in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
