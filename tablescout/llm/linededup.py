@@ -15,7 +15,8 @@ greatest line, which joins a large group of near copies without its pairs.
 Where a bucket is still in several components after that, an exact search
 does the rest: two lines of similarity ``threshold`` share one of their rarest
 shingles, so the lines that share such a shingle and are not yet connected are
-compared, unless the places of the shingle already rule the similarity out.
+compared, unless the places of the shingle or the parities of 128 classes of
+shingles already rule the similarity out.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 9, 5
 SMALL_BUCKET = 64
 BINS = 128  # of a line's sketch
+SLOTS = 1 << 18  # of the table that tells rare shingles from frequent ones
 _BLOCK = 1 << 16  # shingles hashed at a time
 _SLICE = 1 << 21  # bytes of text in which a line is signed once
 
@@ -181,8 +183,8 @@ def _lines_of(rows: DataFrame, wanted: Bits = Bits(None)) -> DataFrame:
     return rows.mapInArrow(run, "node bigint, line string")
 
 
-def sketch(line: str, size: int = SHINGLE) -> tuple[int, bytes]:
-    """The number of different shingles, and how many of them fall into each of ``BINS`` bins, a byte each: 255 is 255 or more."""
+def hashes(line: str, size: int = SHINGLE) -> np.ndarray:
+    """The sorted hashes of a line's different shingles."""
     points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.zeros(max(len(points), size), np.uint64)
     codes[: len(points)] = points
@@ -190,7 +192,12 @@ def sketch(line: str, size: int = SHINGLE) -> tuple[int, bytes]:
     for k in range(size):
         h = (h ^ codes[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    h = np.unique(h)
+    return np.unique(h)
+
+
+def sketch(line: str, size: int = SHINGLE) -> tuple[int, bytes]:
+    """The number of different shingles, and how many of them fall into each of ``BINS`` bins, a byte each: 255 is 255 or more."""
+    h = hashes(line, size)
     bins = np.bincount((h >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS)
     return len(h), np.minimum(bins, 255).astype(np.uint8).tobytes()
 
@@ -254,42 +261,83 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, s
     return both.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a bigint, b bigint")
 
 
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(24)).astype(np.int64) % SLOTS
+
+
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Two longs: whether the count of shingles in each of 128 classes is odd. Sets that differ in d shingles differ in d bits at most."""
+    odd = np.bincount((tokens >> np.uint64(50)).astype(np.int64) % 128, minlength=128) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def frequencies(lines: DataFrame, size: int = SHINGLE) -> np.ndarray:
+    """How many shingles of all ``lines`` fall into each of ``SLOTS`` slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in arrow_slices(batches, "line"):
+            total += np.bincount(_slots(np.concatenate([hashes(x, size) for x in batch.column("line").to_pylist()])), minlength=SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    rows = lines.select("line").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(SLOTS, np.int64)
+    out[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
+
+
 def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """Pairs ``a < b`` of ``node, line, component`` rows that differ in component and can reach the threshold.
 
-    No pair that reaches it is missing. In one order of all shingles, from the
-    rarest on, two sets of similarity t or more share one of their first
+    No pair that reaches it is missing. In one order of all shingles, about
+    from the rarest on (by the ``frequencies`` of their slots, then by hash),
+    two sets of similarity t or more share one of their first
     ``n - ceil(t * n) + 1``. After the first shingle that they share, at place
     i of n and j of m, they share at most ``min(n - i, m - j) - 1`` more, which
-    must allow ``t / (1 + t) * (n + m)`` in all.
+    must allow ``t / (1 + t) * (n + m)`` in all. They differ in at most
+    ``(1 - t) / (1 + t) * (n + m)`` shingles, hence in no more parities.
     """
+    shared = lines.sparkSession.sparkContext.broadcast(frequencies(lines, size))
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches, "line"):
-            for i, line in enumerate(batch.column("line").to_pylist()):
-                tokens = {xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in shingles(line, size)}
-                tokens = pa.array(np.fromiter(tokens, np.uint64, len(tokens)).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array([i] * len(tokens), pa.int64())), tokens], ["node", "token"])
-
-    tokens = stored(lines.select("node", "line").mapInArrow(hashed, "node bigint, token bigint"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
-    ordered = tokens.join(often, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("t"))
-    n = F.size("t")
-    # A little slack keeps rounding from losing a pair; the exact check follows.
-    first = F.slice("t", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)
-    rare = stored(
-        ordered.select("node", n.alias("n"), F.posexplode(first).alias("place", "t"))
-        .select("node", "n", "place", F.col("t.token").alias("token"))
-        .join(lines.select("node", "component"), "node")
-    )
-    mixed = rare.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    rare = stored(rare.join(mixed, "token"))
-    side = lambda end: rare.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "component", "n", "place")])
-    share = threshold / (1 + threshold)
+            tokens = [hashes(x, size) for x in batch.column("line").to_pylist()]
+            n = np.array([len(t) for t in tokens])
+            odd = np.array([parities(t) for t in tokens])
+            # A little slack keeps rounding from losing a pair; the exact check follows.
+            first = n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
+            tokens = [t[np.lexsort((t, shared.value[_slots(t)]))[:k]] for t, k in zip(tokens, first.tolist(), strict=True)]
+            of = np.repeat(np.arange(len(n)), first)
+            place = np.arange(len(of)) - np.repeat(np.cumsum(first) - first, first)
+            node, component = (batch.column(c).take(pa.array(of)) for c in ("node", "component"))
+            token = pa.array(np.concatenate(tokens).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [token, node, component, pa.array(n[of], pa.int32()), pa.array(place, pa.int32()), pa.array(odd[of, 0]), pa.array(odd[of, 1])],
+                ["token", "node", "component", "n", "place", "odd", "more"],
+            )
+
+    rare = stored(lines.select("node", "line", "component").mapInArrow(prefix, "token bigint, node bigint, component bigint, n int, place int, odd bigint, more bigint"))
+    shared.unpersist()
+    mixed = rare.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    mixed = stored(mixed.select(F.col("token").alias("mark")))
+    marked = rare.sparkSession.sparkContext.broadcast(bit_table(mixed))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            token = batch.column("token").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(marked.value.has(token)))
+
+    every, rare = rare, stored(rare.mapInArrow(keep, rare.schema))
+    marked.unpersist()
+    discard(every, mixed)
+    side = lambda end: rare.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "component", "n", "place", "odd", "more")])
+    both, differ = F.col("n_a") + F.col("n_b"), [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("odd", "more")]
     possible = (
         (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
-        & (F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= share * (F.col("n_a") + F.col("n_b")) - 1e-9)
+        & (F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= threshold / (1 + threshold) * both - 1e-9)
+        & (differ[0] + differ[1] <= (1 - threshold) / (1 + threshold) * both + 1e-9)
     )
     return side("a").join(side("b"), "token").where(possible).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -319,7 +367,10 @@ def line_components(
     apart = stored(placed.join(split, "key").select("node", "component").distinct())
     if apart.isEmpty():
         return labels
-    rest = shared_rare_shingles(lines.join(apart, "node"), threshold, size)
+    near = stored(lines.select("node", "line").join(apart, "node"))
+    discard(apart)
+    rest = shared_rare_shingles(near, threshold, size)
+    discard(near)
     return connected_components(labels.union(verified(rest, lines, threshold, size)))
 
 

@@ -144,3 +144,27 @@ def test_recall_against_all_pairs(spark):
     gone = {r.doc_id for r in linededup.dropped_lines(df).collect() if r.dropped}
     found = sum(b in gone for _, b in pairs)
     assert gone <= {b for _, b in pairs} and found >= 0.95 * len(pairs), found
+
+
+def test_rare_shingles_bring_only_lines_that_can_be_alike(spark):
+    """Every pair that reaches the threshold is found, and two groups that share rare shingles alone are not paired up."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rare, ways = text(25), [text(60), text(60)]
+    groups = [[f"{rare}{way}{text(3)}" for _ in range(50)] for way in ways]
+    alike = []
+    for _ in range(40):
+        line = list(text(rng.randint(5, 120)))
+        alike.append("".join(line))
+        for _ in range(3):
+            line[rng.randrange(len(line))] = rng.choice("xyz")
+            alike.append("".join(line))
+    others = [way + text(20) for way in ways for _ in range(100)]
+    lines = [(line, k) for k, group in enumerate(groups) for line in group] + [(x, 10 + i) for i, x in enumerate(alike)] + [(x, 2) for x in others]
+    rows = [(i, line, component) for i, (line, component) in enumerate(lines)]
+    got = {(r.a, r.b) for r in linededup.shared_rare_shingles(spark.createDataFrame(rows, "node long, line string, component long").repartition(3)).collect()}
+    sets = [linededup.shingles(line) for line, _ in lines]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    want = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if lines[i][1] != lines[j][1] and near(i, j)}
+    assert len(want) > 50 and want <= got
+    assert not any(lines[a][1] == 0 and lines[b][1] == 1 for a, b in got)
