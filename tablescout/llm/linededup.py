@@ -267,7 +267,8 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, s
     """The pairs ``a, b`` whose shingle sets reach the threshold; ``lines`` holds ``node, line, n, bins``.
 
     Pairs that sizes or sketches rule out go before their texts are fetched.
-    Shingles are told apart by 64-bit hashes.
+    Shingles are told apart by 64-bit hashes. Each step is written out: in one
+    stage, steps in Python would each keep a worker per task, and its memory.
     """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,10 +285,12 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, s
             n = np.diff(ends, prepend=0)
             yield batch.select(["a", "b"]).filter(pa.array(common >= threshold * (n[x] + n[y] - common), pa.bool_()))
 
-    near = _possible(pairs, lines, threshold)
+    near = stored(_possible(pairs, lines, threshold))
     text = lines.select("node", "line")
     both = near.join(text.toDF("a", "line_a"), "a").join(text.toDF("b", "line_b"), "b")
-    return both.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a bigint, b bigint")
+    links = stored(both.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a bigint, b bigint"))
+    discard(near)
+    return links
 
 
 def _slots(tokens: np.ndarray) -> np.ndarray:
@@ -392,7 +395,9 @@ def line_components(
     found = _lines_of(rows, bit_table(wanted.select(F.col("node").alias("mark"))))
     lines = stored(_sketched(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
     discard(wanted)
-    labels = connected_components(verified(pairs, lines, threshold, size))
+    links = verified(pairs, lines, threshold, size)
+    labels = connected_components(links)
+    discard(pairs, links)
 
     placed = many.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
@@ -400,11 +405,12 @@ def line_components(
     if apart.isEmpty():
         return labels
     near = stored(lines.join(apart, "node"))
-    links = verified(shared_rare_shingles(near, threshold, size), near, threshold, size)
+    found = verified(shared_rare_shingles(near, threshold, size), near, threshold, size)
+    links = found
     for end in ("a", "b"):
         links = links.join(apart.toDF(end, f"component_{end}"), end)
     joined = connected_components(links.select("component_a", "component_b")).toDF("component", "least")
-    discard(near, apart)
+    discard(near, apart, found)
     return labels.join(joined, "component", "left").select("node", F.coalesce("least", "component").alias("component")).union(joined)
 
 

@@ -199,3 +199,12 @@ def test_pair_sets_and_lines_as_before():
     assert np.diff(ends, prepend=0).tolist() == [len(linededup.shingles(x)) for x in lines]
     for x, each in zip(lines, np.split(found, ends[:-1]), strict=True):
         assert each.tolist() == linededup.shingle_sets([x.encode()])[0].tolist()
+
+
+def test_no_stage_runs_two_steps_in_python(spark):
+    """What the union-find reads of the links is a table: no worker that compares lines waits beside it."""
+    lines = spark.createDataFrame([(i, f"a line that is like the others {i}") for i in range(5)], "node long, line string")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 5)], "a long, b long")
+    links = linededup.verified(pairs, linededup._sketched(lines))
+    assert sorted((r.a, r.b) for r in links.collect()) == [(0, i) for i in range(1, 5)]
+    assert "MapInArrow" not in links._jdf.queryExecution().executedPlan().toString()
