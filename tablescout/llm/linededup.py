@@ -9,14 +9,18 @@ union-find keeps the first line of each component in the order of document
 id, text hash and line number.
 
 With 9 bands of 5 rows a pair of similarity 0.8 meets with probability 0.972,
-one of 0.85 with 0.995; chance meetings of unlike lines stay rare. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
+one of 0.85 with 0.995. Lines that share a common vocabulary meet by chance, the
+more lines the more often. So each line takes along, with about a bit for each
+shingle, whether the shingles of each class are odd in number; pairs that these
+parities or the sizes rule out go where they meet, before any pair is written or
+a text is fetched. In a bucket of up to ``SMALL_BUCKET`` lines every pair is compared. A
 larger one first compares each line with two leaders, its least and its
 greatest line, which joins a large group of near copies without its pairs.
 Where a bucket is still in several components after that, an exact search
-does the rest: two lines of similarity ``threshold`` share one of their rarest
-shingles, so the lines that share such a shingle and are not yet connected are
-compared, unless the places of the shingle or the parities of 1,024 classes of
-shingles already rule the similarity out. Its links join components, not lines.
+compares the rest: all its pairs of lines not yet connected, by blocks of lines
+that several tasks share out. The lines of such buckets also meet by ``REST_BANDS``
+bands of ``REST_ROWS`` rows, which finds a pair of 0.8 in no common bucket with
+probability 0.9995. Links found there join components, not lines.
 """
 
 from __future__ import annotations
@@ -27,7 +31,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablescout.llm.collocations import Bits, bit_table
@@ -39,12 +44,14 @@ THRESHOLD = 0.8
 BANDS, ROWS = 9, 5
 SMALL_BUCKET = 64
 BINS = 128  # of a line's sketch
-SLOTS = 1 << 18  # of the table that tells rare shingles from frequent ones
 _BLOCK = 1 << 16  # shingles hashed at a time
 _SLICE = 1 << 21  # bytes of text in which a line is signed once
 _SETS = 1 << 19  # bytes of lines whose shingles are held at a time
-PARITIES = 1 << 10  # classes of shingles whose parities the exact search compares
-_ODD = [f"odd_{i}" for i in range(PARITIES // 64)]
+PARITIES = 1 << 10  # classes of shingles whose parities are compared, if not set by the line's size
+LEAST_PARITIES, MOST_PARITIES = 1 << 6, 1 << 14
+REST_BANDS, REST_ROWS = 32, 7  # of the lines in large buckets that stay apart
+BLOCK_LINES = 1 << 11  # of a large bucket, compared with one another in a task
+_PAIRS = 1 << 16  # pairs whose parities are held at a time
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\v\f\r", b"abcdefghijklmnopqrstuvwxyz    ")
 
 
@@ -85,28 +92,71 @@ def _shingle_hashes(lines: list[bytes], size: int = SHINGLE) -> Iterator[tuple[s
         lo = hi
 
 
-def band_keys(lines: list[bytes], size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One row of ``bands`` bucket keys (signed 64 bits) per non-empty line."""
-    rng = np.random.default_rng(5)
+def _distinct(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted hashes of the different shingles of each line of a block, and how many each has."""
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(h)], strict=True):
+        h[a:b].sort()
+    new = np.r_[True, h[1:] != h[:-1]]
+    new[starts] = True
+    return h[new], np.add.reduceat(new, starts, dtype=np.int64)
+
+
+def _band_keys(h: np.ndarray, starts: np.ndarray, bands: int, rows: int, seed: int) -> np.ndarray:
+    """One row of ``bands`` bucket keys (signed 64 bits) for each line, whose shingles start at ``starts``."""
+    rng = np.random.default_rng(seed)
     factor = rng.integers(1, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     shift = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
-    out = np.zeros((len(lines), bands), np.int64)
-    for at, h, starts in _shingle_hashes(lines, size):
-        h = (h >> np.uint64(16)).astype(np.uint32)
-        high, x, y = h >> np.uint32(15), np.empty_like(h), np.empty_like(h)
-        for band in range(bands):
-            key = np.full(len(starts), band, np.uint64)
-            for i in range(band * rows, band * rows + rows):
-                np.multiply(h, factor[i], out=x)
-                np.multiply(high, factor[-1 - i], out=y)
-                y += shift[i]
-                x ^= y
-                key = (key ^ np.minimum.reduceat(x, starts)) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(31)
-            out[at, band] = key.view(np.int64)
+    h = (h >> np.uint64(16)).astype(np.uint32)
+    high, x, y = h >> np.uint32(15), np.empty_like(h), np.empty_like(h)
+    out = np.empty((len(starts), bands), np.int64)
+    for band in range(bands):
+        key = np.full(len(starts), band, np.uint64)
+        for i in range(band * rows, band * rows + rows):
+            np.multiply(h, factor[i], out=x)
+            np.multiply(high, factor[-1 - i], out=y)
+            y += shift[i]
+            x ^= y
+            key = (key ^ np.minimum.reduceat(x, starts)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(31)
+        out[:, band] = key.view(np.int64)
     return out
 
 
+def parities(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each set a row of longs: whether the count of shingles in each of ``PARITIES`` classes is odd.
+
+    Sets that differ in d shingles differ in d bits at most.
+    """
+    of = np.repeat(np.arange(len(ends)) * PARITIES, np.diff(ends, prepend=0))
+    odd = np.bincount(of + (tokens >> np.uint64(50)).astype(np.int64) % PARITIES, minlength=len(ends) * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, PARITIES), axis=1).view(np.int64)
+
+
+def signatures(
+    lines: list[bytes], size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, seed: int = 5, dense: int = 1
+) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of each line that is not empty: a row of ``bands`` bucket keys, the number of its different shingles, and their parities.
+
+    The number of classes is a power of two, ``dense`` times 0.7 to 1.4 times
+    that of shingles within the bounds. Halves folded on one another are the
+    parities of half as many classes, so that lines of similar size can be
+    compared.
+    """
+    keys, n, width, odd = np.zeros((len(lines), bands), np.int64), np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int64), []
+    for at, h, starts in _shingle_hashes(lines, size):
+        h, count = _distinct(h, starts)
+        n[at] = count
+        keys[at] = _band_keys(h, np.cumsum(count) - count, bands, rows, seed)
+        classes = dense << np.ceil(np.log2(count / 1.4)).astype(np.int64).clip(0)
+        classes = classes.clip(LEAST_PARITIES, MOST_PARITIES)
+        width[at] = classes // 8
+        of = np.repeat(np.cumsum(classes) - classes, count)
+        of += (h >> np.uint64(50)).view(np.int64) & np.repeat(classes - 1, count)
+        odd.append(np.packbits(np.bincount(of, minlength=int(classes.sum())).astype(np.uint8) & 1))
+    ends = pa.array(np.r_[0, np.cumsum(width)], pa.int32())
+    return keys, n, pa.BinaryArray.from_buffers(pa.binary(), len(lines), [None, ends.buffers()[1], pa.py_buffer(np.concatenate([*odd, np.zeros(0, np.uint8)]))])
+
+
 def _spaced(line: bytes) -> bytes:
     line = line.strip(b" ")
     return b" ".join(line.split()) if b"  " in line else line
@@ -123,10 +173,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def signed_lines(rows: DataFrame, size: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
-    """``doc_id, text_key, line_no, node, keys`` of every line that is not blank.
+    """``doc_id, text_key, line_no, node, keys, n, odd`` of every line that is not blank.
 
-    ``keys`` are the bucket keys where a line first occurs in a slice of the
-    table, and empty where it occurs again.
+    ``keys, n, odd`` are the line's ``signatures`` where it first occurs in a
+    slice of the table, and empty or null where it occurs again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,45 +191,182 @@ def signed_lines(rows: DataFrame, size: int = SHINGLE, bands: int = BANDS, band_
                         of.append(row), number.append(n), nodes.append(key)
             if not of:
                 continue
-            keys = band_keys(list(found.values()), size, bands, band_rows)
+            keys, n, odd = signatures(list(found.values()), size, bands, band_rows)
             ends = np.r_[0, np.cumsum(new)] * bands
             at = pa.array(of, pa.int64())
             flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))
+            once = pa.array(np.cumsum(new) - 1, mask=~np.array(new))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(number, pa.int32()), pa.array(nodes, pa.int64()), flat],
-                ["doc_id", "text_key", "line_no", "node", "keys"],
+                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(number, pa.int32()), pa.array(nodes, pa.int64()), flat, pa.array(n, pa.int32()).take(once), odd.take(once)],
+                ["doc_id", "text_key", "line_no", "node", "keys", "n", "odd"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {field_type(rows, 'doc_id')}, text_key bigint, line_no int, node bigint, keys array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {field_type(rows, 'doc_id')}, text_key bigint, line_no int, node bigint, keys array<bigint>, n int, odd binary")
 
 
 def buckets(rows: DataFrame, signed: DataFrame) -> DataFrame:
-    """``node, keys``: the bucket keys of the lines of ``rows``, each at least once."""
-    return signed.where(F.size("keys") > 0).select("node", "keys")
-
+    """``node, keys, n, odd``: the bucket keys of the lines of ``rows``, each at least once, and what tells unlike lines apart."""
+    return signed.where(F.size("keys") > 0).select("node", "keys", "n", "odd")
+
+
+class _Sketched:
+    """Lines' sizes and parities, in tables by the number of classes. Null or zero: not known."""
+
+    def __init__(self, n: pa.Array, odd: pa.Array):
+        self.n = pc.fill_null(n, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.width = pc.fill_null(pc.binary_length(odd), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.place, self.tables = np.zeros(len(n), np.int64), {}
+        for width in np.unique(self.width[self.width > 0]).tolist():
+            at = np.flatnonzero(self.width == width)
+            self.place[at] = np.arange(len(at))
+            self.tables[width] = np.frombuffer(odd.take(pa.array(at)).buffers()[2], np.uint64, len(at) * width // 8).reshape(-1, width // 8)
+
+    def _rows(self, at: np.ndarray, width: int) -> np.ndarray:
+        """The parities of lines of ``width`` bytes, or of twice that, folded."""
+        out = np.empty((len(at), width // 8), np.uint64)
+        for own in (width, 2 * width):
+            of = self.width[at] == own
+            if of.any():
+                found = self.tables[own][self.place[at[of]]]
+                out[of] = found if own == width else found[:, : width // 8] ^ found[:, width // 8 :]
+        return out
+
+    def possible(self, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+        """Which of the pairs of lines can reach the threshold, by their sizes and parities.
+
+        Such sets differ in at most ``(1 - t) / (1 + t) * (n + m)`` shingles,
+        hence in no more parities.
+        """
+        n, m = self.n[i], self.n[j]
+        keep = np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9
+        known = (self.width[i] > 0) & (self.width[j] > 0)
+        least, most = np.minimum(self.width[i], self.width[j]), (1 - threshold) / (1 + threshold) * (n + m) + 1e-9
+        at = np.flatnonzero(keep & known & (np.maximum(self.width[i], self.width[j]) <= 2 * least))
+        for width in np.unique(least[at]).tolist():
+            of, step = at[least[at] == width], max(1, _PAIRS * 64 // width)
+            for lo in range(0, len(of), step):
+                part = of[lo : lo + step]
+                differ = np.bitwise_count(self._rows(i[part], width) ^ self._rows(j[part], width)).sum(axis=1, dtype=np.int64)
+                keep[part] = differ <= most[part]
+        return keep | ~known
+
+
+def _neighbours(group: np.ndarray, n: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs ``i < j`` within a group whose sizes allow the threshold; rows are in the order of ``group`` and ``n``."""
+    i = np.arange(len(group))
+    for d in range(1, len(group)):
+        i = i[: np.searchsorted(i, len(group) - d)]
+        i = i[(group[i + d] == group[i]) & ((n[i] == 0) | (n[i] >= threshold * n[i + d] - 1e-9))]
+        if not len(i):
+            return
+        yield i, i + d
+
+
+def _gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, about ``_PAIRS`` at a time."""
+    held, n = [], 0
+    for i, j in pairs:
+        held.append((i, j))
+        n += len(i)
+        if n >= _PAIRS:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches again, cut where a group of ``by`` ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        columns = [batch.column(c).to_numpy() for c in by]
+        starts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        if held and any(held[-1].column(c)[-1].as_py() != x[0] for c, x in zip(by, columns, strict=True)):
+            starts = np.r_[0, starts]
+        if not len(starts):
+            held.append(batch)
+            continue
+        cut = int(starts[-1])
+        yield from pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks().to_batches()
+        held = [batch.slice(cut)]
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.repartition(*by).sortWithinPartitions(*by, "n", "node")
+
+
+def _pair_batch(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    a, b = np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
+    return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b)], ["key", "a", "b"])
+
+
+def _shared(signed: DataFrame, differ: str) -> Broadcast:
+    """The bit table of the bucket keys whose rows differ in the column ``differ``, of a fixed size whatever the input."""
+    rows = signed.select(F.explode("keys").alias("key"), differ)
+    both = stored(rows.groupBy("key").agg(F.min(differ).alias("low"), F.max(differ).alias("high")).where("low <> high").select(F.col("key").alias("mark")))
+    found = signed.sparkSession.sparkContext.broadcast(bit_table(both))
+    discard(both)
+    return found
 
-def shared_buckets(signed: DataFrame) -> DataFrame:
-    """``key, node`` of the buckets that two different lines share (and few others), each pair once.
 
-    Most buckets hold one line. Those that do not are found by the least and
-    greatest line of each; a bit table of their keys, of a fixed size whatever
-    the input, then lets the other lines' keys stay where they are.
-    """
-    rows = signed.select(F.explode("keys").alias("key"), "node")
-    both = stored(rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select(F.col("key").alias("mark")))
-    shared = signed.sparkSession.sparkContext.broadcast(bit_table(both))
+def _entries(signed: DataFrame, shared: Broadcast, columns: list[str]) -> DataFrame:
+    """``key`` and ``columns`` for each bucket key that the bit table lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("keys")
             flat = keys.flatten()
             keep = pa.array(shared.value.has(flat.to_numpy(zero_copy_only=False).view(np.uint64)))
-            nodes = batch.column("node").take(pc.list_parent_indices(keys))
-            yield pa.RecordBatch.from_arrays([flat.filter(keep), nodes.filter(keep)], ["key", "node"])
+            of = pc.list_parent_indices(keys).filter(keep)
+            yield pa.RecordBatch.from_arrays([flat.filter(keep), *(batch.column(c).take(of) for c in columns)], ["key", *columns])
+
+    return signed.select("keys", *columns).mapInArrow(run, "key bigint, " + ", ".join(f"{c} {field_type(signed, c)}" for c in columns))
 
-    out = stored(signed.mapInArrow(run, "key bigint, node bigint").distinct())
+
+def meetings(signed: DataFrame, threshold: float = THRESHOLD, small: int = SMALL_BUCKET) -> DataFrame:
+    """``key, a, b``: the pairs ``a < b`` of lines in a bucket that can reach the threshold, ``key`` null; of more than ``small`` lines, only pairs with the leaders, and each line as ``key, a``.
+
+    Most buckets hold one line. Those that do not are found by the least and
+    greatest line of each; a bit table of their keys, of a fixed size whatever
+    the input, then lets the other lines' keys stay where they are.
+    """
+    shared = _shared(signed, "node")
+    for column, kind in (("n", "int"), ("odd", "binary")):
+        if column not in signed.columns:
+            signed = signed.withColumn(column, F.lit(None).cast(kind))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(batches, ["key"]):
+            key, node = (batch.column(c).to_numpy() for c in ("key", "node"))
+            once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+            of = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
+            lines = np.bincount(of[once])
+            once &= lines[of] > 1
+            key, node, of = key[once], node[once], of[once]
+            if not len(key):
+                continue
+            line = _Sketched(*(batch.column(c).filter(pa.array(once)) for c in ("n", "odd")))
+            few = lines[of] <= small
+            at = np.flatnonzero(few)
+            pairs = [(at[i], at[j]) for i, j in _gathered(_neighbours(of[at], line.n[at], threshold))]
+            many = np.flatnonzero(~few)
+            if len(many):
+                starts = np.flatnonzero(np.r_[True, of[many][1:] != of[many][:-1]])
+                for part in np.split(many, starts[1:]):
+                    for leader in (part[node[part].argmin()], part[node[part].argmax()]):
+                        pairs.append((np.full(len(part) - 1, leader), part[part != leader]))
+                yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(node[many]), pa.nulls(len(many), pa.int64())], ["key", "a", "b"])
+            for i, j in pairs:
+                keep = line.possible(i, j, threshold)
+                yield _pair_batch(node, i[keep], j[keep])
+
+    met = _dealt(_entries(signed, shared, ["node", "n", "odd"]), "key")
+    out = stored(met.mapInArrow(meet, "key bigint, a bigint, b bigint"))
     shared.unpersist()
-    discard(both)
     return out
 
 
@@ -206,12 +393,8 @@ def shingle_sets(lines: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, n
     """The sorted hashes of each line's different shingles, one line after another, and where each line's end."""
     sets, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, h, starts in _shingle_hashes(lines, size):
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(h)], strict=True):
-            h[a:b].sort()
-        new = np.r_[True, h[1:] != h[:-1]]
-        new[starts] = True
-        sets.append(h[new])
-        ends.append(np.add.reduceat(new, starts, dtype=np.int64))
+        for found, each in zip((sets, ends), _distinct(h, starts), strict=True):
+            found.append(each)
     return np.concatenate(sets), np.cumsum(np.concatenate(ends))
 
 
@@ -293,105 +476,67 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, s
     return links
 
 
-def _slots(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(24)).astype(np.int64) % SLOTS
-
-
-def parities(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each set a row of longs: whether the count of shingles in each of ``PARITIES`` classes is odd.
-
-    Sets that differ in d shingles differ in d bits at most.
-    """
-    of = np.repeat(np.arange(len(ends)) * PARITIES, np.diff(ends, prepend=0))
-    odd = np.bincount(of + (tokens >> np.uint64(50)).astype(np.int64) % PARITIES, minlength=len(ends) * PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(-1, PARITIES), axis=1).view(np.int64)
-
-
-def frequencies(lines: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """How many shingles of all ``lines`` fall into each of ``SLOTS`` slots."""
+def _apart(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``node, component, keys, n, odd`` of ``node, line, component``: signed by ``REST_BANDS`` bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
         for batch in arrow_slices(batches, "line", _SETS):
-            total += np.bincount(_slots(shingle_sets(utf8(batch.column("line")), size)[0]), minlength=SLOTS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+            keys, n, odd = signatures(utf8(batch.column("line")), size, REST_BANDS, REST_ROWS, seed=6, dense=4)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * REST_BANDS, pa.int32()), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "component")), flat, pa.array(n, pa.int32()), odd], ["node", "component", "keys", "n", "odd"])
 
-    rows = lines.select("line").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(SLOTS, np.int64)
-    out[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
+    return lines.select("node", "line", "component").mapInArrow(run, "node bigint, component bigint, keys array<bigint>, n int, odd binary")
 
 
-def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, members: DataFrame | None = None) -> DataFrame:
     """Pairs ``a < b`` of ``node, line, component`` rows that differ in component and can reach the threshold.
 
-    No pair that reaches it is missing. In one order of all shingles, about
-    from the rarest on (by the ``frequencies`` of their slots, then by hash),
-    two sets of similarity t or more share one of their first
-    ``n - ceil(t * n) + 1``. After the first shingle that they share, at place
-    i of n and j of m, they share at most ``min(n - i, m - j) - 1`` more, which
-    must allow ``t / (1 + t) * (n + m)`` in all. They differ in at most
-    ``(1 - t) / (1 + t) * (n + m)`` shingles, hence in no more parities.
+    No pair of a bucket of ``members`` (``key, node``) that reaches it is
+    missing; without ``members`` all lines are one bucket. Lines in no common
+    bucket that agree in one of the rarer combinations of shingles, the rows of
+    a further band, are found as well. A bucket is cut into blocks of lines of
+    about one size, and each two blocks are compared in a task of their own.
     """
-    shared = lines.sparkSession.sparkContext.broadcast(frequencies(lines, size))
-
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_slices(batches, "line", _SETS):
-            flat, ends = shingle_sets(utf8(batch.column("line")), size)
-            n, odd, tokens = np.diff(ends, prepend=0), parities(flat, ends), np.split(flat, ends[:-1])
-            # A little slack keeps rounding from losing a pair; the exact check follows.
-            first = n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
-            tokens = [t[np.lexsort((t, shared.value[_slots(t)]))[:k]] for t, k in zip(tokens, first.tolist(), strict=True)]
-            of = np.repeat(np.arange(len(n)), first)
-            place = np.arange(len(of)) - np.repeat(np.cumsum(first) - first, first)
-            node, component = (batch.column(c).take(pa.array(of)) for c in ("node", "component"))
-            token = pa.array(np.concatenate(tokens).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [token, node, component, pa.array(n[of], pa.int32()), pa.array(place, pa.int32()), *(pa.array(odd[of, i]) for i in range(len(_ODD)))],
-                ["token", "node", "component", "n", "place", *_ODD],
-            )
-
-    rare = stored(lines.select("node", "line", "component").mapInArrow(prefix, "token bigint, node bigint, component bigint, n int, place int, " + ", ".join(f"{c} bigint" for c in _ODD)))
+    signed = stored(_apart(lines, size))
+    line = signed.select("node", "component", "n", "odd")
+    if members is None:
+        members = line.select(F.lit(0).cast("bigint").alias("key"), "node")
+    shared = _shared(signed, "component")
+    rows = members.select("key", "node").union(_entries(signed, shared, ["node"])).join(line, "node")
+    bucket = Window.partitionBy("key")
+    rows = rows.withColumn("lines", F.count("*").over(bucket)).where("lines > 1")
+    rows = rows.withColumn("block", F.floor((F.row_number().over(bucket.orderBy("n", "node")) - 1) / BLOCK_LINES))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("lines") - 1) / BLOCK_LINES))))
+    rows = rows.select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "node", "component", "n", "odd", "block")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = ["key", "first", "second"]
+        for batch in _whole_groups(batches, by):
+            node, component, block, *groups = (batch.column(c).to_numpy() for c in ("node", "component", "block", *by))
+            line = _Sketched(batch.column("n"), batch.column("odd"))
+            of = np.cumsum(np.r_[True, np.any([g[1:] != g[:-1] for g in groups], axis=0)])
+            one = groups[1] == groups[2]
+            for i, j in _gathered(_neighbours(of, line.n, threshold)):
+                keep = (component[i] != component[j]) & (one[i] | (block[i] != block[j]))
+                i, j = i[keep], j[keep]
+                keep = line.possible(i, j, threshold)
+                yield _pair_batch(node, i[keep], j[keep])
+
+    met = _dealt(rows, "key", "first", "second")
+    out = stored(met.mapInArrow(meet, "key bigint, a bigint, b bigint").select("a", "b").distinct())
     shared.unpersist()
-    mixed = rare.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    mixed = stored(mixed.select(F.col("token").alias("mark")))
-    marked = rare.sparkSession.sparkContext.broadcast(bit_table(mixed))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token = batch.column("token").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(marked.value.has(token)))
-
-    every, rare = rare, stored(rare.mapInArrow(keep, rare.schema))
-    marked.unpersist()
-    discard(every, mixed)
-    side = lambda end: rare.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "component", "n", "place", *_ODD)])
-    both, differ = F.col("n_a") + F.col("n_b"), sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _ODD), F.lit(0))
-    possible = (
-        (F.col("node_a") < F.col("node_b"))
-        & (F.col("component_a") != F.col("component_b"))
-        & (F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= threshold / (1 + threshold) * both - 1e-9)
-        & (differ <= (1 - threshold) / (1 + threshold) * both + 1e-9)
-    )
-    return side("a").join(side("b"), "token").where(possible).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    discard(signed)
+    return out
 
 
 def line_components(
     rows: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, small: int = SMALL_BUCKET
 ) -> DataFrame:
     """``node, component`` of every line linked to a different one; ``signed`` is what ``signed_lines`` says of ``rows``."""
-    entries = shared_buckets(buckets(rows, signed))
-    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("n > 1")
-    members = stored(entries.join(shared, "key"))
-    discard(entries)
-    few = members.where(F.col("n") <= small)
-    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
-    many = members.where(F.col("n") > small)
-    for end in ("low", "high"):
-        pairs = pairs.union(many.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
-    pairs = stored(pairs.distinct())
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    met = meetings(buckets(rows, signed), threshold, small)
+    pairs = stored(met.where("b is not null").select("a", "b").distinct())
+    many = met.where("b is null").select("key", F.col("a").alias("node"))
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).union(many.select("node")).distinct())
     found = _lines_of(rows, bit_table(wanted.select(F.col("node").alias("mark"))))
     lines = stored(_sketched(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), size))
     discard(wanted)
@@ -399,18 +544,23 @@ def line_components(
     labels = connected_components(links)
     discard(pairs, links)
 
-    placed = many.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = many.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    apart = stored(placed.join(split, "key").select("node", "component").distinct())
-    if apart.isEmpty():
+    members = stored(placed.join(split, "key"))
+    discard(met)
+    if members.isEmpty():
+        discard(lines, members)
         return labels
+    apart = stored(members.select("node", "component").distinct())
     near = stored(lines.join(apart, "node"))
-    found = verified(shared_rare_shingles(near, threshold, size), near, threshold, size)
+    discard(lines)
+    possible = shared_rare_shingles(near, threshold, size, members)
+    found = verified(possible, near, threshold, size)
     links = found
     for end in ("a", "b"):
         links = links.join(apart.toDF(end, f"component_{end}"), end)
     joined = connected_components(links.select("component_a", "component_b")).toDF("component", "least")
-    discard(near, apart, found)
+    discard(near, apart, found, possible, members)
     return labels.join(joined, "component", "left").select("node", F.coalesce("least", "component").alias("component")).union(joined)
 
 
@@ -429,11 +579,12 @@ def dropped_lines(
     lines = stored(signed.select("doc_id", "text_key", "line_no", "node").distinct())
     discard(signed)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line_no")
-    by_node = lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    by_node = by_node.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = by_node.groupBy("component").agg(F.min("first").alias("kept"), F.sum("n").alias("total")).where("total > 1")
-    repeated = stored(by_node.join(least, "component").select("node", "kept"))
-    gone = lines.join(repeated, "node").where(~place.eqNullSafe(F.col("kept"))).select("doc_id", "text_key", "line_no")
+    linked = labels.union(labels.select("component", "component").distinct())  # with each component's least line
+    several = lines.groupBy("node").agg(F.count("*").alias("n")).join(linked, "node", "left").where("n > 1 OR component IS NOT NULL")
+    several = several.select("node", F.coalesce("component", "node").alias("component"))
+    alike = stored(lines.join(several, "node").select("doc_id", "text_key", "line_no", "component"))
+    least = alike.groupBy("component").agg(F.min(place).alias("kept"))
+    gone = alike.join(least, "component").where(~place.eqNullSafe(F.col("kept"))).select("doc_id", "text_key", "line_no")
     per_doc = gone.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list("line_no")).alias("dropped"))
     counts = rows.select("doc_id", "text_key").distinct().alias("d").join(
         lines.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_lines")).alias("c"),

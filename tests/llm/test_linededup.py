@@ -208,3 +208,74 @@ def test_no_stage_runs_two_steps_in_python(spark):
     links = linededup.verified(pairs, linededup._sketched(lines))
     assert sorted((r.a, r.b) for r in links.collect()) == [(0, i) for i in range(1, 5)]
     assert "MapInArrow" not in links._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unlike_lines_of_a_bucket_are_not_paired_up(spark):
+    """Lines that meet by chance go in their bucket: no table grows with the square of its lines, and no link is lost."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    rows = [(i, " ".join(["a common start of the line"] + [word() for _ in range(20)])) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + "!") for i in range(3)]
+    written, stored = [], linededup.stored
+
+    def counted(table):
+        out = stored(table)
+        written.append((out.columns, out.count()))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(linededup, "buckets", lambda rows, signed: signed.select("node", F.array(F.lit(0).cast("bigint")).alias("keys"), *[c for c in ("n", "odd") if c in signed.columns]))
+        patch.setattr(linededup, "stored", counted)
+        df = spark.createDataFrame([(k, t, "x", 1, 0.5) for k, t in rows], SCHEMA).repartition(2)
+        gone = {r.doc_id for r in linededup.dropped_lines(df).collect() if r.dropped}
+    assert gone == {100, 101, 102}
+    assert max(n for columns, n in written if columns[-2:] == ["a", "b"]) <= 6
+
+
+def test_parities_that_go_with_a_line_lose_no_pair():
+    """Lines of unlike sizes are compared by folded parities; all that reach the threshold stay, nearly all others go."""
+    rng = random.Random(22)
+    lines = []
+    for n in (3, 7, 40, 60, 80, 95, 150, 180, 360, 700, 30_000):
+        line = "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+        lines += [line, line[: -max(1, n // 20)], line + line[:3] + "x" * (n // 8), line.replace("a", "q", 2), "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))]
+    _, n, odd = linededup.signatures([x.encode() for x in lines])
+    sets = [linededup.shingles(x) for x in lines]
+    width = np.array([len(x) for x in odd.to_pylist()])
+    assert n.tolist() == [len(x) for x in sets] and len(set(width)) > 4
+    i, j = np.triu_indices(len(lines), 1)
+    keep = linededup._Sketched(linededup.pa.array(n), odd).possible(i, j, 0.8)
+    alike = np.array([len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in zip(i, j, strict=True)])
+    assert keep[alike >= 0.8].all() and (alike >= 0.8).sum() > 20 and ((alike >= 0.8) & (width[i] != width[j])).any()
+    assert keep[alike < 0.5].sum() <= 0.05 * (alike < 0.5).sum()
+
+
+def test_large_bucket_in_blocks(spark):
+    """A bucket's lines are dealt out in blocks: every pair is found, within one and across two; lines of other buckets are left alone."""
+    rng = random.Random(23)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    lines = []
+    for _ in range(25):
+        line = text(rng.randint(60, 200))
+        lines += [line, line[:-3], line + text(4)]
+    rng.shuffle(lines)
+    sets = [linededup.shingles(x) for x in lines]
+    want = {(i, j) for i in range(75) for j in range(i + 1, 75) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    df = spark.createDataFrame([(i, x, i) for i, x in enumerate(lines)], "node long, line string, component long").repartition(3)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(linededup, "BLOCK_LINES", 8)
+        got = [(r.a, r.b) for r in linededup.shared_rare_shingles(df).collect()]
+        patch.setattr(linededup, "REST_BANDS", 0)
+        members = df.select((F.col("node") % 2).alias("key"), "node")
+        parted = [(r.a, r.b) for r in linededup.shared_rare_shingles(df, members=members).collect()]
+    assert len(want) == 75 and len(set(got)) == len(got) and want <= set(got) and len(got) < 100
+    assert {(a, b) for a, b in want if a % 2 == b % 2} <= set(parted) and all(a % 2 == b % 2 for a, b in parted)
+
+
+def test_groups_stay_whole_across_batches():
+    keys = [1, 1, 2, 3, 3, 3, 3, 3, 4, 5, 5]
+    table = linededup.pa.table({"key": keys, "at": list(range(len(keys)))})
+    for size in (1, 2, 3, 20):
+        found = [b.column("key").to_pylist() for b in linededup._whole_groups(iter(table.to_batches(size)), ["key"])]
+        assert sum(found, []) == keys
+        assert all(x[-1] != y[0] for x, y in zip(found, found[1:], strict=False))
