@@ -477,18 +477,49 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, s
 
 
 def _apart(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``node, component, keys, n, odd`` of ``node, line, component``: signed by ``REST_BANDS`` bands."""
+    """``node, line, component, keys, n, odd`` of ``node, line, component``: signed by ``REST_BANDS`` bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_slices(batches, "line", _SETS):
             keys, n, odd = signatures(utf8(batch.column("line")), size, REST_BANDS, REST_ROWS, seed=6, dense=4)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * REST_BANDS, pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "component")), flat, pa.array(n, pa.int32()), odd], ["node", "component", "keys", "n", "odd"])
-
-    return lines.select("node", "line", "component").mapInArrow(run, "node bigint, component bigint, keys array<bigint>, n int, odd binary")
+            yield pa.RecordBatch.from_arrays([*batch.columns, flat, pa.array(n, pa.int32()), odd], ["node", "line", "component", "keys", "n", "odd"])
+
+    return lines.select("node", "line", "component").mapInArrow(run, "node bigint, line string, component bigint, keys array<bigint>, n int, odd binary")
+
+
+class _Joined:
+    """Links among a task's lines that join components: pairs of connected lines are not compared."""
+
+    def __init__(self, lines: pa.Array, component: np.ndarray, threshold: float, size: int):
+        self.lines, self.component, self.threshold, self.size = lines, component.copy(), threshold, size
+        self.sets: dict[int, np.ndarray] = {}
+        self.held = 0
+
+    def _set(self, k: int) -> np.ndarray:
+        if k not in self.sets:
+            if self.held > _SETS:
+                self.sets, self.held = {}, 0
+            self.sets[k] = shingle_sets(utf8(self.lines.slice(k, 1)), self.size)[0]
+            self.held += len(self.sets[k])
+        return self.sets[k]
+
+    def links(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs are links and join two components."""
+        keep = np.zeros(len(i), bool)
+        for k, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+            if self.component[a] != self.component[b]:
+                x, y = self._set(a), self._set(b)
+                both = np.concatenate((x, y))
+                both.sort()
+                common = np.count_nonzero(both[1:] == both[:-1])
+                if common >= self.threshold * (len(x) + len(y) - common):
+                    self.component[self.component == self.component[b]] = self.component[a]
+                    keep[k] = True
+        return keep
 
 
-def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, members: DataFrame | None = None) -> DataFrame:
+def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, members: DataFrame | None = None, joining: bool = False) -> DataFrame:
     """Pairs ``a < b`` of ``node, line, component`` rows that differ in component and can reach the threshold.
 
     No pair of a bucket of ``members`` (``key, node``) that reaches it is
@@ -496,9 +527,12 @@ def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: i
     bucket that agree in one of the rarer combinations of shingles, the rows of
     a further band, are found as well. A bucket is cut into blocks of lines of
     about one size, and each two blocks are compared in a task of their own.
+    With ``joining`` the shingle sets of the pairs are compared there, and only
+    links that join components come back, so that a group of near copies gives
+    about as many rows as it has lines.
     """
     signed = stored(_apart(lines, size))
-    line = signed.select("node", "component", "n", "odd")
+    line = signed.select("node", "component", "n", "odd", *["line"] * joining)
     if members is None:
         members = line.select(F.lit(0).cast("bigint").alias("key"), "node")
     shared = _shared(signed, "component")
@@ -507,7 +541,7 @@ def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: i
     rows = rows.withColumn("lines", F.count("*").over(bucket)).where("lines > 1")
     rows = rows.withColumn("block", F.floor((F.row_number().over(bucket.orderBy("n", "node")) - 1) / BLOCK_LINES))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("lines") - 1) / BLOCK_LINES))))
-    rows = rows.select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "node", "component", "n", "odd", "block")
+    rows = rows.select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "node", "component", "n", "odd", "block", *["line"] * joining)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = ["key", "first", "second"]
@@ -516,11 +550,17 @@ def shared_rare_shingles(lines: DataFrame, threshold: float = THRESHOLD, size: i
             line = _Sketched(batch.column("n"), batch.column("odd"))
             of = np.cumsum(np.r_[True, np.any([g[1:] != g[:-1] for g in groups], axis=0)])
             one = groups[1] == groups[2]
+            joined = _Joined(batch.column("line"), component, threshold, size) if joining else None
+            component = joined.component if joined else component
             for i, j in _gathered(_neighbours(of, line.n, threshold)):
                 keep = (component[i] != component[j]) & (one[i] | (block[i] != block[j]))
                 i, j = i[keep], j[keep]
                 keep = line.possible(i, j, threshold)
-                yield _pair_batch(node, i[keep], j[keep])
+                i, j = i[keep], j[keep]
+                if joined:
+                    keep = joined.links(i, j)
+                    i, j = i[keep], j[keep]
+                yield _pair_batch(node, i, j)
 
     met = _dealt(rows, "key", "first", "second")
     out = stored(met.mapInArrow(meet, "key bigint, a bigint, b bigint").select("a", "b").distinct())
@@ -554,13 +594,12 @@ def line_components(
     apart = stored(members.select("node", "component").distinct())
     near = stored(lines.join(apart, "node"))
     discard(lines)
-    possible = shared_rare_shingles(near, threshold, size, members)
-    found = verified(possible, near, threshold, size)
+    found = shared_rare_shingles(near, threshold, size, members, joining=True)
     links = found
     for end in ("a", "b"):
         links = links.join(apart.toDF(end, f"component_{end}"), end)
     joined = connected_components(links.select("component_a", "component_b")).toDF("component", "least")
-    discard(near, apart, found, possible, members)
+    discard(near, apart, found, members)
     return labels.join(joined, "component", "left").select("node", F.coalesce("least", "component").alias("component")).union(joined)
 
 

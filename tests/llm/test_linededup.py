@@ -279,3 +279,20 @@ def test_groups_stay_whole_across_batches():
         found = [b.column("key").to_pylist() for b in linededup._whole_groups(iter(table.to_batches(size)), ["key"])]
         assert sum(found, []) == keys
         assert all(x[-1] != y[0] for x, y in zip(found, found[1:], strict=False))
+
+
+def test_near_copies_that_stay_apart_give_one_link_a_line(spark):
+    """The exact search gives the links that join components, not every pair of a group; unlike lines give none."""
+    base = [f"word{i}" for i in range(60)]
+    lines = [" ".join(base[:i] + [f"other{i}"] + base[i + 1 :]) for i in range(60)] + [" ".join(f"{k}{w}" for w in base) for k in range(20)]
+    df = spark.createDataFrame([(i, x, i) for i, x in enumerate(lines)], "node long, line string, component long").repartition(3)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(linededup, "REST_BANDS", 0)
+        links = [(r.a, r.b) for r in linededup.shared_rare_shingles(df, joining=True).collect()]
+    sets = [linededup.shingles(x) for x in lines]
+    parent = list(range(80))
+    for a, b in links:
+        assert len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+        a, b = parent[a], parent[b]
+        parent = [a if p == b else p for p in parent]
+    assert len(links) == 59 and len(set(parent[:60])) == 1 and len(set(parent)) == 21
